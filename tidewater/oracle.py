@@ -76,3 +76,67 @@ def with_silver(body: str) -> str:
     if body.upper().startswith("WITH "):
         return "WITH " + CANONICAL_CTE + ",\n" + body[5:]
     return "WITH " + CANONICAL_CTE + "\n" + body
+
+
+# Wire records and Bronze rows derived from the canonical events, with the
+# JSON text written exactly as Spark's to_json writes it (null fields left out,
+# microsecond UTC timestamps with a Z offset).
+WIRE_CTE = """
+copies AS (
+    SELECT c.*, k.copy
+    FROM canonical c, (VALUES (0), (1), (2)) AS k(copy)
+    WHERE k.copy = 0
+       OR (k.copy = 1 AND c.src_id % 20 = 0)
+       OR (k.copy = 2 AND c.src_id % 50 = 0)
+),
+wire AS (
+    SELECT
+        user_id AS kafka_key,
+        CAST(src_user % 6 AS INTEGER) AS kafka_partition,
+        CAST(src_id * 10 + copy AS BIGINT) AS kafka_offset,
+        event_timestamp + to_seconds(copy) AS kafka_timestamp,
+        copy,
+        CASE WHEN copy = 2 THEN 'not json' ELSE concat(
+            '{"event_id":"', event_id,
+            '","user_id":"', user_id,
+            '","session_id":"', session_id,
+            '","content_id":"', content_id,
+            '","content_type":"', content_type,
+            '","event_type":"', event_type,
+            '","watch_seconds":', CAST(watch_seconds AS VARCHAR),
+            CASE WHEN playback_position_seconds IS NULL THEN ''
+                 ELSE concat(',"playback_position_seconds":', CAST(playback_position_seconds AS VARCHAR)) END,
+            ',"device_type":"', device_type,
+            '","app_version":"', app_version,
+            '","country_code":"', country_code,
+            '","event_timestamp":"', strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ'),
+            '"}') END AS value,
+        event_id, user_id, session_id, content_id, content_type, event_type, watch_seconds,
+        playback_position_seconds, device_type, app_version, country_code, event_timestamp
+    FROM copies
+),
+bronze AS (
+    SELECT kafka_key, kafka_partition, kafka_offset, kafka_timestamp,
+           CASE WHEN copy < 2 THEN event_id END AS event_id,
+           CASE WHEN copy < 2 THEN user_id END AS user_id,
+           CASE WHEN copy < 2 THEN session_id END AS session_id,
+           CASE WHEN copy < 2 THEN content_id END AS content_id,
+           CASE WHEN copy < 2 THEN content_type END AS content_type,
+           CASE WHEN copy < 2 THEN event_type END AS event_type,
+           CASE WHEN copy < 2 THEN watch_seconds END AS watch_seconds,
+           CASE WHEN copy < 2 THEN playback_position_seconds END AS playback_position_seconds,
+           CASE WHEN copy < 2 THEN device_type END AS device_type,
+           CASE WHEN copy < 2 THEN app_version END AS app_version,
+           CASE WHEN copy < 2 THEN country_code END AS country_code,
+           CASE WHEN copy < 2 THEN event_timestamp END AS event_timestamp
+    FROM wire
+)"""
+
+
+def with_wire(body: str) -> str:
+    """Prefix a statement with the canonical, silver, wire and bronze CTEs."""
+    body = body.strip()
+    head = "WITH " + CANONICAL_CTE + ",\n" + WIRE_CTE
+    if body.upper().startswith("WITH "):
+        return head + ",\n" + body[5:]
+    return head + "\n" + body
