@@ -46,3 +46,14 @@ def test_previous_row_null_timestamps_sort_first(spark):
     got = {r["tie"]: (r["p"]["v"] if r["p"] else None)
            for r in previous_row(df, ["k"], "ts", "tie", ["v"], out="p").collect()}
     assert got == {0: None, 1: 0, 2: 1}
+
+
+def test_cumulative_sum_keeps_null_keys_and_null_values(spark):
+    rows = [("a", dt.datetime(2024, 1, 1, 0, 0, 0), 1, None), ("a", dt.datetime(2024, 1, 1, 0, 0, 1), 2, 5),
+            ("a", dt.datetime(2024, 1, 1, 0, 1, 0), 3, None), ("a", None, 0, 7), (None, dt.datetime(2024, 1, 1), 4, 2),
+            ("b", dt.datetime(2024, 1, 1), 5, None)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, tie long, v int")
+    got = {r["tie"]: r["cum"] for r in cumulative_sum(df, ["k"], "ts", "tie", "v", "cum", bucket_seconds=10).collect()}
+    w = Window.partitionBy("k").orderBy("ts", "tie").rowsBetween(Window.unboundedPreceding, 0)
+    ref = {r["tie"]: r["cum"] for r in df.withColumn("cum", F.sum("v").over(w)).collect()}
+    assert got == ref and len(got) == 6

@@ -2,9 +2,15 @@
 
 A window ``partitionBy(key)`` sends every row of a key to one task. When one
 key (a bot user, a replayed session) holds a third of all rows, that task is
-the job. The helpers below cut the time axis into buckets so that the heavy
-work runs per (key, bucket), and carry the state across buckets through a
-small per-bucket table (at most one row per key and bucket).
+the job. ``ordered_scan`` cuts the time axis of every key into buckets so the
+heavy window work runs per (key, bucket), and carries state across buckets
+through a small per-bucket table (one row per key and bucket).
+
+Plan shape: scan -> Exchange(key, bucket) -> Window (one operator for all
+frames) -> join with the per-bucket carry on (key, bucket). The carry is
+derived from the same windowed rows (the exchange is reused), and the keys are
+packed into one non-null struct column, so the join keeps the partitioning of
+the big side and NULL keys or timestamps are not filtered out.
 """
 
 from __future__ import annotations
@@ -16,12 +22,83 @@ from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_SECONDS = 10
 
+_K = "_tw_key"
 _B = "_tw_bucket"
+# Rows without a timestamp form their own bucket, ordered first (NULLS FIRST).
+_NULL_BUCKET = -(2 ** 63)
 
 
-def _with_bucket(df: DataFrame, ts: str, bucket_seconds: int) -> DataFrame:
-    bucket_us = int(bucket_seconds) * 1_000_000
-    return df.withColumn(_B, F.floor(F.unix_micros(F.col(ts)) / F.lit(bucket_us)))
+def ordered_scan(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    tie: str,
+    lag: Sequence[str] = (),
+    running_sum: Sequence[str] = (),
+    last_before: Sequence[str] = (),
+    prefix: str = "",
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+) -> DataFrame:
+    """Per row, in (ts, tie) order within ``keys`` (NULLs first), adds:
+
+    - ``{prefix}has_prev``: the row has a predecessor in its key;
+    - ``{prefix}prev_<c>``: value of ``c`` on the previous row (``lag``);
+    - ``{prefix}cum_<c>``: running SUM of ``c`` up to and including the row;
+    - ``{prefix}last_<c>``: last non-NULL ``c`` strictly before the row.
+
+    Equal to the same window functions over ``partitionBy(keys)`` when
+    (ts, tie) is unique within a key, without the one-task-per-key limit.
+    """
+    keyed = df.withColumns(
+        {
+            _K: F.struct(*[F.col(k) for k in keys]),
+            _B: F.coalesce(
+                F.floor(F.unix_micros(F.col(ts)) / F.lit(int(bucket_seconds) * 1_000_000)),
+                F.lit(_NULL_BUCKET).cast("long"),
+            ),
+        }
+    )
+    w = Window.partitionBy(_K, _B).orderBy(F.col(ts).asc_nulls_first(), F.col(tie).asc_nulls_first())
+    w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w_before = w.rowsBetween(Window.unboundedPreceding, -1)
+    w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cols = {"_tw_first": F.row_number().over(w) == 1}
+    for c in lag:
+        cols[f"_tw_lag_{c}"] = F.lag(c).over(w)
+        cols[f"_tw_blast_{c}"] = F.last(c).over(w_all)
+    for c in running_sum:
+        cols[f"_tw_run_{c}"] = F.sum(c).over(w_run)
+        cols[f"_tw_btot_{c}"] = F.sum(c).over(w_all)
+    for c in last_before:
+        cols[f"_tw_lb_{c}"] = F.last(c, ignorenulls=True).over(w_before)
+        cols[f"_tw_bln_{c}"] = F.last(c, ignorenulls=True).over(w_all)
+    rows = keyed.withColumns(cols)
+
+    # One summary row per (key, bucket), carried to the next bucket of the key.
+    wk = Window.partitionBy(_K).orderBy(_B)
+    wk_before = wk.rowsBetween(Window.unboundedPreceding, -1)
+    carry_cols = [F.lag(_B).over(wk).isNotNull().alias("_tw_cprev")]
+    carry_cols += [F.lag(f"_tw_blast_{c}").over(wk).alias(f"_tw_clag_{c}") for c in lag]
+    carry_cols += [F.sum(f"_tw_btot_{c}").over(wk_before).alias(f"_tw_csum_{c}") for c in running_sum]
+    carry_cols += [F.last(f"_tw_bln_{c}", ignorenulls=True).over(wk_before).alias(f"_tw_clast_{c}")
+                   for c in last_before]
+    carry = rows.filter("_tw_first").select(_K, _B, *carry_cols)
+
+    j = rows.join(carry, on=[_K, _B], how="inner")
+    first = F.col("_tw_first")
+    out = {f"{prefix}has_prev": ~first | F.col("_tw_cprev")}
+    for c in lag:
+        out[f"{prefix}prev_{c}"] = F.when(first, F.col(f"_tw_clag_{c}")).otherwise(F.col(f"_tw_lag_{c}"))
+    for c in running_sum:
+        off, cur = F.col(f"_tw_csum_{c}"), F.col(f"_tw_run_{c}")
+        # SUM semantics: NULL only while every value so far is NULL.
+        out[f"{prefix}cum_{c}"] = F.when(off.isNull() & cur.isNull(), F.lit(None)).otherwise(
+            F.coalesce(off, F.lit(0)) + F.coalesce(cur, F.lit(0))
+        )
+    for c in last_before:
+        out[f"{prefix}last_{c}"] = F.coalesce(F.col(f"_tw_lb_{c}"), F.col(f"_tw_clast_{c}"))
+    internal = [c for c in j.columns if c.startswith("_tw_")]
+    return j.withColumns(out).drop(*internal)
 
 
 def cumulative_sum(
@@ -33,35 +110,9 @@ def cumulative_sum(
     out: str,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
 ) -> DataFrame:
-    """Running sum of ``value`` per ``keys`` in (ts, tie) order.
-
-    1. bucket totals: ``groupBy(keys, bucket).sum`` (partial aggregation, so a
-       hot key collapses map-side before the shuffle);
-    2. bucket offsets: running sum over the bucket totals of each key;
-    3. in-bucket running sum: window partitioned by (keys, bucket);
-    4. join 2 and 3 on (keys, bucket).
-
-    Identical to ``sum(value) over (partition by keys order by ts, tie)``
-    when (ts, tie) is unique within a key.
-    """
-    keys = list(keys)
-    with_b = _with_bucket(df, ts, bucket_seconds)
-    totals = with_b.groupBy(*keys, _B).agg(F.sum(value).alias("_tw_bt"))
-    w_off = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *keys, _B, F.coalesce(F.sum("_tw_bt").over(w_off), F.lit(0)).alias("_tw_off")
-    )
-    w_in = (
-        Window.partitionBy(*keys, _B)
-        .orderBy(F.col(ts), F.col(tie))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    inner = with_b.withColumn("_tw_in", F.sum(value).over(w_in))
-    return (
-        inner.join(offsets, on=[*keys, _B], how="inner")
-        .withColumn(out, F.col("_tw_off") + F.col("_tw_in"))
-        .drop(_B, "_tw_off", "_tw_in")
-    )
+    """``sum(value) over (partition by keys order by ts, tie)`` as ``out``."""
+    scanned = ordered_scan(df, keys, ts, tie, running_sum=[value], prefix="_cs_", bucket_seconds=bucket_seconds)
+    return scanned.withColumnRenamed(f"_cs_cum_{value}", out).drop("_cs_has_prev")
 
 
 def previous_row(
@@ -73,32 +124,9 @@ def previous_row(
     out: str = "prev",
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
 ) -> DataFrame:
-    """Add ``out``: struct of ``cols`` from the previous row of the same key in
-    (ts, tie) order, NULL for the first row. Same as ``lag(struct(cols))`` over
-    ``partitionBy(keys).orderBy(ts, tie)``, without the one-task-per-key limit.
-
-    Rows with a NULL ts form their own bucket and sort first, as in a window
-    with ascending NULLS FIRST.
-    """
-    keys = list(keys)
-    row = F.struct(*[F.col(c) for c in cols])
-    order = F.struct(F.col(ts), F.col(tie))
-    with_b = _with_bucket(df, ts, bucket_seconds)
-    # Last row of every (key, bucket): an aggregate, partial on hot keys.
-    last = with_b.groupBy(*keys, _B).agg(F.max_by(row, order).alias("_tw_last"))
-    w_b = Window.partitionBy(*keys).orderBy(F.col(_B).asc_nulls_first())
-    carry = last.select(*keys, _B, F.lag("_tw_last").over(w_b).alias("_tw_carry"))
-    w_in = Window.partitionBy(*keys, _B).orderBy(F.col(ts), F.col(tie))
-    inner = with_b.withColumn("_tw_prev_in", F.lag(row).over(w_in))
-    # Null-safe keys: the NULL-ts bucket (and a NULL key) joins its own carry row.
-    joined = inner.alias("i").join(
-        carry.alias("c"),
-        on=[F.col(f"i.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys + [_B]],
-        how="inner",
+    """``lag(struct(cols))`` over ``partitionBy(keys).orderBy(ts, tie)`` as ``out``."""
+    scanned = ordered_scan(df, keys, ts, tie, lag=cols, prefix="_pr_", bucket_seconds=bucket_seconds)
+    prev = F.struct(*[F.col(f"_pr_prev_{c}").alias(c) for c in cols])
+    return scanned.withColumn(out, F.when(F.col("_pr_has_prev"), prev)).drop(
+        "_pr_has_prev", *[f"_pr_prev_{c}" for c in cols]
     )
-    return joined.select(
-        "i.*",
-        F.when(F.col("i._tw_prev_in").isNull(), F.col("c._tw_carry"))
-        .otherwise(F.col("i._tw_prev_in"))
-        .alias(out),
-    ).drop(_B, "_tw_prev_in")
