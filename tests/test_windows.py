@@ -57,3 +57,28 @@ def test_cumulative_sum_keeps_null_keys_and_null_values(spark):
     w = Window.partitionBy("k").orderBy("ts", "tie").rowsBetween(Window.unboundedPreceding, 0)
     ref = {r["tie"]: r["cum"] for r in df.withColumn("cum", F.sum("v").over(w)).collect()}
     assert got == ref and len(got) == 6
+
+
+def test_ordered_scan_last_non_null_before_and_has_prev(spark):
+    from tidewater.functions.windows import ordered_scan
+
+    rnd = random.Random(11)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(2000):
+        key = "hot" if rnd.random() < 0.5 else f"k{rnd.randint(0, 20)}"
+        ts = None if rnd.random() < 0.02 else t0 + dt.timedelta(seconds=rnd.randint(0, 600))
+        v = None if rnd.random() < 0.7 else rnd.choice(["pause", "resume"])
+        rows.append((key, ts, i, v))
+    df = spark.createDataFrame(rows, "k string, ts timestamp, tie long, v string")
+    got = ordered_scan(df, ["k"], "ts", "tie", last_before=["v"], lag=["tie"], prefix="s_", bucket_seconds=9)
+    w = Window.partitionBy("k").orderBy(F.col("ts").asc_nulls_first(), F.col("tie").asc_nulls_first())
+    ref = df.select(
+        "tie",
+        F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("s_last_v"),
+        F.lag("tie").over(w).alias("s_prev_tie"),
+        F.lag("tie").over(w).isNotNull().alias("s_has_prev"),
+    )
+    a = got.select("tie", "s_last_v", "s_prev_tie", "s_has_prev")
+    assert a.count() == 2000
+    assert a.exceptAll(ref).count() == 0 and ref.exceptAll(a).count() == 0

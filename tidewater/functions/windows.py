@@ -6,11 +6,18 @@ the job. ``ordered_scan`` cuts the time axis of every key into buckets so the
 heavy window work runs per (key, bucket), and carries state across buckets
 through a small per-bucket table (one row per key and bucket).
 
-Plan shape: scan -> Exchange(key, bucket) -> Window (one operator for all
-frames) -> join with the per-bucket carry on (key, bucket). The carry is
-derived from the same windowed rows (the exchange is reused), and the keys are
-packed into one non-null struct column, so the join keeps the partitioning of
-the big side and NULL keys or timestamps are not filtered out.
+Plan shape:
+
+- rows: Exchange(key, bucket) -> Window (one operator for all frames);
+- carry: partial aggregate per (key, bucket) straight from the input (map-side
+  combine, so only one narrow row per key, bucket and map task is shuffled),
+  then a window over the buckets of each key (a month of 10 s buckets is
+  267,840 rows for the hottest key);
+- join of the two on (key, bucket), which keeps the partitioning of the big
+  side; the carry side is small and AQE may broadcast it.
+
+The keys are packed into one non-null struct column and NULL timestamps get
+their own bucket, so NULL keys or timestamps are never filtered by the join.
 """
 
 from __future__ import annotations
@@ -58,23 +65,28 @@ def ordered_scan(
             ),
         }
     )
+    # In-bucket frames.
     w = Window.partitionBy(_K, _B).orderBy(F.col(ts).asc_nulls_first(), F.col(tie).asc_nulls_first())
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     w_before = w.rowsBetween(Window.unboundedPreceding, -1)
-    w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     cols = {"_tw_first": F.row_number().over(w) == 1}
     for c in lag:
         cols[f"_tw_lag_{c}"] = F.lag(c).over(w)
-        cols[f"_tw_blast_{c}"] = F.last(c).over(w_all)
     for c in running_sum:
         cols[f"_tw_run_{c}"] = F.sum(c).over(w_run)
-        cols[f"_tw_btot_{c}"] = F.sum(c).over(w_all)
     for c in last_before:
         cols[f"_tw_lb_{c}"] = F.last(c, ignorenulls=True).over(w_before)
-        cols[f"_tw_bln_{c}"] = F.last(c, ignorenulls=True).over(w_all)
     rows = keyed.withColumns(cols)
 
-    # One summary row per (key, bucket), carried to the next bucket of the key.
+    # One summary row per (key, bucket): last row, total, last non-NULL value.
+    # Struct order is (ts, tie) with NULLs first, as in the window above.
+    order = F.struct(F.col(ts), F.col(tie))
+    aggs = [F.count(F.lit(1)).alias("_tw_n")]
+    aggs += [F.max_by(F.col(c), order).alias(f"_tw_blast_{c}") for c in lag]
+    aggs += [F.sum(c).alias(f"_tw_btot_{c}") for c in running_sum]
+    aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(f"_tw_bln_{c}") for c in last_before]
+    buckets = keyed.groupBy(_K, _B).agg(*aggs)
+    # Carried into each bucket from the earlier buckets of the same key.
     wk = Window.partitionBy(_K).orderBy(_B)
     wk_before = wk.rowsBetween(Window.unboundedPreceding, -1)
     carry_cols = [F.lag(_B).over(wk).isNotNull().alias("_tw_cprev")]
@@ -82,7 +94,7 @@ def ordered_scan(
     carry_cols += [F.sum(f"_tw_btot_{c}").over(wk_before).alias(f"_tw_csum_{c}") for c in running_sum]
     carry_cols += [F.last(f"_tw_bln_{c}", ignorenulls=True).over(wk_before).alias(f"_tw_clast_{c}")
                    for c in last_before]
-    carry = rows.filter("_tw_first").select(_K, _B, *carry_cols)
+    carry = buckets.select(_K, _B, *carry_cols)
 
     j = rows.join(carry, on=[_K, _B], how="inner")
     first = F.col("_tw_first")

@@ -13,7 +13,7 @@ from typing import Optional, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.windows import previous_row
+from ..functions.windows import ordered_scan
 from ..schema import (
     ENUM_RULES,
     EVENT_COLUMNS,
@@ -155,70 +155,46 @@ def session_audit(
     resume_without_pause, events_after_terminal, watch_decreases,
     attribute_changes.
 
-    Plan, all keyed by session_id and skew-safe:
-    - per-session aggregate (partial): count, first event type via ``min_by``,
-      first terminal position, distinct count of each attribute;
-    - events after the first terminal: join that position back, count;
-    - previous-row checks (watch falls; resume without an open pause) through
-      ``previous_row``, which splits a hot session into time buckets.
+    Plan: one ``ordered_scan`` (skew-safe: a hot session is cut into time
+    buckets) gives per row the previous watch_seconds, the number of terminal
+    events so far and the last pause/resume before it; one aggregate per
+    session (partial, so a hot session collapses map-side) counts the rows
+    that break a rule. No join back to the events.
     """
     if tie is None:
         tie = "kafka_offset" if "kafka_offset" in df.columns else "event_id"
     ts = "event_timestamp"
-    cols = ["session_id", ts, tie, "event_type", "watch_seconds", *attributes]
-    ev = df.select(*dict.fromkeys(cols))
-    order = F.struct(F.col(ts), F.col(tie))
     terminal = F.col("event_type").isin(list(TERMINAL_EVENT_TYPES))
-
-    per_session = ev.groupBy("session_id").agg(
+    ev = df.select(
+        *dict.fromkeys(["session_id", ts, tie, "event_type", "watch_seconds", *attributes]),
+        terminal.cast("long").alias("_term"),
+        F.when(F.col("event_type").isin("pause", "resume"), F.col("event_type")).alias("_pr"),
+    )
+    scanned = ordered_scan(
+        ev, ["session_id"], ts, tie,
+        lag=["watch_seconds"], running_sum=["_term"], last_before=["_pr"],
+        prefix="_s_", bucket_seconds=bucket_seconds,
+    )
+    order = F.struct(F.col(ts), F.col(tie))
+    after_terminal = (F.col("_s_cum__term") - F.col("_term")) > 0
+    bad_resume = (F.col("event_type") == "resume") & F.coalesce(F.col("_s_last__pr") != "pause", F.lit(True))
+    watch_falls = F.col("_s_prev_watch_seconds") > F.col("watch_seconds")
+    per_session = scanned.groupBy("session_id").agg(
         F.count(F.lit(1)).alias("events"),
         F.min_by(F.col("event_type"), order).alias("_first_type"),
-        F.min(F.when(terminal, order)).alias("_first_terminal"),
+        F.count_if(bad_resume).alias("resume_without_pause"),
+        F.count_if(after_terminal).alias("events_after_terminal"),
+        F.count_if(F.coalesce(watch_falls, F.lit(False))).alias("watch_decreases"),
         *[F.count_distinct(a).alias(f"_nd_{a}") for a in attributes],
     )
-
-    after_terminal = (
-        ev.join(per_session.select("session_id", "_first_terminal"), "session_id")
-        .filter(F.col("_first_terminal").isNotNull() & (order > F.col("_first_terminal")))
-        .groupBy("session_id")
-        .agg(F.count(F.lit(1)).alias("events_after_terminal"))
-    )
-
-    # watch_seconds falls against the previous event of the session.
-    watch_prev = previous_row(ev, ["session_id"], ts, tie, ["watch_seconds"], out="_p",
-                              bucket_seconds=bucket_seconds)
-    watch_drops = (
-        watch_prev.filter(F.col("_p.watch_seconds") > F.col("watch_seconds"))
-        .groupBy("session_id")
-        .agg(F.count(F.lit(1)).alias("watch_decreases"))
-    )
-
-    # A resume needs an open pause: the latest pause/resume before it is a pause.
-    pr = ev.filter(F.col("event_type").isin("pause", "resume"))
-    pr_prev = previous_row(pr, ["session_id"], ts, tie, ["event_type"], out="_p",
-                           bucket_seconds=bucket_seconds)
-    bad_resumes = (
-        pr_prev.filter(
-            (F.col("event_type") == "resume")
-            & (F.col("_p").isNull() | (F.col("_p.event_type") != "pause"))
-        )
-        .groupBy("session_id")
-        .agg(F.count(F.lit(1)).alias("resume_without_pause"))
-    )
-
     changes = sum((F.greatest(F.col(f"_nd_{a}") - 1, F.lit(0)) for a in attributes), F.lit(0))
-    out = (
-        per_session.join(bad_resumes, "session_id", "left")
-        .join(after_terminal, "session_id", "left")
-        .join(watch_drops, "session_id", "left")
-    )
-    return out.select(
+    return per_session.select(
         "session_id",
         "events",
         F.coalesce(F.col("_first_type") == "play", F.lit(False)).alias("starts_with_play"),
-        F.coalesce("resume_without_pause", F.lit(0)).cast("long").alias("resume_without_pause"),
-        F.coalesce("events_after_terminal", F.lit(0)).cast("long").alias("events_after_terminal"),
-        F.coalesce("watch_decreases", F.lit(0)).cast("long").alias("watch_decreases"),
+        F.col("resume_without_pause").cast("long").alias("resume_without_pause"),
+        F.col("events_after_terminal").cast("long").alias("events_after_terminal"),
+        F.col("watch_decreases").cast("long").alias("watch_decreases"),
         changes.cast("long").alias("attribute_changes"),
     )
 
