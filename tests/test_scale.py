@@ -148,3 +148,19 @@ def test_kafka_options_contract():
     assert o["maxOffsetsPerTrigger"] == "500"
     plain = kafka_options("b:9092", "t")
     assert "kafka.security.protocol" not in plain and "maxOffsetsPerTrigger" not in plain
+
+
+def test_compaction_splits_a_hot_clustering_value(spark, lake):
+    from tidewater.sinks.compact import compact_table
+    from tidewater.sinks.storage import read_path, write_table
+
+    rows = [("hot" if i % 2 else f"u{i}", T0 + dt.timedelta(seconds=i), f"e{i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "user_id string, event_timestamp timestamp, event_id string")
+    path = lake.path("silver", "hot")
+    write_table(df, lake, path)
+    compact_table(spark, lake, path, cluster_by=("user_id",), target_files=4)
+    back = read_path(spark, lake, path)
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    per_file = back.groupBy(F.input_file_name().alias("f")).agg(F.count_if(F.col("user_id") == "hot").alias("n"))
+    counts = [r["n"] for r in per_file.collect()]
+    assert len(counts) >= 2 and max(counts) < 200

@@ -14,7 +14,7 @@ from typing import Optional
 
 @dataclass(frozen=True)
 class LakeConfig:
-    # Root of the lake, e.g. "s3a://bucket/lake" or "/tmp/run-x/lake".
+    # Root of the lake on storage every executor sees, e.g. "hdfs:///lake".
     root: str
     # "parquet" (default; versioned directories give atomic overwrite) or "delta".
     table_format: str = "parquet"

@@ -3,8 +3,10 @@
 With Delta present this is ``OPTIMIZE .. ZORDER BY``. On Parquet the table is
 read at its latest version, range-partitioned on the clustering columns
 (``repartitionByRange`` samples the keys, so every task gets an even, sorted
-key range; a hot value is split across tasks by the trailing columns), sorted
-within each task and written as a new version. The order is linear on the
+key range), sorted within each task and written as a new version. The range
+key ends with ``split_by`` columns (by default the event time and id where
+present): a hot clustering value, say one user with a third of the rows, then
+spreads over many range partitions instead of one task. The order is linear on the
 columns, not a Z-order curve: selective filters on the first column skip most
 row groups, filters on later columns less so.
 """
@@ -20,6 +22,7 @@ from ..config import LakeConfig
 from .storage import latest_path, path_size, read_path, write_table
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+DEFAULT_SPLIT_BY = ("event_timestamp", "event_id")
 
 
 def compact_table(
@@ -29,6 +32,7 @@ def compact_table(
     cluster_by: Sequence[str],
     target_files: Optional[int] = None,
     partition_by: Sequence[str] = (),
+    split_by: Optional[Sequence[str]] = None,
 ) -> str:
     """Rewrite a table as about ``target_files`` files clustered by
     ``cluster_by``; returns the new version path. Rows are unchanged."""
@@ -41,6 +45,8 @@ def compact_table(
         size = path_size(spark, latest_path(spark, table_path))
         target_files = max(1, math.ceil(size / TARGET_FILE_BYTES))
     # Partition columns lead the range key so each task covers few directories.
-    keys = list(dict.fromkeys([*partition_by, *cluster_by]))
+    if split_by is None:
+        split_by = [c for c in DEFAULT_SPLIT_BY if c in df.columns]
+    keys = list(dict.fromkeys([*partition_by, *cluster_by, *split_by]))
     laid_out = df.repartitionByRange(int(target_files), *keys).sortWithinPartitions(*keys)
     return write_table(laid_out, cfg, table_path, partition_by=partition_by)
