@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Iterable, Optional
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import contains_ci, round_avg
@@ -117,17 +117,15 @@ def session_match_count(g5: DataFrame, search: str = "", literal: bool = False)
 def device_share(g4: DataFrame) -> DataFrame:
     """Q7: Q4 plus the percent of all events, rounded to one decimal.
 
-    The window without partition runs on Q4's output: at most one row per
-    device type, so the single partition holds a handful of rows whatever the
-    data size. The share is computed in double (a decimal literal would give
-    decimal(26,1)).
+    The total is a scalar subquery (a global aggregate, partial per task, one
+    value handed to every task), so no row of Q4 is moved to one partition
+    and nothing is cross-joined, whatever the number of device types. The
+    share is computed in double (a decimal literal would give decimal(26,1)).
     """
     mix = g4.groupBy("device_type").agg(F.sum("event_count").cast("long").alias("events"))
-    total = F.sum("events").over(Window.partitionBy())
+    total = g4.select(F.sum("event_count").cast("double")).scalar()
     return mix.select(
         "device_type",
         "events",
-        F.round(F.lit(100.0).cast("double") * F.col("events").cast("double") / total.cast("double"), 1).alias(
-            "share"
-        ),
+        F.round(F.lit(100.0).cast("double") * F.col("events").cast("double") / total, 1).alias("share"),
     ).orderBy(F.desc("events"), F.col("device_type").asc_nulls_last())
