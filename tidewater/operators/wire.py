@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.expr import audit_time
+from .enrich import stamp_ingested
 from ..schema import EVENT_COLUMNS, EVENT_SCHEMA, WIRE_TIMESTAMP_FORMAT
 
 
@@ -58,7 +58,7 @@ def bronze_from_wire(
     if keep_raw_value:
         cols.append(F.col("value").cast("string").alias("_raw"))
     parsed = flatten_event(wire.select(*cols))
-    out = parsed.withColumn("ingested_at", audit_time(clock))
+    out = stamp_ingested(parsed, clock)
     if keep_raw_value:
         out = out.withColumn(
             "raw_value", F.when(F.col("event_id").isNull(), F.col("_raw"))
