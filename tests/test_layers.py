@@ -96,3 +96,16 @@ def test_gold_event_counts_agree(spark):
     g1 = gold.daily_watch_time_by_country(silver)
     assert g1.filter(F.col("unique_users") > F.col("event_count")).count() == 0
     silver.unpersist()
+
+
+def test_stream_reports_live_ingest_metrics(spark, lake):
+    from tidewater.streaming.bronze import batch_metrics
+
+    wire_path = lake.path("landing", "wire")
+    write_wire(fixtures.wire_messages(spark, SF0001), wire_path)
+    src = wire_source(spark, wire_path, streaming=True, max_files_per_trigger=2)
+    q = ingest_bronze(spark, lake, src, trigger="available_now")
+    run_until_stopped(q)
+    m = [b for b in batch_metrics(q) if b["messages"] > 0]
+    assert sum(b["messages"] for b in m) == 1070
+    assert sum(b["failed"] for b in m) == 20 and sum(b["parsed"] for b in m) == 1050

@@ -11,10 +11,11 @@ from __future__ import annotations
 from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import BRONZE_TABLE, LakeConfig
-from ..operators.wire import bronze_from_wire
+from ..operators.wire import bronze_from_wire, parse_json
 
 DEFAULT_TRIGGER = "30 seconds"
 
@@ -42,14 +43,45 @@ def start_bronze(
     return w.start(path)
 
 
+# Name of the per-micro-batch metrics in ``StreamingQueryProgress.observedMetrics``.
+LIVE_METRICS = "ingest_live"
+
+
+def live_metrics(source: DataFrame) -> DataFrame:
+    """V5, live: messages, bytes, parsed and failed of every micro-batch.
+
+    ``observe`` computes them as a side aggregate of the batch itself (no extra
+    pass, no shuffle); Spark reports them in ``query.lastProgress`` and to any
+    ``StreamingQueryListener`` as ``observedMetrics[LIVE_METRICS]``.
+    """
+    failed = parse_json(F.col("value")).getField("event_id").isNull()
+    return source.observe(
+        LIVE_METRICS,
+        F.count(F.lit(1)).alias("messages"),
+        F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).cast("long").alias("bytes"),
+        F.count_if(~failed).alias("parsed"),
+        F.count_if(failed).alias("failed"),
+    )
+
+
+def batch_metrics(query: StreamingQuery) -> list:
+    """Observed V5 metrics of the micro-batches still in ``recentProgress``."""
+    out = []
+    for p in query.recentProgress:
+        m = (p.observedMetrics or {}).get(LIVE_METRICS)
+        if m is not None:
+            out.append({"batch_id": p.batchId, **m.asDict()})
+    return out
+
+
 def ingest_bronze(
     spark: SparkSession,
     cfg: LakeConfig,
     source: DataFrame,
     trigger: Optional[str] = DEFAULT_TRIGGER,
 ) -> StreamingQuery:
-    """PL1: source (Kafka or wire files) -> P1-P4 -> Bronze."""
-    bronze = bronze_from_wire(source, cfg.clock, cfg.keep_raw_value)
+    """PL1: source (Kafka or wire files) -> V5 live metrics -> P1-P4 -> Bronze."""
+    bronze = bronze_from_wire(live_metrics(source), cfg.clock, cfg.keep_raw_value)
     return start_bronze(
         bronze,
         cfg.path("bronze", BRONZE_TABLE),
