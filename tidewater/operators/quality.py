@@ -175,13 +175,14 @@ def session_audit(
         lag=["watch_seconds"], running_sum=["_term"], last_before=["_pr"],
         prefix="_s_", bucket_seconds=bucket_seconds,
     )
-    order = F.struct(F.col(ts), F.col(tie))
     after_terminal = (F.col("_s_cum__term") - F.col("_term")) > 0
     bad_resume = (F.col("event_type") == "resume") & F.coalesce(F.col("_s_last__pr") != "pause", F.lit(True))
     watch_falls = F.col("_s_prev_watch_seconds") > F.col("watch_seconds")
     per_session = scanned.groupBy("session_id").agg(
         F.count(F.lit(1)).alias("events"),
-        F.min_by(F.col("event_type"), order).alias("_first_type"),
+        # The first row of a session is the one without a predecessor: a
+        # boolean aggregate, so the whole aggregate stays hash-based.
+        F.bool_or(~F.col("_s_has_prev") & (F.col("event_type") == "play")).alias("_starts_play"),
         F.count_if(bad_resume).alias("resume_without_pause"),
         F.count_if(after_terminal).alias("events_after_terminal"),
         F.count_if(F.coalesce(watch_falls, F.lit(False))).alias("watch_decreases"),
@@ -191,7 +192,7 @@ def session_audit(
     return per_session.select(
         "session_id",
         "events",
-        F.coalesce(F.col("_first_type") == "play", F.lit(False)).alias("starts_with_play"),
+        F.coalesce(F.col("_starts_play"), F.lit(False)).alias("starts_with_play"),
         F.col("resume_without_pause").cast("long").alias("resume_without_pause"),
         F.col("events_after_terminal").cast("long").alias("events_after_terminal"),
         F.col("watch_decreases").cast("long").alias("watch_decreases"),
