@@ -141,7 +141,9 @@ def test_gold_invariants(spark, rows):
 
 
 def test_kafka_options_contract():
-    o = kafka_options("b:9092", "user_events", api_key="k", api_secret="s", max_offsets_per_trigger=500)
+    o = kafka_options("b:9092", "user_events", api_key="k", api_secret="s", max_offsets_per_trigger=500,
+                      min_partitions=600)
+    assert o["minPartitions"] == "600"
     assert o["subscribe"] == "user_events" and o["startingOffsets"] == "earliest"
     assert o["failOnDataLoss"] == "false" and o["kafka.security.protocol"] == "SASL_SSL"
     assert o["kafka.sasl.mechanism"] == "PLAIN" and 'username="k"' in o["kafka.sasl.jaas.config"]

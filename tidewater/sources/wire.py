@@ -19,11 +19,17 @@ def kafka_options(
     api_key: Optional[str] = None,
     api_secret: Optional[str] = None,
     max_offsets_per_trigger: Optional[int] = None,
+    min_partitions: Optional[int] = None,
     extra: Optional[Mapping[str, str]] = None,
 ) -> dict:
     """SRC1 options: one topic from the earliest offset, lost offsets tolerated,
     SASL_SSL/PLAIN when credentials are given. SRC5: ``maxOffsetsPerTrigger``
-    caps the records per micro-batch (rate limit)."""
+    caps the records per micro-batch (rate limit).
+
+    ``min_partitions``: Spark tasks per micro-batch. By default there is one
+    task per topic partition (6 on the reference topic), which caps the
+    ingest parallelism of a whole cluster at six cores; with more, Spark splits
+    the offset range of each partition over several tasks."""
     opts = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
@@ -44,6 +50,8 @@ def kafka_options(
         )
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
+    if min_partitions:
+        opts["minPartitions"] = str(int(min_partitions))
     opts.update(extra or {})
     return opts
 
