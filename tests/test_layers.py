@@ -109,3 +109,18 @@ def test_stream_reports_live_ingest_metrics(spark, lake):
     m = [b for b in batch_metrics(q) if b["messages"] > 0]
     assert sum(b["messages"] for b in m) == 1070
     assert sum(b["failed"] for b in m) == 20 and sum(b["parsed"] for b in m) == 1050
+
+
+def test_silver_write_keeps_files_per_date_small(spark, lake):
+    from tidewater.sinks.storage import latest_path
+    from tidewater.sinks.tables import write_silver
+
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    silver = registry._silver(spark, SF0001).repartition(8, "event_id")
+    write_silver(silver, lake)
+    root = latest_path(spark, lake.path("silver", SILVER_TABLE))
+    files = spark.read.parquet(root).select(F.input_file_name().alias("f"), "event_date").distinct()
+    per_date = files.groupBy("event_date").count().collect()
+    # Hash-partitioned input would give up to 8 files for each date.
+    assert sum(r["count"] for r in per_date) < 8 * len(per_date) / 2
+    assert read_silver(spark, lake).count() == 1000

@@ -37,8 +37,7 @@ def build_silver(spark: SparkSession, cfg: LakeConfig, bronze: Optional[DataFram
         F.count(F.lit(1)).alias("bronze_rows"),
         F.count_if(F.col("event_id").isNull()).alias("unparsed_rows"),
     )
-    silver = silver_from_bronze(counted, cfg.clock).observe(obs_out, F.count(F.lit(1)).alias("silver_rows"))
-    write_silver(silver, cfg)
+    write_silver(silver_from_bronze(counted, cfg.clock), cfg, observation=obs_out)
     b = int(obs_in.get["bronze_rows"])
     u = int(obs_in.get["unparsed_rows"])
     s = int(obs_out.get["silver_rows"])
