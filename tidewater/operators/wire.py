@@ -48,13 +48,18 @@ def bronze_from_wire(
     clock=None,
     keep_raw_value: bool = False,
     schema: StructType = EVENT_SCHEMA,
+    wire_bytes: Optional[str] = None,
 ) -> DataFrame:
     """PL1 projection: wire records -> Bronze rows (17 columns, S16 optional 18th).
 
     A narrow projection only: no shuffle, so it runs per micro-batch and per
-    Kafka partition in parallel.
+    Kafka partition in parallel. ``wire_bytes`` names an extra column with the
+    message size, for metrics taken on the same pass (the value is parsed
+    once).
     """
     cols = kafka_metadata() + [parse_json(F.col("value"), schema).alias("event")]
+    if wire_bytes:
+        cols.append(F.octet_length("value").alias(wire_bytes))
     if keep_raw_value:
         cols.append(F.col("value").cast("string").alias("_raw"))
     parsed = flatten_event(wire.select(*cols))
