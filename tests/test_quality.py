@@ -139,3 +139,18 @@ def test_silver_report(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,), ("b",)], "event_id string")
     r = quality.silver_report(df).collect()[0].asDict()
     assert r == {"bronze_rows": 4, "unparsed_rows": 1, "duplicate_rows": 1, "silver_rows": 2, "dropped_rows": 2}
+
+
+def test_write_quarantine_one_job_partitioned_by_status(spark, lake):
+    from tidewater.sinks.storage import read_path
+    from tidewater.sinks.tables import write_quarantine
+
+    ok = _row()
+    bad = _row(event_id=None, event_type="dance")
+    df = spark.createDataFrame([ok, bad], SCHEMA)
+    write_quarantine(df, lake)
+    back = read_path(spark, lake, lake.path("quarantine", "user_events"))
+    rejected = back.filter(F.col("status") == "rejected")
+    assert "PartitionFilters" in rejected._jdf.queryExecution().executedPlan().toString()
+    assert rejected.count() == 1 and back.filter(F.col("status") == "valid").count() == 1
+    assert sorted(rejected.collect()[0]["violations"]) == ["event_id_missing", "event_type_unknown"]

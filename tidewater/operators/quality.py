@@ -116,12 +116,26 @@ def validate_events(df: DataFrame, rules: Optional[list] = None) -> DataFrame:
     return df.withColumn("violations", violations_column(rules))
 
 
+def quarantine_status(df: DataFrame, rules: Optional[list] = None) -> DataFrame:
+    """V2 as one frame: V1's output plus ``status`` = 'valid' | 'rejected'.
+
+    One narrow pass; a writer partitions the result by ``status``
+    (``sinks.tables.write_quarantine``), so both sides are written by the same
+    job and readers select one side by partition pruning.
+    """
+    return validate_events(df, rules).withColumn(
+        "status", F.when(F.size("violations") == 0, F.lit("valid")).otherwise(F.lit("rejected"))
+    )
+
+
 def quarantine_split(df: DataFrame, rules: Optional[list] = None):
     """V2: (valid, rejected). Valid keeps the input columns; rejected adds
-    ``violations``. Both come from one validated frame: filters, no shuffle."""
-    checked = validate_events(df, rules)
-    valid = checked.filter(F.size("violations") == 0).drop("violations")
-    rejected = checked.filter(F.size("violations") > 0)
+    ``violations``. Both are filters of one validated frame (no shuffle); to
+    materialise both, write ``quarantine_status`` once instead of running two
+    actions over the input."""
+    checked = quarantine_status(df, rules)
+    valid = checked.filter(F.col("status") == "valid").drop("violations", "status")
+    rejected = checked.filter(F.col("status") == "rejected").drop("status")
     return valid, rejected
 
 
@@ -232,6 +246,7 @@ __all__ = [
     "contract_rules",
     "validate_events",
     "quarantine_split",
+    "quarantine_status",
     "violation_counts",
     "session_audit",
     "ingest_metrics",

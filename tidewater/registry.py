@@ -280,13 +280,9 @@ FIXTURE_RULE_EXCLUDES = ("event_id_length",)
 
 def q_quarantine_split(spark, d):
     rules = quality.contract_rules(exclude=FIXTURE_RULE_EXCLUDES)
-    valid, rejected = quality.quarantine_split(_bronze(spark, d), rules)
-    return valid.select("kafka_offset", "event_id", F.lit("valid").alias("status"), F.lit("").alias("violations")).unionByName(
-        rejected.select(
-            "kafka_offset", "event_id", F.lit("rejected").alias("status"),
-            F.array_join("violations", ",").alias("violations"),
-        )
-    )
+    # Both sides from one pass: the status column carries the split.
+    tagged = quality.quarantine_status(_bronze(spark, d), rules)
+    return tagged.select("kafka_offset", "event_id", "status", F.array_join("violations", ",").alias("violations"))
 
 
 def q_violation_counts(spark, d):

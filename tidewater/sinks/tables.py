@@ -58,6 +58,15 @@ def write_gold(df: DataFrame, cfg: LakeConfig, name: str) -> int:
     return int(obs.get["rows"])
 
 
+def write_quarantine(df: DataFrame, cfg: LakeConfig, rules: Optional[list] = None,
+                     name: str = "user_events") -> str:
+    """V2 sink: valid and rejected rows in one job, partitioned by ``status``
+    (with ``violations`` kept for the rejected ones)."""
+    from ..operators.quality import quarantine_status
+
+    return write_table(quarantine_status(df, rules), cfg, cfg.path("quarantine", name), partition_by=("status",))
+
+
 def publish_gold(
     spark: SparkSession,
     cfg: LakeConfig,
