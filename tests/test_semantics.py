@@ -138,3 +138,42 @@ def test_top_content_tie_break_is_deterministic(spark):
 
 def test_event_columns_fixed():
     assert len(EVENT_COLUMNS) == 12
+
+
+def test_s16_raw_value_only_for_unparsed_messages(spark):
+    df = spark.createDataFrame(
+        [(b"k", b'{"event_id":"a"}', "t", 0, 1, dt.datetime(2024, 1, 1)),
+         (b"k", b"not json", "t", 0, 2, dt.datetime(2024, 1, 1))],
+        "key binary, value binary, topic string, partition int, offset long, timestamp timestamp",
+    )
+    got = {r["kafka_offset"]: r["raw_value"] for r in wire.bronze_from_wire(df, keep_raw_value=True).collect()}
+    assert got == {1: None, 2: "not json"}
+    assert "raw_value" not in wire.bronze_from_wire(df).columns
+
+
+def test_s12_top_n_any_n_and_s13_optional_date_range(spark):
+    import pytest
+
+    g2 = spark.createDataFrame([(f"c{i}", "movie", i) for i in range(60)],
+                               "content_id string, content_type string, total_watch_seconds long")
+    assert serving.top_content(g2, 1).collect()[0]["content_id"] == "c59"
+    assert serving.top_content(g2, 50).count() == 50
+    with pytest.raises(ValueError):
+        serving.top_content(g2, 0)
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    g1 = spark.createDataFrame([(d1, "IN", 5), (d2, "IN", 7), (d2, "US", 1)],
+                               "event_date date, country_code string, total_watch_seconds long")
+    assert {r["country_code"]: r["watch_time"] for r in serving.watch_time_by_country(g1).collect()} == \
+        {"IN": 12, "US": 1}
+    ranged = serving.watch_time_by_country(g1, date_from="2024-01-02", date_to="2024-01-02")
+    assert {r["country_code"]: r["watch_time"] for r in ranged.collect()} == {"IN": 7, "US": 1}
+
+
+def test_s8_content_grain_two_levels(spark):
+    silver = spark.createDataFrame(
+        [("c1", "movie", "u", "s", 5), ("c1", "trailer", "u", "s", 3)],
+        "content_id string, content_type string, user_id string, session_id string, watch_seconds int",
+    )
+    g2 = gold.top_content_by_watch_time(silver)
+    assert g2.count() == 2
+    assert [tuple(r) for r in serving.top_content(g2, 10).collect()] == [("c1", 8)]
