@@ -18,6 +18,7 @@ from ..sinks.storage import latest_path, path_size
 from ..sinks.tables import publish_gold, write_gold, write_silver
 from ..sources.tables import read_bronze, read_silver
 from .layers import silver_from_bronze
+from .parallel import run_jobs
 
 # Cache the pruned Silver columns only while they are this small; beyond it a
 # fresh column-pruned Parquet scan per Gold table is cheaper than spilling.
@@ -50,7 +51,8 @@ def build_silver(spark: SparkSession, cfg: LakeConfig, bronze: Optional[DataFram
     }
 
 
-def build_gold(spark: SparkSession, cfg: LakeConfig, cache: Optional[bool] = None) -> dict:
+def build_gold(spark: SparkSession, cfg: LakeConfig, cache: Optional[bool] = None,
+               concurrent: bool = True) -> dict:
     """PL3: Silver (C1 shared scan) -> G1..G5 -> SNK4; returns rows per table.
 
     Only the eleven columns the aggregates use are read (and cached);
@@ -67,7 +69,11 @@ def build_gold(spark: SparkSession, cfg: LakeConfig, cache: Optional[bool] = Non
     if cache:
         silver = silver.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return {name: write_gold(GOLD_BUILDERS[name](silver), cfg, name) for name in GOLD_TABLES}
+        if cache and concurrent:
+            # Fill the cache once; otherwise each concurrent job computes it.
+            silver.count()
+        tasks = {name: (lambda n=name: write_gold(GOLD_BUILDERS[n](silver), cfg, n)) for name in GOLD_TABLES}
+        return run_jobs(tasks, concurrent)
     finally:
         if cache:
             silver.unpersist()

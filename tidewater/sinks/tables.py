@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..config import GOLD_TABLES, SILVER_TABLE, LakeConfig
 from ..functions.expr import audit_time
 from ..operators.enrich import upper_columns
+from ..plans.parallel import run_jobs
 from .storage import read_path, write_table
 
 
@@ -73,6 +74,7 @@ def publish_gold(
     names: Iterable[str] = GOLD_TABLES,
     target: Optional[str] = None,
     jdbc: Optional[Mapping[str, str]] = None,
+    concurrent: bool = True,
 ) -> DataFrame:
     """SNK5: full replace of the warehouse copies, upper-case names.
 
@@ -82,9 +84,9 @@ def publish_gold(
     back must equal the count written, else the publish fails. Returns
     (table, rows).
     """
-    out = []
     root = target or cfg.path("warehouse", "").rstrip("/")
-    for name in names:
+
+    def publish_one(name: str):
         src = read_path(spark, cfg, cfg.path("gold", name))
         wh = upper_columns(src)
         obs = Observation(f"publish_{name}")
@@ -102,7 +104,10 @@ def publish_gold(
         written = int(obs.get["rows"])
         if back != written:
             raise RuntimeError(f"publish of {table}: wrote {written} rows, read back {back}")
-        out.append((table, written))
+        return table, written
+
+    # Independent tables: one driver thread per table, Spark runs the jobs side by side.
+    out = list(run_jobs({n: (lambda n=n: publish_one(n)) for n in names}, concurrent).values())
     return spark.createDataFrame(out, "table string, rows long")
 
 
