@@ -8,6 +8,7 @@ Stages timed (seconds, wall clock, one run each after a small warm-up):
   publish     SNK5: warehouse copies, counts verified
   q1..q7      dashboard queries on the Gold tables
   audit       V4 session audit over Silver
+  audit_hot   V4 with a third of all events moved into one session (skew)
   validate    V3 violation counts over Bronze
   metrics     V5 ingest metrics over the wire files
   g1_direct   flagship query as registered: events -> wire -> Silver -> G1
@@ -30,6 +31,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    from pyspark.sql import functions as F
+
     from tidewater import registry
     from tidewater.config import GOLD_TABLES, LakeConfig
     from tidewater.operators import gold, quality, serving
@@ -82,6 +85,14 @@ def main() -> None:
     timed("q6_session_explorer", lambda: serving.session_explorer(g["user_session_summary"], "u-1.3").count())
     timed("q7_device_share", lambda: serving.device_share(g["daily_device_mix"]).collect())
     timed("audit", lambda: quality.session_audit(read_silver(spark, cfg)).count())
+
+    def audit_hot():
+        # Skew probe derived from the data: every third user's events go to one session.
+        silver = read_silver(spark, cfg)
+        hot = F.when(F.abs(F.hash("user_id")) % 3 == 0, F.lit("s-hot")).otherwise(F.col("session_id"))
+        return quality.session_audit(silver.withColumn("session_id", hot)).count()
+
+    timed("audit_hot", audit_hot)
     timed("validate", lambda: quality.violation_counts(read_bronze(spark, cfg)).collect())
     timed("metrics", lambda: quality.ingest_metrics(wire_source(spark, wire_path)).collect())
     timed("g1_direct", lambda: registry.QUERIES["daily_watch_time_by_country"](spark, sf_dir).collect())
