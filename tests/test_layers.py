@@ -124,3 +124,19 @@ def test_silver_write_keeps_files_per_date_small(spark, lake):
     # Hash-partitioned input would give up to 8 files for each date.
     assert sum(r["count"] for r in per_date) < 8 * len(per_date) / 2
     assert read_silver(spark, lake).count() == 1000
+
+
+def test_compact_lake_keeps_tables(spark, lake):
+    from tidewater.sinks.compact import compact_lake
+
+    wire_path = lake.path("landing", "wire")
+    write_wire(fixtures.wire_messages(spark, SF0001), wire_path)
+    run_until_stopped(ingest_bronze(spark, lake, wire_source(spark, wire_path, streaming=True),
+                                    trigger="available_now"))
+    refresh_batch(spark, lake, publish=False).collect()
+    before_s = sorted(map(tuple, read_silver(spark, lake).drop("transformed_at").collect()))
+    before_g = sorted(map(tuple, read_gold(spark, lake, "user_session_summary").collect()))
+    paths = compact_lake(spark, lake, target_files=1)
+    assert set(paths) == {"silver.user_events", "gold.user_session_summary"}
+    assert sorted(map(tuple, read_silver(spark, lake).drop("transformed_at").collect())) == before_s
+    assert sorted(map(tuple, read_gold(spark, lake, "user_session_summary").collect())) == before_g

@@ -50,3 +50,22 @@ def compact_table(
     keys = list(dict.fromkeys([*partition_by, *cluster_by, *split_by]))
     laid_out = df.repartitionByRange(int(target_files), *keys).sortWithinPartitions(*keys)
     return write_table(laid_out, cfg, table_path, partition_by=partition_by)
+
+
+# The clustering the lake documents for its two most-read tables (fixed values).
+DEFAULT_CLUSTERING = {
+    ("silver", "user_events"): {"cluster_by": ("user_id", "event_date"), "partition_by": ("event_date",)},
+    ("gold", "user_session_summary"): {"cluster_by": ("country_code", "device_type"), "partition_by": ()},
+}
+
+
+def compact_lake(spark: SparkSession, cfg: LakeConfig, target_files: Optional[int] = None) -> dict:
+    """SNK8 for the lake: Silver by (user_id, event_date), the session Gold
+    table by (country_code, device_type). Returns table -> new version path."""
+    out = {}
+    for (layer, name), spec in DEFAULT_CLUSTERING.items():
+        out[f"{layer}.{name}"] = compact_table(
+            spark, cfg, cfg.path(layer, name), cluster_by=spec["cluster_by"],
+            target_files=target_files, partition_by=spec["partition_by"],
+        )
+    return out
