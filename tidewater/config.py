@@ -22,8 +22,6 @@ class LakeConfig:
     clock: Optional[_dt.datetime] = None
     # Extra column with the raw message text for rows whose parse failed.
     keep_raw_value: bool = False
-    # Optional [start, end] event_date range for incremental Gold builds.
-    date_range: Optional[tuple] = None
     # Older table versions kept for readers still in flight.
     keep_versions: int = 2
     extra: dict = field(default_factory=dict)
