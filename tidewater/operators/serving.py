@@ -78,6 +78,17 @@ def device_event_mix(g4: DataFrame) -> DataFrame:
     )
 
 
+# Display names of the device breakdown table (fixed values).
+DEVICE_DISPLAY = {"device_type": "Device", "events": "Events"}
+
+
+def device_breakdown(g4: DataFrame) -> DataFrame:
+    """Q4 with display names (P8), as the dashboard's breakdown table shows it."""
+    from .enrich import rename_display
+
+    return rename_display(device_event_mix(g4), DEVICE_DISPLAY)
+
+
 def event_type_distribution(g3: DataFrame) -> DataFrame:
     """Q5: events per event type, descending."""
     return (

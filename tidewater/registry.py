@@ -349,6 +349,26 @@ def q_search_sessions(spark, d):
     return _show(serving.session_explorer(gold.user_session_summary(_silver(spark, d)), SEARCH_TEXT))
 
 
+def q_rename_display(spark, d):
+    return serving.device_breakdown(gold.daily_device_mix(_silver(spark, d)))
+
+
+def q_stamp_ingested(spark, d):
+    """P4 with the injected clock (S14): every Bronze row gets the same stamp."""
+    b = _bronze(spark, d)
+    return b.select("kafka_offset", to_ntz("ingested_at").alias("ingested_at"))
+
+
+def q_order_by_mixed(spark, d):
+    """O1: G1 in its reader order (event_date asc, total desc, country)."""
+    return gold.ordered(gold.daily_watch_time_by_country(_silver(spark, d)), "daily_watch_time_by_country")
+
+
+def q_order_by_desc(spark, d):
+    """O2: G2 in its reader order (total desc, then keys)."""
+    return gold.ordered(gold.top_content_by_watch_time(_silver(spark, d)), "top_content_by_watch_time")
+
+
 def q_device_share(spark, d):
     return serving.device_share(gold.daily_device_mix(_silver(spark, d)))
 
@@ -376,6 +396,8 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "event_hour": q_event_hour,
     "upper_columns": q_upper_columns,
     "normalise_event": q_normalise_event,
+    "stamp_ingested": q_stamp_ingested,
+    "rename_display": q_rename_display,
     # filters and quality
     "drop_unparsed": q_drop_unparsed,
     "dedupe_events": q_dedupe_events,
@@ -395,6 +417,8 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_session_summary": q_user_session_summary,
     "daily_watch_time_accurate": q_daily_watch_time_accurate,
     "watch_per_user": q_watch_per_user,
+    "order_by_mixed": q_order_by_mixed,
+    "order_by_desc": q_order_by_desc,
     # serving
     "kpi_overview": q_kpi_overview,
     "watch_time_by_country": q_watch_time_by_country,
@@ -643,6 +667,12 @@ SELECT device_type, CAST(sum(event_count) AS BIGINT) AS events FROM g4 GROUP BY
         f"""WITH g3 AS ({_G3})
 SELECT event_type, CAST(sum(event_count) AS BIGINT) AS events FROM g3 GROUP BY event_type"""),
     "session_explorer": with_silver(_EXPLORER),
+    "rename_display": with_silver(
+        f"""WITH g4 AS ({_G4})
+SELECT device_type AS "Device", CAST(sum(event_count) AS BIGINT) AS "Events" FROM g4 GROUP BY device_type"""),
+    "stamp_ingested": with_wire("SELECT kafka_offset, TIMESTAMP '2024-02-01 00:00:00' AS ingested_at FROM bronze"),
+    "order_by_mixed": with_silver(_G1 + "\nORDER BY event_date, total_watch_seconds DESC, country_code"),
+    "order_by_desc": with_silver(_G2 + "\nORDER BY total_watch_seconds DESC, content_id, content_type"),
     "device_share": with_silver(
         f"""WITH g4 AS ({_G4}),
 m AS (SELECT device_type, CAST(sum(event_count) AS BIGINT) AS events FROM g4 GROUP BY device_type)
