@@ -54,7 +54,7 @@ def test_session_audit_hot_session_equals_plain_windows(spark):
         "watch_seconds int, user_id string, content_id string, content_type string, device_type string, "
         "app_version string, country_code string",
     )
-    got = {r["session_id"]: r.asDict() for r in quality.session_audit(df, bucket_seconds=5).collect()}
+    got = {r["session_id"]: r.asDict() for r in quality.session_audit(df, bucket_seconds=5, hot_rows=100).collect()}
 
     w = Window.partitionBy("session_id").orderBy("event_timestamp", "kafka_offset")
     term = F.col("event_type").isin("complete", "error").cast("int")

@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -20,18 +21,20 @@ def _data(spark, n=3000, seed=7):
     return spark.createDataFrame(rows, "k string, ts timestamp, tie long, v int")
 
 
-def test_cumulative_sum_matches_window(spark):
+@pytest.mark.parametrize("hot_rows", [0, 100, 1_000_000])
+def test_cumulative_sum_matches_window(spark, hot_rows):
     df = _data(spark)
-    got = cumulative_sum(df, ["k"], "ts", "tie", "v", "cum", bucket_seconds=7)
+    got = cumulative_sum(df, ["k"], "ts", "tie", "v", "cum", bucket_seconds=7, hot_rows=hot_rows)
     w = Window.partitionBy("k").orderBy("ts", "tie").rowsBetween(Window.unboundedPreceding, 0)
     ref = df.withColumn("cum", F.sum("v").over(w))
     assert got.select("tie", "cum").exceptAll(ref.select("tie", "cum")).count() == 0
     assert got.count() == df.count()
 
 
-def test_previous_row_matches_lag(spark):
+@pytest.mark.parametrize("hot_rows", [0, 100, 1_000_000])
+def test_previous_row_matches_lag(spark, hot_rows):
     df = _data(spark)
-    got = previous_row(df, ["k"], "ts", "tie", ["v", "tie"], out="p", bucket_seconds=13)
+    got = previous_row(df, ["k"], "ts", "tie", ["v", "tie"], out="p", bucket_seconds=13, hot_rows=hot_rows)
     w = Window.partitionBy("k").orderBy("ts", "tie")
     ref = df.withColumn("p", F.lag(F.struct("v", "tie")).over(w))
     a = got.select("tie", F.col("p.v").alias("pv"), F.col("p.tie").alias("pt"))
@@ -39,27 +42,30 @@ def test_previous_row_matches_lag(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_previous_row_null_timestamps_sort_first(spark):
+@pytest.mark.parametrize("hot_rows", [0, 100, 1_000_000])
+def test_previous_row_null_timestamps_sort_first(spark, hot_rows):
     df = spark.createDataFrame(
         [("a", None, 1, 1), ("a", dt.datetime(2024, 1, 1), 2, 2), ("a", None, 0, 0)],
         "k string, ts timestamp, tie long, v int")
     got = {r["tie"]: (r["p"]["v"] if r["p"] else None)
-           for r in previous_row(df, ["k"], "ts", "tie", ["v"], out="p").collect()}
+           for r in previous_row(df, ["k"], "ts", "tie", ["v"], out="p", hot_rows={100: 1}.get(hot_rows, hot_rows)).collect()}
     assert got == {0: None, 1: 0, 2: 1}
 
 
-def test_cumulative_sum_keeps_null_keys_and_null_values(spark):
+@pytest.mark.parametrize("hot_rows", [0, 100, 1_000_000])
+def test_cumulative_sum_keeps_null_keys_and_null_values(spark, hot_rows):
     rows = [("a", dt.datetime(2024, 1, 1, 0, 0, 0), 1, None), ("a", dt.datetime(2024, 1, 1, 0, 0, 1), 2, 5),
             ("a", dt.datetime(2024, 1, 1, 0, 1, 0), 3, None), ("a", None, 0, 7), (None, dt.datetime(2024, 1, 1), 4, 2),
             ("b", dt.datetime(2024, 1, 1), 5, None)]
     df = spark.createDataFrame(rows, "k string, ts timestamp, tie long, v int")
-    got = {r["tie"]: r["cum"] for r in cumulative_sum(df, ["k"], "ts", "tie", "v", "cum", bucket_seconds=10).collect()}
+    got = {r["tie"]: r["cum"] for r in cumulative_sum(df, ["k"], "ts", "tie", "v", "cum", bucket_seconds=10, hot_rows={100: 1}.get(hot_rows, hot_rows)).collect()}
     w = Window.partitionBy("k").orderBy("ts", "tie").rowsBetween(Window.unboundedPreceding, 0)
     ref = {r["tie"]: r["cum"] for r in df.withColumn("cum", F.sum("v").over(w)).collect()}
     assert got == ref and len(got) == 6
 
 
-def test_ordered_scan_last_non_null_before_and_has_prev(spark):
+@pytest.mark.parametrize("hot_rows", [0, 100, 1_000_000])
+def test_ordered_scan_last_non_null_before_and_has_prev(spark, hot_rows):
     from tidewater.functions.windows import ordered_scan
 
     rnd = random.Random(11)
@@ -71,7 +77,8 @@ def test_ordered_scan_last_non_null_before_and_has_prev(spark):
         v = None if rnd.random() < 0.7 else rnd.choice(["pause", "resume"])
         rows.append((key, ts, i, v))
     df = spark.createDataFrame(rows, "k string, ts timestamp, tie long, v string")
-    got = ordered_scan(df, ["k"], "ts", "tie", last_before=["v"], lag=["tie"], prefix="s_", bucket_seconds=9)
+    got = ordered_scan(df, ["k"], "ts", "tie", last_before=["v"], lag=["tie"], prefix="s_", bucket_seconds=9,
+                       hot_rows=hot_rows)
     w = Window.partitionBy("k").orderBy(F.col("ts").asc_nulls_first(), F.col("tie").asc_nulls_first())
     ref = df.select(
         "tie",
@@ -82,3 +89,26 @@ def test_ordered_scan_last_non_null_before_and_has_prev(spark):
     a = got.select("tie", "s_last_v", "s_prev_tie", "s_has_prev")
     assert a.count() == 2000
     assert a.exceptAll(ref).count() == 0 and ref.exceptAll(a).count() == 0
+
+
+
+def test_hot_keys_are_few_and_bounded(spark):
+    from tidewater.functions.windows import hot_keys
+
+    rows = [("hot",)] * 500 + [(f"k{i}",) for i in range(500)]
+    df = spark.createDataFrame(rows, "k string")
+    got = [r["k"] for r in hot_keys(df, "k", hot_rows=10, max_hot_keys=100).collect()]
+    assert got == ["hot"]
+    # The share rule alone: more than total / max_hot_keys rows; never max_hot_keys keys or more.
+    many = spark.createDataFrame([(f"k{i % 50}",) for i in range(1000)], "k string")
+    assert hot_keys(many, "k", hot_rows=1, max_hot_keys=50).count() == 0
+    assert hot_keys(many, "k", hot_rows=1, max_hot_keys=51).count() == 50
+
+
+def test_only_hot_keys_get_buckets(spark):
+    from tidewater.functions.windows import ordered_scan
+
+    df = _data(spark, n=400)
+    plan = ordered_scan(df, ["k"], "ts", "tie", running_sum=["v"], hot_rows=50)._jdf.queryExecution()
+    text = plan.executedPlan().toString()
+    assert "BroadcastHashJoin" in text or "BroadcastExchange" in text

@@ -2,22 +2,35 @@
 
 A window ``partitionBy(key)`` sends every row of a key to one task. When one
 key (a bot user, a replayed session) holds a third of all rows, that task is
-the job. ``ordered_scan`` cuts the time axis of every key into buckets so the
-heavy window work runs per (key, bucket), and carries state across buckets
-through a small per-bucket table (one row per key and bucket).
+the job. ``ordered_scan`` therefore cuts the time axis of *hot* keys into
+buckets, runs the window per (key, bucket), and carries state across buckets
+through a small per-bucket table. Ordinary keys keep one bucket: for them the
+plan is a plain window, with no carry.
 
-Plan shape:
+Hot keys are the heavy hitters: keys with more than
+``max(hot_rows, total_rows / max_hot_keys)`` rows. Their number is below
+``max_hot_keys`` by construction (their rows add up to at most the total), so
+the hot-key table has a proven size bound and is broadcast explicitly. The
+largest window partition of an ordinary key is at most that threshold.
 
-- rows: Exchange(key, bucket) -> Window (one operator for all frames);
-- carry: partial aggregate per (key, bucket) straight from the input (map-side
-  combine, so only one narrow row per key, bucket and map task is shuffled),
-  then a window over the buckets of each key (a month of 10 s buckets is
-  267,840 rows for the hottest key);
-- join of the two on (key, bucket), which keeps the partitioning of the big
-  side; the carry side is small and AQE may broadcast it.
+Plan shape:
 
-The keys are packed into one non-null struct column and NULL timestamps get
-their own bucket, so NULL keys or timestamps are never filtered by the join.
+- key counts: partial aggregate per key (one narrow row per key and map
+  task), the total from the same counts as a scalar subquery;
+- rows: broadcast join with the hot keys (narrow), Exchange(key, bucket),
+  one Window operator for all frames;
+- carry, hot rows only: partial aggregate per (key, bucket), window over the
+  buckets of each key (a month of 10 s buckets is 267,840 rows for one key);
+- left join of rows and carry on (key, bucket): the big side keeps its
+  partitioning and sort order.
+
+Keys are packed into one non-null struct column and NULL timestamps get their
+own bucket, so NULL keys or timestamps are never filtered by the joins.
+``hot_rows=0`` buckets every key (no key counts, no broadcast).
+
+The input is read up to three times (key counts, rows, hot-key carry): pass a
+table scan (column pruning keeps the extra reads narrow) or a checkpointed
+frame, not an expensive derivation.
 """
 
 from __future__ import annotations
@@ -28,13 +41,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_SECONDS = 10
+# Keys with more rows than this (or than total / DEFAULT_MAX_HOT_KEYS, when
+# larger) are split into time buckets.
+DEFAULT_HOT_ROWS = 1_000_000
+DEFAULT_MAX_HOT_KEYS = 1_000_000
 
 _K = "_tw_key"
 _B = "_tw_bucket"
+_HOT = "_tw_hot"
 # Rows without a timestamp form their own bucket, ordered first (NULLS FIRST).
 _NULL_BUCKET = -(2 ** 63)
 
 
+def hot_keys(keyed: DataFrame, key: str, hot_rows: int, max_hot_keys: int) -> DataFrame:
+    """Keys (column ``key``) with more than max(hot_rows, total / max_hot_keys)
+    rows, flagged ``_tw_hot``. Fewer than ``max_hot_keys`` rows by
+    construction."""
+    counts = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_tw_n"))
+    total = counts.select(F.sum("_tw_n")).scalar()
+    threshold = F.greatest(F.lit(int(hot_rows)).cast("double"), total.cast("double") / F.lit(float(max_hot_keys)))
+    return counts.filter(F.col("_tw_n") > threshold).select(key, F.lit(True).alias(_HOT))
+
+
 def ordered_scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -45,6 +73,8 @@ def ordered_scan(
     last_before: Sequence[str] = (),
     prefix: str = "",
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_ROWS,
+    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
 ) -> DataFrame:
     """Per row, in (ts, tie) order within ``keys`` (NULLs first), adds:
 
@@ -56,15 +86,22 @@ def ordered_scan(
     Equal to the same window functions over ``partitionBy(keys)`` when
     (ts, tie) is unique within a key, without the one-task-per-key limit.
     """
-    keyed = df.withColumns(
-        {
-            _K: F.struct(*[F.col(k) for k in keys]),
-            _B: F.coalesce(
-                F.floor(F.unix_micros(F.col(ts)) / F.lit(int(bucket_seconds) * 1_000_000)),
-                F.lit(_NULL_BUCKET).cast("long"),
-            ),
-        }
+    keyed = df.withColumn(_K, F.struct(*[F.col(k) for k in keys]))
+    time_bucket = F.coalesce(
+        F.floor(F.unix_micros(F.col(ts)) / F.lit(int(bucket_seconds) * 1_000_000)),
+        F.lit(_NULL_BUCKET).cast("long"),
     )
+    if hot_rows and hot_rows > 0:
+        hot = hot_keys(keyed, _K, hot_rows, max_hot_keys)
+        keyed = keyed.join(F.broadcast(hot), on=_K, how="left").withColumn(
+            _HOT, F.coalesce(F.col(_HOT), F.lit(False))
+        )
+        keyed = keyed.withColumn(_B, F.when(F.col(_HOT), time_bucket).otherwise(F.lit(0).cast("long")))
+        split = keyed.filter(F.col(_HOT))
+    else:
+        keyed = keyed.withColumn(_B, time_bucket)
+        split = keyed
+
     # In-bucket frames.
     w = Window.partitionBy(_K, _B).orderBy(F.col(ts).asc_nulls_first(), F.col(tie).asc_nulls_first())
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -78,14 +115,15 @@ def ordered_scan(
         cols[f"_tw_lb_{c}"] = F.last(c, ignorenulls=True).over(w_before)
     rows = keyed.withColumns(cols)
 
-    # One summary row per (key, bucket): last row, total, last non-NULL value.
-    # Struct order is (ts, tie) with NULLs first, as in the window above.
+    # One summary row per (key, bucket) of the split keys: last row, total,
+    # last non-NULL value. Struct order is (ts, tie) with NULLs first, as in
+    # the window above.
     order = F.struct(F.col(ts), F.col(tie))
     aggs = [F.count(F.lit(1)).alias("_tw_n")]
     aggs += [F.max_by(F.col(c), order).alias(f"_tw_blast_{c}") for c in lag]
     aggs += [F.sum(c).alias(f"_tw_btot_{c}") for c in running_sum]
     aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(f"_tw_bln_{c}") for c in last_before]
-    buckets = keyed.groupBy(_K, _B).agg(*aggs)
+    buckets = split.groupBy(_K, _B).agg(*aggs)
     # Carried into each bucket from the earlier buckets of the same key.
     wk = Window.partitionBy(_K).orderBy(_B)
     wk_before = wk.rowsBetween(Window.unboundedPreceding, -1)
@@ -96,9 +134,10 @@ def ordered_scan(
                    for c in last_before]
     carry = buckets.select(_K, _B, *carry_cols)
 
-    j = rows.join(carry, on=[_K, _B], how="inner")
+    # Rows of unsplit keys find no carry row: nothing comes before their bucket.
+    j = rows.join(carry, on=[_K, _B], how="left")
     first = F.col("_tw_first")
-    out = {f"{prefix}has_prev": ~first | F.col("_tw_cprev")}
+    out = {f"{prefix}has_prev": ~first | F.coalesce(F.col("_tw_cprev"), F.lit(False))}
     for c in lag:
         out[f"{prefix}prev_{c}"] = F.when(first, F.col(f"_tw_clag_{c}")).otherwise(F.col(f"_tw_lag_{c}"))
     for c in running_sum:
@@ -121,9 +160,11 @@ def cumulative_sum(
     value: str,
     out: str,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """``sum(value) over (partition by keys order by ts, tie)`` as ``out``."""
-    scanned = ordered_scan(df, keys, ts, tie, running_sum=[value], prefix="_cs_", bucket_seconds=bucket_seconds)
+    scanned = ordered_scan(df, keys, ts, tie, running_sum=[value], prefix="_cs_", bucket_seconds=bucket_seconds,
+                           hot_rows=hot_rows)
     return scanned.withColumnRenamed(f"_cs_cum_{value}", out).drop("_cs_has_prev")
 
 
@@ -135,9 +176,11 @@ def previous_row(
     cols: Sequence[str],
     out: str = "prev",
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """``lag(struct(cols))`` over ``partitionBy(keys).orderBy(ts, tie)`` as ``out``."""
-    scanned = ordered_scan(df, keys, ts, tie, lag=cols, prefix="_pr_", bucket_seconds=bucket_seconds)
+    scanned = ordered_scan(df, keys, ts, tie, lag=cols, prefix="_pr_", bucket_seconds=bucket_seconds,
+                           hot_rows=hot_rows)
     prev = F.struct(*[F.col(f"_pr_prev_{c}").alias(c) for c in cols])
     return scanned.withColumn(out, F.when(F.col("_pr_has_prev"), prev)).drop(
         "_pr_has_prev", *[f"_pr_prev_{c}" for c in cols]
