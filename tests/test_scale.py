@@ -166,3 +166,17 @@ def test_compaction_splits_a_hot_clustering_value(spark, lake):
     per_file = back.groupBy(F.input_file_name().alias("f")).agg(F.count_if(F.col("user_id") == "hot").alias("n"))
     counts = [r["n"] for r in per_file.collect()]
     assert len(counts) >= 2 and max(counts) < 200
+
+
+def test_shuffle_width_sizes_and_restores(spark):
+    from tidewater.session import shuffle_width
+
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with shuffle_width(spark, 10 * 1024 ** 4) as w:  # 10 TB of input
+        assert w == 40_960 and spark.conf.get(key) == "40960"
+    assert spark.conf.get(key) == before
+    with shuffle_width(spark, 1000) as w:  # tiny input keeps the session's width
+        assert w == int(before)
+    with shuffle_width(spark, 10 ** 18) as w:
+        assert w == 100_000

@@ -12,8 +12,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import GOLD_TABLES, SILVER_TABLE, LakeConfig
+from ..config import BRONZE_TABLE, GOLD_TABLES, SILVER_TABLE, LakeConfig
 from ..operators.gold import GOLD_BUILDERS, GOLD_INPUT_COLUMNS
+from ..session import shuffle_width
 from ..sinks.storage import latest_path, path_size
 from ..sinks.tables import publish_gold, write_gold, write_silver
 from ..sources.tables import read_bronze, read_silver
@@ -38,7 +39,9 @@ def build_silver(spark: SparkSession, cfg: LakeConfig, bronze: Optional[DataFram
         F.count(F.lit(1)).alias("bronze_rows"),
         F.count_if(F.col("event_id").isNull()).alias("unparsed_rows"),
     )
-    write_silver(silver_from_bronze(counted, cfg.clock), cfg, observation=obs_out)
+    size = path_size(spark, cfg.path("bronze", BRONZE_TABLE)) if bronze is None else None
+    with shuffle_width(spark, size):
+        write_silver(silver_from_bronze(counted, cfg.clock), cfg, observation=obs_out)
     b = int(obs_in.get["bronze_rows"])
     u = int(obs_in.get["unparsed_rows"])
     s = int(obs_out.get["silver_rows"])
@@ -60,8 +63,8 @@ def build_gold(spark: SparkSession, cfg: LakeConfig, cache: Optional[bool] = Non
     late-data policy, and top content is an all-time aggregate.
     """
     silver = read_silver(spark, cfg).select(*GOLD_INPUT_COLUMNS)
+    size = path_size(spark, latest_path(spark, cfg.path("silver", SILVER_TABLE))) if cfg.table_format != "delta" else None
     if cache is None:
-        size = path_size(spark, latest_path(spark, cfg.path("silver", SILVER_TABLE))) if cfg.table_format != "delta" else None
         cache = size is not None and size <= CACHE_LIMIT_BYTES
     if cache:
         silver = silver.persist(StorageLevel.MEMORY_AND_DISK)
@@ -70,7 +73,8 @@ def build_gold(spark: SparkSession, cfg: LakeConfig, cache: Optional[bool] = Non
             # Fill the cache once; otherwise each concurrent job computes it.
             silver.count()
         tasks = {name: (lambda n=name: write_gold(GOLD_BUILDERS[n](silver), cfg, n)) for name in GOLD_TABLES}
-        return run_jobs(tasks, concurrent)
+        with shuffle_width(spark, size):
+            return run_jobs(tasks, concurrent)
     finally:
         if cache:
             silver.unpersist()
