@@ -35,7 +35,7 @@ def main() -> None:
 
     from tidewater import registry
     from tidewater.config import GOLD_TABLES, LakeConfig
-    from tidewater.operators import gold, quality, serving
+    from tidewater.operators import quality, serving
     from tidewater.plans.jobs import build_gold, build_silver
     from tidewater.session import build_session
     from tidewater.sinks.storage import scratch_dir

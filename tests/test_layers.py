@@ -7,7 +7,7 @@ from conftest import SF0001, SF001
 from tidewater import fixtures, registry
 from tidewater.config import GOLD_TABLES, SILVER_TABLE
 from tidewater.operators import gold, quality, wire
-from tidewater.plans.jobs import build_gold, build_silver, refresh_batch
+from tidewater.plans.jobs import build_silver, refresh_batch
 from tidewater.schema import EVENT_COLUMNS
 from tidewater.sinks.compact import compact_table
 from tidewater.sinks.storage import committed_versions, count_files, latest_path

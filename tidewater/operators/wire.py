@@ -71,7 +71,7 @@ def bronze_from_wire(
     return out
 
 
-def to_wire(events: DataFrame, partitions: Optional[int] = None) -> DataFrame:
+def to_wire(events: DataFrame) -> DataFrame:
     """SNK6: event rows -> (key = user_id, value = JSON text).
 
     The timestamp keeps microseconds and an explicit offset; the default JSON

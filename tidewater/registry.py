@@ -27,7 +27,7 @@ from .plans.jobs import build_gold, build_silver, refresh_batch
 from .plans.layers import silver_from_bronze
 from .schema import EVENT_COLUMNS
 from .sinks.compact import compact_table
-from .sinks.storage import count_files, read_path, scratch_dir
+from .sinks.storage import scratch_dir
 from .sinks.tables import export_csv, publish_gold, write_gold, write_silver
 from .sources.tables import read_bronze, read_gold, read_silver
 from .sources.wire import wire_source, write_wire
