@@ -8,22 +8,20 @@ from __future__ import annotations
 
 from typing import Optional
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import BRONZE_TABLE, GOLD_TABLES, SILVER_TABLE, LakeConfig
-from ..operators.gold import GOLD_BUILDERS, GOLD_INPUT_COLUMNS
+from ..operators.gold import GOLD_INPUT_COLUMNS, gold_from_rollup, session_day_rollup
 from ..session import shuffle_width
-from ..sinks.storage import latest_path, path_size
+from ..sinks.storage import latest_path, path_size, read_path, write_table
 from ..sinks.tables import publish_gold, write_gold, write_silver
 from ..sources.tables import read_bronze, read_silver
 from .layers import silver_from_bronze
 from .parallel import run_jobs
 
-# Cache the pruned Silver columns only while they are this small; beyond it a
-# fresh column-pruned Parquet scan per Gold table is cheaper than spilling.
-CACHE_LIMIT_BYTES = 8 * 1024 ** 3
+# Internal table of the Gold build (not published).
+ROLLUP_TABLE = "_session_day_rollup"
 
 
 def build_silver(spark: SparkSession, cfg: LakeConfig, bronze: Optional[DataFrame] = None) -> dict:
@@ -54,30 +52,27 @@ def build_silver(spark: SparkSession, cfg: LakeConfig, bronze: Optional[DataFram
     }
 
 
-def build_gold(spark: SparkSession, cfg: LakeConfig, cache: Optional[bool] = None,
-               concurrent: bool = True) -> dict:
-    """PL3: Silver (C1 shared scan) -> G1..G5 -> SNK4; returns rows per table.
+def build_gold(spark: SparkSession, cfg: LakeConfig, concurrent: bool = True) -> dict:
+    """PL3: Silver -> session-day rollup -> G1..G5 -> SNK4; rows per table.
 
-    Only the eleven columns the aggregates use are read (and cached). Every
-    Gold table is rebuilt from all of Silver: a full overwrite is the
-    late-data policy, and top content is an all-time aggregate.
+    C1, the shared scan, as a written table: Silver is aggregated once to the
+    session-day grain (the eleven columns the aggregates use, partial
+    aggregation map-side) and the rollup is written under the lake root. G1,
+    G2, G4 and G5 are then small aggregates over it, and G3 reads its three
+    columns from Silver. The rollup is a table, not a cache: it has no memory
+    limit, survives the loss of executors and cuts the lineage. Every Gold
+    table is rebuilt from all of Silver: a full overwrite is the late-data
+    policy, and top content is an all-time aggregate.
     """
     silver = read_silver(spark, cfg).select(*GOLD_INPUT_COLUMNS)
     size = path_size(spark, latest_path(spark, cfg.path("silver", SILVER_TABLE))) if cfg.table_format != "delta" else None
-    if cache is None:
-        cache = size is not None and size <= CACHE_LIMIT_BYTES
-    if cache:
-        silver = silver.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if cache and concurrent:
-            # Fill the cache once; otherwise each concurrent job computes it.
-            silver.count()
-        tasks = {name: (lambda n=name: write_gold(GOLD_BUILDERS[n](silver), cfg, n)) for name in GOLD_TABLES}
-        with shuffle_width(spark, size):
-            return run_jobs(tasks, concurrent)
-    finally:
-        if cache:
-            silver.unpersist()
+    rollup_path = cfg.path("gold", ROLLUP_TABLE)
+    with shuffle_width(spark, size):
+        write_table(session_day_rollup(silver), cfg, rollup_path, overwrite_schema=True)
+        rollup = read_path(spark, cfg, rollup_path)
+        tables = gold_from_rollup(rollup, silver)
+        tasks = {name: (lambda n=name: write_gold(tables[n], cfg, n)) for name in GOLD_TABLES}
+        return run_jobs(tasks, concurrent)
 
 
 def refresh_batch(
