@@ -35,7 +35,10 @@ def write_silver(df: DataFrame, cfg: LakeConfig, cluster: bool = True,
     a few large files, already clustered as the compaction (SNK8) would leave
     them, and a hot date or user is split by the trailing columns. One more
     shuffle instead of a later read-shuffle-write compaction; AQE sizes the
-    range partitions.
+    range partitions. The range partitioner samples its input in a pass of
+    its own: that pass re-runs the dedupe's reduce side from the shuffle
+    files (the map side is not run again), still far cheaper than rewriting
+    the table later.
 
     ``observation`` receives ``silver_rows``. It is attached above the range
     exchange: the range partitioner samples its input in a job of its own,
