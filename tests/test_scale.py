@@ -180,3 +180,32 @@ def test_shuffle_width_sizes_and_restores(spark):
         assert w == int(before)
     with shuffle_width(spark, 10 ** 18) as w:
         assert w == 100_000
+
+
+def test_kafka_source_builds_the_reader_it_documents():
+    from tidewater.sources.wire import kafka_source
+
+    calls = {}
+
+    class Reader:
+        def format(self, f):
+            calls["format"] = f
+            return self
+
+        def options(self, **o):
+            calls["options"] = o
+            return self
+
+        def load(self):
+            calls["loaded"] = True
+            return "stream"
+
+    class Session:
+        readStream = Reader()
+        read = Reader()
+
+    assert kafka_source(Session(), "b:9092", "user_events", max_offsets_per_trigger=10) == "stream"
+    assert calls["format"] == "kafka" and calls["options"]["subscribe"] == "user_events"
+    assert calls["options"]["maxOffsetsPerTrigger"] == "10"
+    kafka_source(Session(), "b:9092", "user_events", streaming=False, max_offsets_per_trigger=10)
+    assert "maxOffsetsPerTrigger" not in calls["options"]  # batch reads take no rate limit
