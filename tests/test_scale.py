@@ -83,13 +83,14 @@ def test_session_audit_hot_session_equals_plain_windows(spark):
     assert got["s-hot"]["events"] > 1000
 
 
-def test_ordered_scan_never_partitions_by_the_key_alone(spark):
+def test_ordered_scan_windows_by_key_and_bucket(spark):
     from tidewater.functions.windows import ordered_scan
 
     df = spark.createDataFrame([("a", T0, 1, 1)], "k string, ts timestamp, tie long, v int")
     plan = _plan(ordered_scan(df, ["k"], "ts", "tie", running_sum=["v"]))
-    # The row-level window is keyed by (key, bucket); only the per-bucket
-    # summary is windowed by key.
+    # The row-level window is keyed by (key, bucket): one bucket for ordinary
+    # keys, time buckets for heavy hitters; only the per-bucket summary is
+    # windowed by key alone.
     assert "_tw_bucket" in plan
 
 
