@@ -372,6 +372,11 @@ def q_order_by_desc(spark, d):
     return gold.ordered(gold.top_content_by_watch_time(_silver(spark, d)), "top_content_by_watch_time")
 
 
+def q_session_match_count(spark, d):
+    """F5's "N sessions matched", counted in Spark."""
+    return serving.session_match_count(gold.user_session_summary(_silver(spark, d)), SEARCH_TEXT)
+
+
 def q_device_share(spark, d):
     return serving.device_share(gold.daily_device_mix(_silver(spark, d)))
 
@@ -407,6 +412,7 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_report": q_silver_report,
     "filter_countries": q_filter_countries,
     "search_sessions": q_search_sessions,
+    "session_match_count": q_session_match_count,
     "validate_events": q_validate_events,
     "quarantine_split": q_quarantine_split,
     "violation_counts": q_violation_counts,
@@ -627,6 +633,10 @@ ORACLE: Dict[str, str] = {
     "search_sessions": with_silver(
         _EXPLORER + " WHERE coalesce(regexp_matches(user_id, '(?i)" + SEARCH_TEXT + "'), false) "
         "OR coalesce(regexp_matches(session_id, '(?i)" + SEARCH_TEXT + "'), false)"),
+    "session_match_count": with_silver(
+        f"WITH g5 AS ({_G5}) SELECT count(*) AS sessions_matched FROM g5 "
+        "WHERE coalesce(regexp_matches(user_id, '(?i)" + SEARCH_TEXT + "'), false) "
+        "OR coalesce(regexp_matches(session_id, '(?i)" + SEARCH_TEXT + "'), false)"),
     "validate_events": with_wire(_V1),
     "quarantine_split": with_wire(_V2),
     "violation_counts": with_wire(_V3),
