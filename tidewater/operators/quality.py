@@ -171,10 +171,11 @@ def session_audit(
     attribute_changes.
 
     Plan: one ``ordered_scan`` (skew-safe: a hot session, one with more
-    than ``hot_rows`` rows, is cut into time buckets) gives per row the previous watch_seconds, the number of terminal
-    events so far and the last pause/resume before it; one aggregate per
-    session (partial, so a hot session collapses map-side) counts the rows
-    that break a rule. No join back to the events.
+    than ``hot_rows`` rows, is cut into time buckets) gives per row the
+    previous watch_seconds, the number of terminal events so far and the
+    last pause/resume before it; one aggregate per session (partial, so a hot
+    session collapses map-side) counts the rows that break a rule. No join
+    back to the events.
     """
     if tie is None:
         tie = "kafka_offset" if "kafka_offset" in df.columns else "event_id"
