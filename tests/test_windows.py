@@ -112,3 +112,31 @@ def test_only_hot_keys_get_buckets(spark):
     plan = ordered_scan(df, ["k"], "ts", "tie", running_sum=["v"], hot_rows=50)._jdf.queryExecution()
     text = plan.executedPlan().toString()
     assert "BroadcastHashJoin" in text or "BroadcastExchange" in text
+
+
+def test_dense_hot_key_gets_narrow_buckets_and_same_results(spark):
+    from tidewater.functions.windows import hot_keys, ordered_scan
+
+    rnd = random.Random(5)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(2000):
+        if rnd.random() < 0.5:  # the hot key: all within two seconds
+            rows.append(("hot", t0 + dt.timedelta(microseconds=rnd.randint(0, 2_000_000)), i, rnd.randint(0, 9)))
+        else:
+            rows.append((f"k{rnd.randint(0, 50)}", t0 + dt.timedelta(seconds=rnd.randint(0, 3600)), i, rnd.randint(0, 9)))
+    df = spark.createDataFrame(rows, "k string, ts timestamp, tie long, v int")
+    grid = hot_keys(df, "k", hot_rows=200, max_hot_keys=1000, ts="ts", bucket_rows=50, bucket_seconds=10).collect()
+    assert [r["k"] for r in grid] == ["hot"]
+    # ~1000 rows over 2 s at 50 rows per bucket: about 0.1 s wide.
+    assert 50_000 <= grid[0]["_tw_w"] <= 200_000
+    got = ordered_scan(df, ["k"], "ts", "tie", running_sum=["v"], lag=["v"], prefix="s_",
+                       hot_rows=200, bucket_rows=50)
+    w = Window.partitionBy("k").orderBy("ts", "tie")
+    ref = df.select(
+        "tie",
+        F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s_cum_v"),
+        F.lag("v").over(w).alias("s_prev_v"),
+    )
+    a = got.select("tie", "s_cum_v", "s_prev_v")
+    assert a.count() == 2000 and a.exceptAll(ref).count() == 0 and ref.exceptAll(a).count() == 0

@@ -4,8 +4,10 @@ A window ``partitionBy(key)`` sends every row of a key to one task. When one
 key (a bot user, a replayed session) holds a third of all rows, that task is
 the job. ``ordered_scan`` therefore cuts the time axis of *hot* keys into
 buckets, runs the window per (key, bucket), and carries state across buckets
-through a small per-bucket table. Ordinary keys keep one bucket: for them the
-plan is a plain window, with no carry.
+through a small per-bucket table. Each hot key gets its own bucket width, from
+its row count and time span (about ``bucket_rows`` rows per bucket at even
+density, never wider than ``bucket_seconds``). Ordinary keys keep one bucket:
+for them the plan is a plain window, with no carry.
 
 Hot keys are the heavy hitters: keys with more than
 ``max(hot_rows, total_rows / max_hot_keys)`` rows. Their number is below
@@ -35,7 +37,7 @@ frame, not an expensive derivation.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Optional, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,6 +47,9 @@ DEFAULT_BUCKET_SECONDS = 10
 # larger) are split into time buckets.
 DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_MAX_HOT_KEYS = 1_000_000
+# Target rows per time bucket of a hot key (the bucket is never wider than
+# DEFAULT_BUCKET_SECONDS).
+DEFAULT_BUCKET_ROWS = 100_000
 
 _K = "_tw_key"
 _B = "_tw_bucket"
@@ -53,14 +58,44 @@ _HOT = "_tw_hot"
 _NULL_BUCKET = -(2 ** 63)
 
 
-def hot_keys(keyed: DataFrame, key: str, hot_rows: int, max_hot_keys: int) -> DataFrame:
+def hot_keys(
+    keyed: DataFrame,
+    key: str,
+    hot_rows: int,
+    max_hot_keys: int,
+    ts: Optional[str] = None,
+    bucket_rows: int = DEFAULT_BUCKET_ROWS,
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+) -> DataFrame:
     """Keys (column ``key``) with more than max(hot_rows, total / max_hot_keys)
     rows, flagged ``_tw_hot``. Fewer than ``max_hot_keys`` rows by
-    construction."""
-    counts = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_tw_n"))
+    construction.
+
+    With ``ts``, also each hot key's bucket grid: origin ``_tw_t0`` (first
+    timestamp, microseconds) and width ``_tw_w`` = span x bucket_rows / rows,
+    between 1 us and ``bucket_seconds``. A key that packs its rows into a few
+    seconds gets buckets of about ``bucket_rows`` rows (at even density),
+    and a key spread over months gets buckets of at most ``bucket_seconds``.
+    """
+    aggs = [F.count(F.lit(1)).alias("_tw_n")]
+    if ts is not None:
+        us = F.unix_micros(F.col(ts))
+        aggs += [F.min(us).alias("_tw_t0"), F.max(us).alias("_tw_t1")]
+    counts = keyed.groupBy(key).agg(*aggs)
     total = counts.select(F.sum("_tw_n")).scalar()
     threshold = F.greatest(F.lit(int(hot_rows)).cast("double"), total.cast("double") / F.lit(float(max_hot_keys)))
-    return counts.filter(F.col("_tw_n") > threshold).select(key, F.lit(True).alias(_HOT))
+    hot = counts.filter(F.col("_tw_n") > threshold)
+    if ts is None:
+        return hot.select(key, F.lit(True).alias(_HOT))
+    max_w = int(bucket_seconds) * 1_000_000
+    span = (F.col("_tw_t1") - F.col("_tw_t0") + F.lit(1)).cast("double")
+    width = F.ceil(span * F.lit(float(bucket_rows)) / F.col("_tw_n").cast("double"))
+    return hot.select(
+        key,
+        F.lit(True).alias(_HOT),
+        F.coalesce(F.col("_tw_t0"), F.lit(0).cast("long")).alias("_tw_t0"),
+        F.coalesce(F.least(F.greatest(width, F.lit(1)), F.lit(max_w)), F.lit(max_w)).cast("long").alias("_tw_w"),
+    )
 
 
 def ordered_scan(
@@ -75,6 +110,7 @@ def ordered_scan(
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     hot_rows: int = DEFAULT_HOT_ROWS,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+    bucket_rows: int = DEFAULT_BUCKET_ROWS,
 ) -> DataFrame:
     """Per row, in (ts, tie) order within ``keys`` (NULLs first), adds:
 
@@ -92,11 +128,17 @@ def ordered_scan(
         F.lit(_NULL_BUCKET).cast("long"),
     )
     if hot_rows and hot_rows > 0:
-        hot = hot_keys(keyed, _K, hot_rows, max_hot_keys)
+        hot = hot_keys(keyed, _K, hot_rows, max_hot_keys, ts=ts, bucket_rows=bucket_rows,
+                       bucket_seconds=bucket_seconds)
         keyed = keyed.join(F.broadcast(hot), on=_K, how="left").withColumn(
             _HOT, F.coalesce(F.col(_HOT), F.lit(False))
         )
-        keyed = keyed.withColumn(_B, F.when(F.col(_HOT), time_bucket).otherwise(F.lit(0).cast("long")))
+        # Per hot key: its own grid (origin, width), monotone in time.
+        key_bucket = F.coalesce(
+            F.floor((F.unix_micros(F.col(ts)) - F.col("_tw_t0")) / F.col("_tw_w")),
+            F.lit(_NULL_BUCKET).cast("long"),
+        )
+        keyed = keyed.withColumn(_B, F.when(F.col(_HOT), key_bucket).otherwise(F.lit(0).cast("long")))
         split = keyed.filter(F.col(_HOT))
     else:
         keyed = keyed.withColumn(_B, time_bucket)
