@@ -120,7 +120,7 @@ def test_order_ties_broken_by_offset_and_buckets(spark):
     # Same timestamp: offset decides. Spread over many small buckets: same answer.
     ev = [(0, "play", 0), (0, "play", 3), (0, "play", 2), (25, "play", 1), (40, "pause", 1), (70, "resume", 1)]
     a = _audit(spark, ev)
-    b = _audit(spark, ev, bucket_seconds=1, hot_rows=1)
+    b = _audit(spark, ev, hot_rows=1, slice_rows=1)
     assert a == b and a["watch_decreases"] == 2 and a["resume_without_pause"] == 0
 
 

@@ -54,7 +54,7 @@ def test_session_audit_hot_session_equals_plain_windows(spark):
         "watch_seconds int, user_id string, content_id string, content_type string, device_type string, "
         "app_version string, country_code string",
     )
-    got = {r["session_id"]: r.asDict() for r in quality.session_audit(df, bucket_seconds=5, hot_rows=100).collect()}
+    got = {r["session_id"]: r.asDict() for r in quality.session_audit(df, hot_rows=100, slice_rows=100).collect()}
 
     w = Window.partitionBy("session_id").orderBy("event_timestamp", "kafka_offset")
     term = F.col("event_type").isin("complete", "error").cast("int")
@@ -83,15 +83,13 @@ def test_session_audit_hot_session_equals_plain_windows(spark):
     assert got["s-hot"]["events"] > 1000
 
 
-def test_ordered_scan_windows_by_key_and_bucket(spark):
+def test_ordered_scan_is_a_plain_window_without_hot_keys(spark):
     from tidewater.functions.windows import ordered_scan
 
-    df = spark.createDataFrame([("a", T0, 1, 1)], "k string, ts timestamp, tie long, v int")
+    df = spark.createDataFrame([("a", T0, 1, 1), ("a", T0, 2, 2)], "k string, ts timestamp, tie long, v int")
     plan = _plan(ordered_scan(df, ["k"], "ts", "tie", running_sum=["v"]))
-    # The row-level window is keyed by (key, bucket): one bucket for ordinary
-    # keys, time buckets for heavy hitters; only the per-bucket summary is
-    # windowed by key alone.
-    assert "_tw_bucket" in plan
+    # No key is hot: one window per key, no slices, no carry join.
+    assert "Window" in plan and "Join" not in plan and "_tw_bucket" not in plan
 
 
 def test_daily_watch_time_accurate_counts_midnight_sessions_once(spark):

@@ -24,7 +24,7 @@ def _data(spark, n=3000, seed=7):
 @pytest.mark.parametrize("hot_rows", [0, 100, 1_000_000])
 def test_cumulative_sum_matches_window(spark, hot_rows):
     df = _data(spark)
-    got = cumulative_sum(df, ["k"], "ts", "tie", "v", "cum", bucket_seconds=7, hot_rows=hot_rows)
+    got = cumulative_sum(df, ["k"], "ts", "tie", "v", "cum", hot_rows=hot_rows, slice_rows=70)
     w = Window.partitionBy("k").orderBy("ts", "tie").rowsBetween(Window.unboundedPreceding, 0)
     ref = df.withColumn("cum", F.sum("v").over(w))
     assert got.select("tie", "cum").exceptAll(ref.select("tie", "cum")).count() == 0
@@ -34,7 +34,7 @@ def test_cumulative_sum_matches_window(spark, hot_rows):
 @pytest.mark.parametrize("hot_rows", [0, 100, 1_000_000])
 def test_previous_row_matches_lag(spark, hot_rows):
     df = _data(spark)
-    got = previous_row(df, ["k"], "ts", "tie", ["v", "tie"], out="p", bucket_seconds=13, hot_rows=hot_rows)
+    got = previous_row(df, ["k"], "ts", "tie", ["v", "tie"], out="p", hot_rows=hot_rows, slice_rows=130)
     w = Window.partitionBy("k").orderBy("ts", "tie")
     ref = df.withColumn("p", F.lag(F.struct("v", "tie")).over(w))
     a = got.select("tie", F.col("p.v").alias("pv"), F.col("p.tie").alias("pt"))
@@ -48,7 +48,7 @@ def test_previous_row_null_timestamps_sort_first(spark, hot_rows):
         [("a", None, 1, 1), ("a", dt.datetime(2024, 1, 1), 2, 2), ("a", None, 0, 0)],
         "k string, ts timestamp, tie long, v int")
     got = {r["tie"]: (r["p"]["v"] if r["p"] else None)
-           for r in previous_row(df, ["k"], "ts", "tie", ["v"], out="p", hot_rows={100: 1}.get(hot_rows, hot_rows)).collect()}
+           for r in previous_row(df, ["k"], "ts", "tie", ["v"], out="p", hot_rows={100: 1}.get(hot_rows, hot_rows), slice_rows=1).collect()}
     assert got == {0: None, 1: 0, 2: 1}
 
 
@@ -58,7 +58,7 @@ def test_cumulative_sum_keeps_null_keys_and_null_values(spark, hot_rows):
             ("a", dt.datetime(2024, 1, 1, 0, 1, 0), 3, None), ("a", None, 0, 7), (None, dt.datetime(2024, 1, 1), 4, 2),
             ("b", dt.datetime(2024, 1, 1), 5, None)]
     df = spark.createDataFrame(rows, "k string, ts timestamp, tie long, v int")
-    got = {r["tie"]: r["cum"] for r in cumulative_sum(df, ["k"], "ts", "tie", "v", "cum", bucket_seconds=10, hot_rows={100: 1}.get(hot_rows, hot_rows)).collect()}
+    got = {r["tie"]: r["cum"] for r in cumulative_sum(df, ["k"], "ts", "tie", "v", "cum", hot_rows={100: 1}.get(hot_rows, hot_rows), slice_rows=1).collect()}
     w = Window.partitionBy("k").orderBy("ts", "tie").rowsBetween(Window.unboundedPreceding, 0)
     ref = {r["tie"]: r["cum"] for r in df.withColumn("cum", F.sum("v").over(w)).collect()}
     assert got == ref and len(got) == 6
@@ -77,8 +77,8 @@ def test_ordered_scan_last_non_null_before_and_has_prev(spark, hot_rows):
         v = None if rnd.random() < 0.7 else rnd.choice(["pause", "resume"])
         rows.append((key, ts, i, v))
     df = spark.createDataFrame(rows, "k string, ts timestamp, tie long, v string")
-    got = ordered_scan(df, ["k"], "ts", "tie", last_before=["v"], lag=["tie"], prefix="s_", bucket_seconds=9,
-                       hot_rows=hot_rows)
+    got = ordered_scan(df, ["k"], "ts", "tie", last_before=["v"], lag=["tie"], prefix="s_",
+                       hot_rows=hot_rows, slice_rows=90)
     w = Window.partitionBy("k").orderBy(F.col("ts").asc_nulls_first(), F.col("tie").asc_nulls_first())
     ref = df.select(
         "tie",
@@ -105,7 +105,7 @@ def test_hot_keys_are_few_and_bounded(spark):
     assert hot_keys(many, "k", hot_rows=1, max_hot_keys=51).count() == 50
 
 
-def test_only_hot_keys_get_buckets(spark):
+def test_only_hot_keys_get_sliced(spark):
     from tidewater.functions.windows import ordered_scan
 
     df = _data(spark, n=400)
@@ -114,29 +114,29 @@ def test_only_hot_keys_get_buckets(spark):
     assert "BroadcastHashJoin" in text or "BroadcastExchange" in text
 
 
-def test_dense_hot_key_gets_narrow_buckets_and_same_results(spark):
-    from tidewater.functions.windows import hot_keys, ordered_scan
+@pytest.mark.parametrize("spread_us", [0, 2_000_000])
+def test_dense_hot_key_is_sliced_with_same_results(spark, spread_us):
+    """A hot key with all rows in two seconds, or all on one timestamp (ties
+    decide the order): slicing by range still matches the plain window."""
+    from tidewater.functions.windows import ordered_scan
 
     rnd = random.Random(5)
     t0 = dt.datetime(2024, 1, 1)
     rows = []
     for i in range(2000):
-        if rnd.random() < 0.5:  # the hot key: all within two seconds
-            rows.append(("hot", t0 + dt.timedelta(microseconds=rnd.randint(0, 2_000_000)), i, rnd.randint(0, 9)))
+        if rnd.random() < 0.5:
+            rows.append(("hot", t0 + dt.timedelta(microseconds=rnd.randint(0, spread_us)), i, rnd.randint(0, 9)))
         else:
             rows.append((f"k{rnd.randint(0, 50)}", t0 + dt.timedelta(seconds=rnd.randint(0, 3600)), i, rnd.randint(0, 9)))
     df = spark.createDataFrame(rows, "k string, ts timestamp, tie long, v int")
-    grid = hot_keys(df, "k", hot_rows=200, max_hot_keys=1000, ts="ts", bucket_rows=50, bucket_seconds=10).collect()
-    assert [r["k"] for r in grid] == ["hot"]
-    # ~1000 rows over 2 s at 50 rows per bucket: about 0.1 s wide.
-    assert 50_000 <= grid[0]["_tw_w"] <= 200_000
     got = ordered_scan(df, ["k"], "ts", "tie", running_sum=["v"], lag=["v"], prefix="s_",
-                       hot_rows=200, bucket_rows=50)
+                       hot_rows=200, slice_rows=50)
     w = Window.partitionBy("k").orderBy("ts", "tie")
     ref = df.select(
         "tie",
         F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s_cum_v"),
         F.lag("v").over(w).alias("s_prev_v"),
+        (F.row_number().over(w) > 1).alias("s_has_prev"),
     )
-    a = got.select("tie", "s_cum_v", "s_prev_v")
+    a = got.select("tie", "s_cum_v", "s_prev_v", "s_has_prev")
     assert a.count() == 2000 and a.exceptAll(ref).count() == 0 and ref.exceptAll(a).count() == 0

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.windows import DEFAULT_BUCKET_SECONDS, cumulative_sum
+from .functions.windows import cumulative_sum
 from .schema import EVENT_COLUMNS, MAX_SECONDS, WIRE_TIMESTAMP_FORMAT
 
 # ---------------------------------------------------------------------------
@@ -82,7 +82,7 @@ def _event_type(src: Column) -> Column:
     return expr
 
 
-def canonical_from_source(src: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def canonical_from_source(src: DataFrame) -> DataFrame:
     """Map the supplied ``events`` rows onto the event contract.
 
     Keeps ``src_id`` and ``src_user`` (the numeric ids) for wire generation.
@@ -104,7 +104,6 @@ def canonical_from_source(src: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_S
         tie="src_id",
         value="_v",
         out="_cum",
-        bucket_seconds=bucket_seconds,
     )
     ck = (F.col("src_user") * 7 + F.col("_day")) % 100
     return cum.select(

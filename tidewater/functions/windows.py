@@ -2,12 +2,10 @@
 
 A window ``partitionBy(key)`` sends every row of a key to one task. When one
 key (a bot user, a replayed session) holds a third of all rows, that task is
-the job. ``ordered_scan`` therefore cuts the time axis of *hot* keys into
-buckets, runs the window per (key, bucket), and carries state across buckets
-through a small per-bucket table. Each hot key gets its own bucket width, from
-its row count and time span (about ``bucket_rows`` rows per bucket at even
-density, never wider than ``bucket_seconds``). Ordinary keys keep one bucket:
-for them the plan is a plain window, with no carry.
+the job. ``ordered_scan`` therefore cuts *hot* keys into slices, runs the
+window per (key, slice), and carries state across slices through a small
+per-slice table. Ordinary keys keep one slice: for them the plan is a plain
+window, with no carry.
 
 Hot keys are the heavy hitters: keys with more than
 ``max(hot_rows, total_rows / max_hot_keys)`` rows. Their number is below
@@ -15,87 +13,78 @@ Hot keys are the heavy hitters: keys with more than
 the hot-key table has a proven size bound and is broadcast explicitly. The
 largest window partition of an ordinary key is at most that threshold.
 
+The rows of hot keys are range-partitioned on (key, ts, tie): the range
+partitioner samples the data and cuts it into contiguous, balanced slices of
+about ``slice_rows`` rows, whatever the distribution of timestamps (a burst or
+one replayed timestamp included, as ``tie`` breaks equal times). The slice id
+(the partition id) is monotone in (ts, tie) within a key. A reliable
+checkpoint (under ``spark.checkpoint.dir``) pins the slices, because a second
+sampling run could cut elsewhere and the rows and the carry must agree.
+
 Plan shape:
 
 - key counts: partial aggregate per key (one narrow row per key and map
-  task), the total from the same counts as a scalar subquery;
-- rows: broadcast join with the hot keys (narrow), Exchange(key, bucket),
-  one Window operator for all frames;
-- carry, hot rows only: partial aggregate per (key, bucket), window over the
-  buckets of each key (a month of 10 s buckets is 267,840 rows for one key);
-- left join of rows and carry on (key, bucket): the big side keeps its
-  partitioning and sort order.
-
-Keys are packed into one non-null struct column and NULL timestamps get their
-own bucket, so NULL keys or timestamps are never filtered by the joins.
-``hot_rows=0`` buckets every key (no key counts, no broadcast).
-
-The input is read up to three times (key counts, rows, hot-key carry): pass a
-table scan (column pruning keeps the extra reads narrow) or a checkpointed
-frame, not an expensive derivation.
+  task), the total from the same counts as a scalar subquery; the number of
+  hot rows is the only value that reaches the driver;
+- no hot key: a plain window per key, nothing else;
+- hot keys: broadcast join with the hot-key table (narrow), hot rows
+  range-sliced and checkpointed, unioned with the other rows (slice 0);
+  Exchange(key, slice) and one Window operator for all frames; carry from a
+  partial aggregate per (key, slice) of the checkpoint and a window over the
+  slices of each key; left join on (key, slice).
+
+Keys are packed into one non-null struct column and NULL timestamps sort
+first, so NULL keys or timestamps are never filtered by the joins.
+``hot_rows=0`` slices every key (tests).
+
+The input is read up to three times (key counts, ordinary rows, hot rows):
+pass a table scan (column pruning keeps the extra reads narrow) or a
+checkpointed frame, not an expensive derivation.
 """
 
 from __future__ import annotations
 
-from typing import Optional, Sequence
+import math
+from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_SECONDS = 10
+from ..session import ensure_checkpoint_dir
+
 # Keys with more rows than this (or than total / DEFAULT_MAX_HOT_KEYS, when
-# larger) are split into time buckets.
+# larger) are cut into slices of about DEFAULT_SLICE_ROWS rows.
 DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_MAX_HOT_KEYS = 1_000_000
-# Target rows per time bucket of a hot key (the bucket is never wider than
-# DEFAULT_BUCKET_SECONDS).
-DEFAULT_BUCKET_ROWS = 100_000
+DEFAULT_SLICE_ROWS = 1_000_000
+MAX_SLICES = 100_000
 
 _K = "_tw_key"
 _B = "_tw_bucket"
 _HOT = "_tw_hot"
-# Rows without a timestamp form their own bucket, ordered first (NULLS FIRST).
-_NULL_BUCKET = -(2 ** 63)
-
-
-def hot_keys(
-    keyed: DataFrame,
-    key: str,
-    hot_rows: int,
-    max_hot_keys: int,
-    ts: Optional[str] = None,
-    bucket_rows: int = DEFAULT_BUCKET_ROWS,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-) -> DataFrame:
+
+
+def hot_keys(keyed: DataFrame, key: str, hot_rows: int, max_hot_keys: int) -> DataFrame:
     """Keys (column ``key``) with more than max(hot_rows, total / max_hot_keys)
-    rows, flagged ``_tw_hot``. Fewer than ``max_hot_keys`` rows by
-    construction.
-
-    With ``ts``, also each hot key's bucket grid: origin ``_tw_t0`` (first
-    timestamp, microseconds) and width ``_tw_w`` = span x bucket_rows / rows,
-    between 1 us and ``bucket_seconds``. A key that packs its rows into a few
-    seconds gets buckets of about ``bucket_rows`` rows (at even density),
-    and a key spread over months gets buckets of at most ``bucket_seconds``.
-    """
-    aggs = [F.count(F.lit(1)).alias("_tw_n")]
-    if ts is not None:
-        us = F.unix_micros(F.col(ts))
-        aggs += [F.min(us).alias("_tw_t0"), F.max(us).alias("_tw_t1")]
-    counts = keyed.groupBy(key).agg(*aggs)
+    rows, with their row count ``_tw_n`` and the flag ``_tw_hot``. Fewer than
+    ``max_hot_keys`` rows by construction."""
+    counts = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_tw_n"))
     total = counts.select(F.sum("_tw_n")).scalar()
     threshold = F.greatest(F.lit(int(hot_rows)).cast("double"), total.cast("double") / F.lit(float(max_hot_keys)))
-    hot = counts.filter(F.col("_tw_n") > threshold)
-    if ts is None:
-        return hot.select(key, F.lit(True).alias(_HOT))
-    max_w = int(bucket_seconds) * 1_000_000
-    span = (F.col("_tw_t1") - F.col("_tw_t0") + F.lit(1)).cast("double")
-    width = F.ceil(span * F.lit(float(bucket_rows)) / F.col("_tw_n").cast("double"))
-    return hot.select(
-        key,
-        F.lit(True).alias(_HOT),
-        F.coalesce(F.col("_tw_t0"), F.lit(0).cast("long")).alias("_tw_t0"),
-        F.coalesce(F.least(F.greatest(width, F.lit(1)), F.lit(max_w)), F.lit(max_w)).cast("long").alias("_tw_w"),
-    )
+    return counts.filter(F.col("_tw_n") > threshold).select(key, "_tw_n", F.lit(True).alias(_HOT))
+
+
+def _plain_scan(keyed, ts, tie, lag, running_sum, last_before, prefix) -> DataFrame:
+    """No hot key: the same columns from one window per key."""
+    w = Window.partitionBy(_K).orderBy(F.col(ts).asc_nulls_first(), F.col(tie).asc_nulls_first())
+    out = {f"{prefix}has_prev": F.row_number().over(w) > 1}
+    for c in lag:
+        out[f"{prefix}prev_{c}"] = F.lag(c).over(w)
+    for c in running_sum:
+        out[f"{prefix}cum_{c}"] = F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    for c in last_before:
+        out[f"{prefix}last_{c}"] = F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    return keyed.withColumns(out).drop(_K)
 
 
 def ordered_scan(
@@ -107,10 +96,9 @@ def ordered_scan(
     running_sum: Sequence[str] = (),
     last_before: Sequence[str] = (),
     prefix: str = "",
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     hot_rows: int = DEFAULT_HOT_ROWS,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-    bucket_rows: int = DEFAULT_BUCKET_ROWS,
+    slice_rows: int = DEFAULT_SLICE_ROWS,
 ) -> DataFrame:
     """Per row, in (ts, tie) order within ``keys`` (NULLs first), adds:
 
@@ -123,28 +111,28 @@ def ordered_scan(
     (ts, tie) is unique within a key, without the one-task-per-key limit.
     """
     keyed = df.withColumn(_K, F.struct(*[F.col(k) for k in keys]))
-    time_bucket = F.coalesce(
-        F.floor(F.unix_micros(F.col(ts)) / F.lit(int(bucket_seconds) * 1_000_000)),
-        F.lit(_NULL_BUCKET).cast("long"),
-    )
     if hot_rows and hot_rows > 0:
-        hot = hot_keys(keyed, _K, hot_rows, max_hot_keys, ts=ts, bucket_rows=bucket_rows,
-                       bucket_seconds=bucket_seconds)
-        keyed = keyed.join(F.broadcast(hot), on=_K, how="left").withColumn(
-            _HOT, F.coalesce(F.col(_HOT), F.lit(False))
-        )
-        # Per hot key: its own grid (origin, width), monotone in time.
-        key_bucket = F.coalesce(
-            F.floor((F.unix_micros(F.col(ts)) - F.col("_tw_t0")) / F.col("_tw_w")),
-            F.lit(_NULL_BUCKET).cast("long"),
-        )
-        keyed = keyed.withColumn(_B, F.when(F.col(_HOT), key_bucket).otherwise(F.lit(0).cast("long")))
-        split = keyed.filter(F.col(_HOT))
+        hot = hot_keys(keyed, _K, hot_rows, max_hot_keys)
+        n_hot = hot.agg(F.sum("_tw_n")).first()[0] or 0
+        if n_hot == 0:
+            return _plain_scan(keyed, ts, tie, lag, running_sum, last_before, prefix)
+        tagged = keyed.join(F.broadcast(hot.select(_K, _HOT)), on=_K, how="left")
+        ordinary = tagged.filter(F.col(_HOT).isNull()).withColumn(_B, F.lit(0).cast("long"))
+        hot_part = tagged.filter(F.col(_HOT).isNotNull())
     else:
-        keyed = keyed.withColumn(_B, time_bucket)
-        split = keyed
+        ordinary, hot_part = None, keyed.withColumn(_HOT, F.lit(True))
+        n_hot = keyed.count()
+    # Contiguous, balanced slices of each hot key's (ts, tie) order, pinned.
+    ensure_checkpoint_dir(keyed.sparkSession)
+    n_slices = int(min(MAX_SLICES, max(1, math.ceil(n_hot / max(1, int(slice_rows))))))
+    split = (
+        hot_part.repartitionByRange(n_slices, F.col(_K), F.col(ts).asc_nulls_first(), F.col(tie).asc_nulls_first())
+        .withColumn(_B, F.spark_partition_id().cast("long"))
+        .checkpoint(eager=True)
+    )
+    keyed = split if ordinary is None else ordinary.unionByName(split)
 
-    # In-bucket frames.
+    # In-slice frames.
     w = Window.partitionBy(_K, _B).orderBy(F.col(ts).asc_nulls_first(), F.col(tie).asc_nulls_first())
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     w_before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -157,16 +145,16 @@ def ordered_scan(
         cols[f"_tw_lb_{c}"] = F.last(c, ignorenulls=True).over(w_before)
     rows = keyed.withColumns(cols)
 
-    # One summary row per (key, bucket) of the split keys: last row, total,
-    # last non-NULL value. Struct order is (ts, tie) with NULLs first, as in
-    # the window above.
+    # One summary row per (key, slice) of the hot keys: last row, total, last
+    # non-NULL value. Struct order is (ts, tie) with NULLs first, as in the
+    # window above.
     order = F.struct(F.col(ts), F.col(tie))
     aggs = [F.count(F.lit(1)).alias("_tw_n")]
     aggs += [F.max_by(F.col(c), order).alias(f"_tw_blast_{c}") for c in lag]
     aggs += [F.sum(c).alias(f"_tw_btot_{c}") for c in running_sum]
     aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(f"_tw_bln_{c}") for c in last_before]
     buckets = split.groupBy(_K, _B).agg(*aggs)
-    # Carried into each bucket from the earlier buckets of the same key.
+    # Carried into each slice from the earlier slices of the same key.
     wk = Window.partitionBy(_K).orderBy(_B)
     wk_before = wk.rowsBetween(Window.unboundedPreceding, -1)
     carry_cols = [F.lag(_B).over(wk).isNotNull().alias("_tw_cprev")]
@@ -176,7 +164,7 @@ def ordered_scan(
                    for c in last_before]
     carry = buckets.select(_K, _B, *carry_cols)
 
-    # Rows of unsplit keys find no carry row: nothing comes before their bucket.
+    # Rows of ordinary keys find no carry row: nothing comes before their slice.
     j = rows.join(carry, on=[_K, _B], how="left")
     first = F.col("_tw_first")
     out = {f"{prefix}has_prev": ~first | F.coalesce(F.col("_tw_cprev"), F.lit(False))}
@@ -201,12 +189,12 @@ def cumulative_sum(
     tie: str,
     value: str,
     out: str,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     hot_rows: int = DEFAULT_HOT_ROWS,
+    slice_rows: int = DEFAULT_SLICE_ROWS,
 ) -> DataFrame:
     """``sum(value) over (partition by keys order by ts, tie)`` as ``out``."""
-    scanned = ordered_scan(df, keys, ts, tie, running_sum=[value], prefix="_cs_", bucket_seconds=bucket_seconds,
-                           hot_rows=hot_rows)
+    scanned = ordered_scan(df, keys, ts, tie, running_sum=[value], prefix="_cs_", hot_rows=hot_rows,
+                           slice_rows=slice_rows)
     return scanned.withColumnRenamed(f"_cs_cum_{value}", out).drop("_cs_has_prev")
 
 
@@ -217,12 +205,11 @@ def previous_row(
     tie: str,
     cols: Sequence[str],
     out: str = "prev",
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     hot_rows: int = DEFAULT_HOT_ROWS,
+    slice_rows: int = DEFAULT_SLICE_ROWS,
 ) -> DataFrame:
     """``lag(struct(cols))`` over ``partitionBy(keys).orderBy(ts, tie)`` as ``out``."""
-    scanned = ordered_scan(df, keys, ts, tie, lag=cols, prefix="_pr_", bucket_seconds=bucket_seconds,
-                           hot_rows=hot_rows)
+    scanned = ordered_scan(df, keys, ts, tie, lag=cols, prefix="_pr_", hot_rows=hot_rows, slice_rows=slice_rows)
     prev = F.struct(*[F.col(f"_pr_prev_{c}").alias(c) for c in cols])
     return scanned.withColumn(out, F.when(F.col("_pr_has_prev"), prev)).drop(
         "_pr_has_prev", *[f"_pr_prev_{c}" for c in cols]

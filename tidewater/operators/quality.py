@@ -13,7 +13,7 @@ from typing import Optional, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.windows import DEFAULT_BUCKET_SECONDS, DEFAULT_HOT_ROWS, ordered_scan
+from ..functions.windows import DEFAULT_HOT_ROWS, DEFAULT_SLICE_ROWS, ordered_scan
 from ..schema import (
     ENUM_RULES,
     EVENT_COLUMNS,
@@ -160,8 +160,8 @@ def session_audit(
     df: DataFrame,
     tie: Optional[str] = None,
     attributes: Sequence[str] = SESSION_ATTRIBUTES,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     hot_rows: int = DEFAULT_HOT_ROWS,
+    slice_rows: int = DEFAULT_SLICE_ROWS,
 ) -> DataFrame:
     """V4: invariants of the session state machine, one row per session.
 
@@ -171,7 +171,7 @@ def session_audit(
     attribute_changes.
 
     Plan: one ``ordered_scan`` (skew-safe: a hot session, one with more
-    than ``hot_rows`` rows, is cut into time buckets) gives per row the
+    than ``hot_rows`` rows, is cut into balanced slices) gives per row the
     previous watch_seconds, the number of terminal events so far and the
     last pause/resume before it; one aggregate per session (partial, so a hot
     session collapses map-side) counts the rows that break a rule. No join
@@ -189,7 +189,7 @@ def session_audit(
     scanned = ordered_scan(
         ev, ["session_id"], ts, tie,
         lag=["watch_seconds"], running_sum=["_term"], last_before=["_pr"],
-        prefix="_s_", bucket_seconds=bucket_seconds, hot_rows=hot_rows,
+        prefix="_s_", hot_rows=hot_rows, slice_rows=slice_rows,
     )
     after_terminal = (F.col("_s_cum__term") - F.col("_term")) > 0
     bad_resume = (F.col("event_type") == "resume") & F.coalesce(F.col("_s_last__pr") != "pause", F.lit(True))
