@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Remove reliable checkpoints (hot-key slices, audit input) once unused.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
