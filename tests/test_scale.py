@@ -89,7 +89,7 @@ def test_ordered_scan_is_a_plain_window_without_hot_keys(spark):
     df = spark.createDataFrame([("a", T0, 1, 1), ("a", T0, 2, 2)], "k string, ts timestamp, tie long, v int")
     plan = _plan(ordered_scan(df, ["k"], "ts", "tie", running_sum=["v"]))
     # No key is hot: one window per key, no slices, no carry join.
-    assert "Window" in plan and "Join" not in plan and "_tw_bucket" not in plan
+    assert "Window" in plan and "Join" not in plan and "_tw_slice" not in plan
 
 
 def test_daily_watch_time_accurate_counts_midnight_sessions_once(spark):

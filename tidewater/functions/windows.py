@@ -60,7 +60,7 @@ DEFAULT_SLICE_ROWS = 1_000_000
 MAX_SLICES = 100_000
 
 _K = "_tw_key"
-_B = "_tw_bucket"
+_B = "_tw_slice"
 _HOT = "_tw_hot"
 
 
@@ -153,7 +153,7 @@ def ordered_scan(
     aggs += [F.max_by(F.col(c), order).alias(f"_tw_blast_{c}") for c in lag]
     aggs += [F.sum(c).alias(f"_tw_btot_{c}") for c in running_sum]
     aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(f"_tw_bln_{c}") for c in last_before]
-    buckets = split.groupBy(_K, _B).agg(*aggs)
+    slices = split.groupBy(_K, _B).agg(*aggs)
     # Carried into each slice from the earlier slices of the same key.
     wk = Window.partitionBy(_K).orderBy(_B)
     wk_before = wk.rowsBetween(Window.unboundedPreceding, -1)
@@ -162,7 +162,7 @@ def ordered_scan(
     carry_cols += [F.sum(f"_tw_btot_{c}").over(wk_before).alias(f"_tw_csum_{c}") for c in running_sum]
     carry_cols += [F.last(f"_tw_bln_{c}", ignorenulls=True).over(wk_before).alias(f"_tw_clast_{c}")
                    for c in last_before]
-    carry = buckets.select(_K, _B, *carry_cols)
+    carry = slices.select(_K, _B, *carry_cols)
 
     # Rows of ordinary keys find no carry row: nothing comes before their slice.
     j = rows.join(carry, on=[_K, _B], how="left")

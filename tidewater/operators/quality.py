@@ -3,7 +3,7 @@
 All checks are native column expressions and aggregates (no UDF). Skew rule:
 no operator sends a whole key to one task; dedupe and per-session checks are
 aggregates with map-side partial aggregation, and ordered checks go through the
-bucketed helpers of ``functions.windows``.
+skew-safe ordered scan of ``functions.windows``.
 """
 
 from __future__ import annotations
