@@ -90,8 +90,9 @@ def main() -> None:
         # Skew probe derived from the data: every third user's events go to one session.
         silver = read_silver(spark, cfg)
         hot = F.when(F.abs(F.hash("user_id")) % 3 == 0, F.lit("s-hot")).otherwise(F.col("session_id"))
-        # hot_rows low enough that the hot session takes the sliced path here.
-        return quality.session_audit(silver.withColumn("session_id", hot), hot_rows=10_000).count()
+        # Thresholds scaled to sf0.1 so the hot session (~33k events) takes the
+        # sliced path and is cut into several slices here.
+        return quality.session_audit(silver.withColumn("session_id", hot), hot_rows=10_000, slice_rows=5_000).count()
 
     timed("audit_hot", audit_hot)
     timed("validate", lambda: quality.violation_counts(read_bronze(spark, cfg)).collect())
