@@ -208,3 +208,18 @@ def test_kafka_source_builds_the_reader_it_documents():
     assert calls["options"]["maxOffsetsPerTrigger"] == "10"
     kafka_source(Session(), "b:9092", "user_events", streaming=False, max_offsets_per_trigger=10)
     assert "maxOffsetsPerTrigger" not in calls["options"]  # batch reads take no rate limit
+
+
+def test_run_jobs_keeps_order_and_raises_failures():
+    import pytest
+
+    from tidewater.plans.parallel import run_jobs
+
+    assert list(run_jobs({"b": lambda: 2, "a": lambda: 1}).items()) == [("b", 2), ("a", 1)]
+
+    def boom():
+        raise RuntimeError("publish failed")
+
+    with pytest.raises(RuntimeError, match="publish failed"):
+        run_jobs({"ok": lambda: 1, "bad": boom})
+    assert run_jobs({"x": lambda: 3}, concurrent=False) == {"x": 3}
