@@ -62,6 +62,11 @@ def write_gold(df: DataFrame, cfg: LakeConfig, name: str) -> int:
     return int(obs.get["rows"])
 
 
+# JDBC bulk-load defaults: at most 32 connections (Spark coalesces to that
+# many partitions before the write), 10,000 rows per batch.
+JDBC_DEFAULTS = {"numPartitions": "32", "batchsize": "10000"}
+
+
 def write_quarantine(df: DataFrame, cfg: LakeConfig, rules: Optional[list] = None,
                      name: str = "user_events") -> str:
     """V2 sink: valid and rejected rows in one job, partitioned by ``status``
@@ -96,9 +101,10 @@ def publish_gold(
         wh = wh.observe(obs, F.count(F.lit(1)).alias("rows"))
         table = name.upper()
         if jdbc:
-            wh.write.format("jdbc").options(**jdbc).option("dbtable", table).option(
-                "truncate", "false"
-            ).mode("overwrite").save()
+            # Bounded connections and large batches for the bulk load; the
+            # caller's options win.
+            opts = {**JDBC_DEFAULTS, **jdbc, "dbtable": table, "truncate": "false"}
+            wh.write.format("jdbc").options(**opts).mode("overwrite").save()
             back = spark.read.format("jdbc").options(**jdbc).option("dbtable", table).load().count()
         else:
             path = f"{root}/{table}"
