@@ -4,6 +4,8 @@ import datetime as dt
 import random
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -140,3 +142,33 @@ def test_dense_hot_key_is_sliced_with_same_results(spark, spread_us):
     )
     a = got.select("tie", "s_cum_v", "s_prev_v", "s_has_prev")
     assert a.count() == 2000 and a.exceptAll(ref).count() == 0 and ref.exceptAll(a).count() == 0
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    rows=st.lists(
+        st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 5)),
+                  st.one_of(st.none(), st.integers(-3, 3))),
+        min_size=1, max_size=40),
+    hot_rows=st.sampled_from([0, 1, 3, 1_000_000]),
+    slice_rows=st.integers(1, 7),
+)
+def test_ordered_scan_equals_plain_windows(spark, rows, hot_rows, slice_rows):
+    from tidewater.functions.windows import ordered_scan
+
+    t0 = dt.datetime(2024, 1, 1)
+    data = [(k, None if s is None else t0 + dt.timedelta(seconds=s), i, v) for i, (k, s, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k string, ts timestamp, tie long, v int")
+    got = ordered_scan(df, ["k"], "ts", "tie", lag=["v"], running_sum=["v"], last_before=["v"], prefix="s_",
+                       hot_rows=hot_rows, slice_rows=slice_rows)
+    w = Window.partitionBy("k").orderBy(F.col("ts").asc_nulls_first(), F.col("tie").asc_nulls_first())
+    ref = df.select(
+        "tie",
+        (F.row_number().over(w) > 1).alias("s_has_prev"),
+        F.lag("v").over(w).alias("s_prev_v"),
+        F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s_cum_v"),
+        F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("s_last_v"),
+    )
+    a = sorted(tuple(r) for r in got.select(*ref.columns).collect())
+    b = sorted(tuple(r) for r in ref.collect())
+    assert a == b
