@@ -1,4 +1,4 @@
-"""Bucketed ordered helpers equal the plain one-task-per-key windows."""
+"""The skew-safe ordered scan (plain and sliced paths) equals the plain one-task-per-key windows."""
 
 import datetime as dt
 import random
