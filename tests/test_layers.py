@@ -57,6 +57,12 @@ def test_silver_partitioned_and_pruned(spark, lake):
     assert "PartitionFilters" in plan and "event_date" in plan
     assert s.count() == spark.read.parquet(f"{SF0001}/events.parquet").filter(
         F.to_date("ts") == "2024-01-02").count()
+    # The Gold rollup and G3 scans read only the columns they use.
+    silver = read_silver(spark, lake).select(*gold.GOLD_INPUT_COLUMNS)
+    for df, absent in ((gold.session_day_rollup(silver), ("kafka_key", "app_version", "event_type")),
+                       (gold.hourly_event_distribution(silver), ("user_id", "watch_seconds", "kafka_offset"))):
+        schema = [ln for ln in df._jdf.queryExecution().executedPlan().toString().splitlines() if "ReadSchema" in ln]
+        assert schema and not [c for c in absent if any(c in ln for ln in schema)]
 
 
 def test_compaction_keeps_rows_with_fewer_files(spark, lake):
