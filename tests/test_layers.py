@@ -142,6 +142,11 @@ def test_compact_lake_keeps_tables(spark, lake):
     refresh_batch(spark, lake, publish=False).collect()
     before_s = sorted(map(tuple, read_silver(spark, lake).drop("transformed_at").collect()))
     before_g = sorted(map(tuple, read_gold(spark, lake, "user_session_summary").collect()))
+    from tidewater.sources.tables import read_gold_for_load, read_table
+
+    assert read_table(spark, lake, "bronze", "user_events").count() == 1070
+    assert read_table(spark, lake, "gold", "user_session_summary").count() == len(before_g)
+    assert read_gold_for_load(spark, lake, "daily_device_mix").count() == 90
     paths = compact_lake(spark, lake, target_files=1)
     assert set(paths) == {"silver.user_events", "gold.user_session_summary"}
     assert sorted(map(tuple, read_silver(spark, lake).drop("transformed_at").collect())) == before_s
