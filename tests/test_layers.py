@@ -169,3 +169,17 @@ def test_gold_from_rollup_equals_direct_aggregates(spark):
         assert got.columns == direct.columns, name
         assert [f.dataType for f in got.schema] == [f.dataType for f in direct.schema], name
         assert got.exceptAll(direct).count() == 0 and direct.exceptAll(got).count() == 0, name
+
+
+def test_processing_time_stream_runs_until_stopped(spark, lake):
+    wire_path = lake.path("landing", "wire")
+    write_wire(fixtures.wire_messages(spark, SF0001), wire_path)
+    q = ingest_bronze(spark, lake, wire_source(spark, wire_path, streaming=True), trigger="1 second")
+    try:
+        q.processAllAvailable()
+        # A processing-time query keeps running: the wait times out, the query is active.
+        assert run_until_stopped(q, timeout=2) is False and q.isActive
+        assert read_bronze(spark, lake).count() == 1070
+    finally:
+        q.stop()
+    assert not q.isActive
