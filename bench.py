@@ -23,6 +23,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -49,6 +50,7 @@ def main() -> None:
         master=f"local[{cpus}]",
         shuffle_partitions=cpus * 2,
         conf={"spark.driver.memory": "8g"},
+        checkpoint_dir=tempfile.mkdtemp(prefix="tidewater-bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
 

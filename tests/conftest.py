@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,8 @@ SF001 = "/root/testdata/sf0.01"
 def spark():
     from tidewater.session import build_session
 
-    s = build_session("tidewater-tests", master="local[4]", shuffle_partitions=8)
+    s = build_session("tidewater-tests", master="local[4]", shuffle_partitions=8,
+                      checkpoint_dir=tempfile.mkdtemp(prefix="tidewater-tests-"))
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

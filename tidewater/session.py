@@ -34,13 +34,15 @@ def build_session(
     master: Optional[str] = None,
     shuffle_partitions: Optional[int] = None,
     conf: Optional[Mapping[str, str]] = None,
+    checkpoint_dir: Optional[str] = None,
 ) -> SparkSession:
     """Create or reuse a session.
 
     ``master`` is only set when given (tests, bench); under spark-submit the
     cluster manager decides. ``shuffle_partitions`` should be sized so that one
     shuffle partition is ~128-256 MB at the target scale (200 on the reference
-    cluster, thousands at 100 TB; AQE coalesces small ones).
+    cluster, thousands at 100 TB; AQE coalesces small ones). ``checkpoint_dir``
+    is used where ``spark.checkpoint.dir`` is unset.
     """
     b = SparkSession.builder.appName(app_name)
     if master:
@@ -56,30 +58,26 @@ def build_session(
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     if shuffle_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    ensure_checkpoint_dir(spark)
+    if checkpoint_dir or spark.conf.get("spark.checkpoint.dir", None):
+        ensure_checkpoint_dir(spark, checkpoint_dir)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: Optional[str] = None) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session; a folder of our own is
-    set only when none is configured (tests). A machine-local folder is never
-    chosen on a cluster: the fallback must be given explicitly.
+    ``spark.checkpoint.dir`` is read from the session. A folder of the caller's
+    (``fallback``: tests, bench, the driver's entry in local mode) is used only
+    where none is configured; without either this raises, so no job writes to
+    a folder that other machines can't see.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    target = configured or fallback
+    target = spark.conf.get("spark.checkpoint.dir", None) or fallback
     if target is None:
-        if sc.master.startswith("local"):
-            import tempfile
-
-            target = tempfile.mkdtemp(prefix="tidewater-ckpt-")
-        else:
-            raise RuntimeError("spark.checkpoint.dir is not set on this cluster")
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir()
 
