@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, token_counts, training_order
+from . import exact_dedup, packing, quality_ftrl, token_counts, toxicity, training_order
 from .common import shared_path, ship, table
 
 
@@ -21,6 +21,10 @@ def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order.read_slots(spark, out).drop("ids")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_ftrl.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -44,7 +52,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: _shipped(q)
-    for q in (op2_training_order, op7_exact_dedup, op8_packing, op10_token_counts)
+    for q in (op2_training_order, op3_toxicity, op7_exact_dedup, op8_packing, op9_quality, op10_token_counts)
 }
 
 ORACLE: Dict[str, str] = {

@@ -21,7 +21,7 @@ import os
 import re
 from array import array
 from functools import lru_cache
-from typing import List, Tuple
+from typing import Dict, List, Tuple
 
 import numpy as np
 import pyarrow as pa
@@ -89,8 +89,8 @@ class Encoder:
             norm = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
             if norm == ["NFC", "Replace", "Lowercase"]:
                 self.kind, self.pattern = "word", regex.compile(steps[0]["pattern"]["Regex"])
-        self.word = WorkerCache(self._word)
-        self.piece = WorkerCache(self._piece)
+        self.word = WorkerCache(self._word, 700_000)
+        self.piece = WorkerCache(self._piece, 200_000)
 
     def whole(self, text: str) -> bytes:
         """By the library, in one go."""
@@ -117,32 +117,51 @@ class Encoder:
             found |= pc.match_substring(text, s).to_numpy(zero_copy_only=False)
         return found
 
-    def encode_batch(self, text: pa.Array) -> Tuple[np.ndarray, np.ndarray]:
+    def _ids(self, piece: str) -> bytes:
+        """A piece's ids; plain words, also with a comma or full stop, need no entry of their own."""
+        core = piece[self.kind == "byte" and piece[:1] == " " :]
+        if core.isascii():
+            if core.isalpha():
+                return self.word[piece.lower() if self.kind == "word" else piece]
+            if core[-1:] in (",", ".") and core[:-1].isalpha():
+                return self.word[piece[:-1].lower() if self.kind == "word" else piece[:-1]] + self.word[core[-1]]
+        return self.piece[piece]
+
+    def _coded(self, text: pa.Array) -> Tuple[np.ndarray, np.ndarray, List[bytes], Dict[int, np.ndarray]]:
+        """(code of each piece, offsets by row, ids of each code, ids of the rows that are done apart)."""
+        self.word.trim()
+        self.piece.trim()
         if self.kind == "other":
-            apart = np.ones(len(text), bool)
+            special = apart = np.ones(len(text), bool)
         else:
-            apart = self._special(text)
-            if self.kind == "byte":
-                apart |= odd_spaces(text)
-        plain = pc.if_else(pa.array(apart), "", text)
-        codes, offsets, pieces = (space_pieces if self.kind == "byte" else split_words)(plain)
-        ids = [self.piece[p] for p in pieces]
-        width = self.dtype.itemsize
-        lengths = np.fromiter((len(b) // width for b in ids), np.int64, len(ids))
+            special = self._special(text)
+            apart = special | odd_spaces(text) if self.kind == "byte" else special
+        done = {}
+        for i in map(int, np.flatnonzero(apart)):
+            t = text[i].as_py()
+            done[i] = np.frombuffer(self.whole(t) if special[i] else b"".join([self.word[w] for w in self.pattern.findall(t)]), self.dtype)
+        codes, offsets, pieces = (space_pieces if self.kind == "byte" else split_words)(pc.if_else(pa.array(apart), "", text))
+        return codes, offsets, [self._ids(p) for p in pieces], done
+
+    def count_batch(self, text: pa.Array) -> np.ndarray:
+        codes, offsets, ids, done = self._coded(text)
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        n = np.diff(np.concatenate([[0], np.cumsum(lengths[codes])])[offsets])
+        for i, own in done.items():
+            n[i] = len(own)
+        return n
+
+    def encode_batch(self, text: pa.Array) -> Tuple[np.ndarray, np.ndarray]:
+        codes, offsets, ids, done = self._coded(text)
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
         values = np.frombuffer(b"".join(ids), self.dtype)
         n = lengths[codes]
         out = values[ragged((np.cumsum(lengths) - lengths)[codes], n)]
         ends = np.concatenate([[0], np.cumsum(n)])[offsets]
-        if apart.any():
-            rows = [out[ends[i] : ends[i + 1]] for i in range(len(text))]
-            for i in np.flatnonzero(apart):
-                t = text[int(i)].as_py()
-                special = self.kind == "other" or any(s in t for s in self.specials)
-                rows[i] = np.frombuffer(self.whole(t) if special else b"".join([self.word[w] for w in self.pattern.findall(t)]), self.dtype)
+        if done:
+            rows = [done[i] if i in done else out[ends[i] : ends[i + 1]] for i in range(len(text))]
             out = np.concatenate(rows)
             ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
-        self.word.trim()
-        self.piece.trim()
         return out, ends.astype(np.int64)
 
 

@@ -103,7 +103,7 @@ def _count(docs: DataFrame, path: str) -> List[Tuple[int, int, int]]:
         e, rows, tokens = encoder(path), 0, 0
         for b in slices(batches):
             rows += b.num_rows
-            tokens += b.num_rows + len(e.encode_batch(b.column("text"))[0])
+            tokens += b.num_rows + int(e.count_batch(b.column("text")).sum())
         if rows:
             part = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "n": [rows], "tokens": [tokens]})
