@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, quality_ftrl, token_counts, toxicity, training_order
+from . import exact_dedup, ngram_join, packing, quality_ftrl, token_counts, toxicity, training_order
 from .common import shared_path, ship, table
 
 
@@ -25,6 +25,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: _shipped(q)
-    for q in (op2_training_order, op3_toxicity, op7_exact_dedup, op8_packing, op9_quality, op10_token_counts)
+    for q in (op2_training_order, op3_toxicity, op4_ngram_join, op7_exact_dedup, op8_packing, op9_quality, op10_token_counts)
 }
 
 ORACLE: Dict[str, str] = {
