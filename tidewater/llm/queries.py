@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, ngram_join, packing, quality_ftrl, token_counts, toxicity, training_order
+from . import contamination, exact_dedup, lm_hmm, ngram_join, packing, quality_ftrl, token_counts, toxicity, training_order
 from .common import shared_path, ship, table
 
 
@@ -29,6 +29,14 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_lm_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_hmm.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -56,10 +64,28 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: _shipped(q)
-    for q in (op2_training_order, op3_toxicity, op4_ngram_join, op7_exact_dedup, op8_packing, op9_quality, op10_token_counts)
+    for q in (op2_training_order, op3_toxicity, op4_ngram_join, op5_decontamination, op6_lm_hmm, op7_exact_dedup, op8_packing, op9_quality, op10_token_counts)
 }
 
 ORACLE: Dict[str, str] = {
+    "op5_decontamination": r"""
+WITH d AS (
+  SELECT DISTINCT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents WHERE doc_id IS NOT NULL
+), b AS (
+  SELECT DISTINCT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM benchmark WHERE item_id IS NOT NULL
+), bs AS (
+  SELECT DISTINCT item_id, g, array_to_string(w[i:i + g - 1], ' ') AS s
+  FROM (SELECT item_id, w, g, unnest(range(1, len(w) - g + 2)) AS i FROM (SELECT item_id, w, least(5, len(w)) AS g FROM b WHERE len(w) > 0))
+), ds AS (
+  SELECT DISTINCT doc_id, g, array_to_string(w[i:i + g - 1], ' ') AS s
+  FROM (SELECT doc_id, w, g, unnest(range(1, len(w) - g + 2)) AS i FROM d CROSS JOIN (SELECT DISTINCT g FROM bs) WHERE len(w) >= g)
+), n AS (SELECT item_id, count(*) AS item_shingles FROM bs GROUP BY item_id),
+m AS (SELECT doc_id, item_id, count(*) AS shared FROM ds JOIN bs USING (g, s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, shared, item_shingles, shared / item_shingles AS containment
+FROM m JOIN n USING (item_id) WHERE shared / item_shingles >= 0.8
+""",
     "op7_exact_dedup": """
 WITH d AS (
   SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
