@@ -9,10 +9,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, exact_dedup, lm_hmm, ngram_join, packing, quality_ftrl, token_counts, toxicity, training_order
+from . import contamination, exact_dedup, lm_hmm, ngram_join, packing, quality_ftrl, token_counts, toxicity, training_order, url_filter
 from .common import shared_path, ship, table
 
 
+#: The rules of the contract, as verdict and rule.
+URL_RULES = (
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+)
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all documents as shards in training order, then reads every slot back."""
     out = shared_path(spark, "shards")
@@ -64,7 +78,10 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: _shipped(q)
-    for q in (op2_training_order, op3_toxicity, op4_ngram_join, op5_decontamination, op6_lm_hmm, op7_exact_dedup, op8_packing, op9_quality, op10_token_counts)
+    for q in (
+        op1_url_filter, op2_training_order, op3_toxicity, op4_ngram_join, op5_decontamination,
+        op6_lm_hmm, op7_exact_dedup, op8_packing, op9_quality, op10_token_counts,
+    )
 }
 
 ORACLE: Dict[str, str] = {

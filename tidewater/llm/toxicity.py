@@ -300,6 +300,12 @@ def train(rows: DataFrame, landmarks: int = 192, negatives: int = 6_000) -> Mode
     return model
 
 
+def fitted(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, id_col: str, text_col: str):
+    """The model learnt from the labelled documents, sent to the tasks."""
+    rows = texts(docs, id_col, text_col)
+    return docs.sparkSession.sparkContext.broadcast(train(learning_rows(rows, labels, label, max_rows)))
+
+
 def toxicity_scores(
     docs: DataFrame,
     labels: DataFrame,
@@ -310,19 +316,32 @@ def toxicity_scores(
     text_col: str = "text",
 ) -> DataFrame:
     """doc_id, held_out, score (probability of label 1), predicted."""
-    rows = texts(docs, id_col, text_col)
-    model = docs.sparkSession.sparkContext.broadcast(train(learning_rows(rows, labels, label, max_rows)))
+    model = fitted(docs, labels, label, max_rows, id_col, text_col)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             p = model.value.scores(b.column("text"))
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "score": pa.array(p), "predicted": pa.array((p >= threshold).astype(np.int32))})
 
-    held = rows.withColumn("held_out", fold_of("doc_id", 5) == 0)
+    held = texts(docs, id_col, text_col).withColumn("held_out", fold_of("doc_id", 5) == 0)
     return held.mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int")
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents predicted toxic; rows with a null id stay."""
-    toxic = toxicity_scores(docs, labels, threshold=threshold, id_col=id_col, text_col=text_col).filter("predicted = 1 AND doc_id IS NOT NULL")
-    return docs.join(toxic.select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_anti").select(*docs.columns)
+def drop_toxic(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "toxic",
+    threshold: float = 0.5,
+    max_rows: int = 12_000,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``docs`` without the documents predicted toxic, filtered where they lie."""
+    model = fitted(docs, labels, label, max_rows, id_col, text_col)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, text_col):
+            p = model.value.scores(pc.fill_null(b.column(text_col), ""))
+            yield b.filter(pa.array(p < threshold))
+
+    return docs.mapInArrow(clean, docs.schema)
