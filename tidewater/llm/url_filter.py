@@ -64,15 +64,12 @@ def rule_of(host: Column, path: Column, rules: Rules) -> Column:
 
 
 def _different(hits1: Column, n1: Column, hits: Column, n: Column) -> Column:
-    """z of the shares hits1 / n1 and the rest of hits / n, half a hit and one trial added to each."""
-    p1, p2 = (hits1 + 0.5) / (n1 + 1), (hits - hits1 + 0.5) / (n - n1 + 1)
+    """z of the shares hits1 / n1 and the rest of hits / n, one trial at the common share added to each."""
     p = (hits + 0.5) / (n + 1)
+    p1, p2 = (hits1 + p) / (n1 + 1), (hits - hits1 + p) / (n - n1 + 1)
     return F.abs(p1 - p2) / F.sqrt(p * (1 - p) * (1 / (n1 + 1) + 1 / (n - n1 + 1)))
 
 
-SUMS = [F.sum(c).alias(c) for c in ("n", "labelled", "blocked")]
-
-
 def _purity(state: DataFrame, keys: Sequence[str], weight: float) -> DataFrame:
     """``state`` with its purity renewed from the sums over ``keys``, smoothed towards the one it has."""
     sums = state.groupBy(*keys).agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
@@ -98,7 +95,7 @@ def path_templates(urls: DataFrame, depth: int = 8, z_merge: float = 1.96, weigh
         identifier = segment.rlike(IDENTIFIER)
         active = active.withColumn("branch", F.when(identifier, "*").otherwise(segment)).withColumn("next", F.when(F.coalesce(following.rlike(IDENTIFIER), F.lit(False)), F.col("n")).otherwise(0))
         node = ["host", "template"]
-        branches = active.groupBy(*node, "branch").agg(*SUMS, F.sum("next").alias("next"))
+        branches = active.groupBy(*node, "branch").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "blocked", "next")])
         parents = branches.groupBy(*node).agg(F.count(F.lit(1)).alias("kids"), *[F.sum(c).alias(f"all_{c}") for c in ("n", "labelled", "blocked", "next")])
         b = branches.join(parents, node)
         rare = (F.col("kids") > MANY) & (F.col("n") < FEW * F.col("all_n"))
