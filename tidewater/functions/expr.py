@@ -30,7 +30,7 @@ def contains_ci(col, pattern: str, literal: bool = False) -> Column:
     """
     c = F.col(col) if isinstance(col, str) else col
     pat = re.escape(pattern) if literal else pattern
-    return F.coalesce(c.rlike("(?i)" + pat), F.lit(False))
+    return F.coalesce(c.rlike("(?iu)" + pat), F.lit(False))
 
 
 def to_ntz(col) -> Column:

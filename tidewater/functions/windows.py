@@ -57,7 +57,6 @@ from ..session import ensure_checkpoint_dir
 DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_MAX_HOT_KEYS = 1_000_000
 DEFAULT_SLICE_ROWS = 1_000_000
-MAX_SLICES = 100_000
 
 _K = "_tw_key"
 _B = "_tw_slice"
@@ -124,7 +123,7 @@ def ordered_scan(
         n_hot = keyed.count()
     # Contiguous, balanced slices of each hot key's (ts, tie) order, pinned.
     ensure_checkpoint_dir(keyed.sparkSession)
-    n_slices = int(min(MAX_SLICES, max(1, math.ceil(n_hot / max(1, int(slice_rows))))))
+    n_slices = max(1, math.ceil(n_hot / max(1, int(slice_rows))))
     split = (
         hot_part.repartitionByRange(n_slices, F.col(_K), F.col(ts).asc_nulls_first(), F.col(tie).asc_nulls_first())
         .withColumn(_B, F.spark_partition_id().cast("long"))

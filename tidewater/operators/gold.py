@@ -72,7 +72,7 @@ def daily_watch_time_accurate(silver: DataFrame) -> DataFrame:
     """Watch time without the cumulative over-count.
 
     Per (session_id, country_code, event_date) the day's max(watch_seconds)
-    minus the same session's max on its previous day (0 if none), summed per
+    minus the same session's last known max on an earlier day (0 if none), summed per
     (event_date, country_code). Two aggregates; the window runs over the
     per-session-day rows (a handful per session), never over raw events.
     """
@@ -80,7 +80,8 @@ def daily_watch_time_accurate(silver: DataFrame) -> DataFrame:
         F.max("watch_seconds").alias("_m")
     )
     w = Window.partitionBy("session_id", "country_code").orderBy(F.col("event_date").asc_nulls_first())
-    delta = daily.withColumn("_d", F.col("_m") - F.coalesce(F.lag("_m").over(w), F.lit(0)))
+    before = F.last("_m", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    delta = daily.withColumn("_d", F.col("_m") - F.coalesce(before, F.lit(0)))
     return delta.groupBy("event_date", "country_code").agg(
         F.sum("_d").cast("long").alias("total_watch_seconds")
     )

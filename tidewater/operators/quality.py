@@ -183,7 +183,7 @@ def session_audit(
     terminal = F.col("event_type").isin(list(TERMINAL_EVENT_TYPES))
     ev = df.select(
         *dict.fromkeys(["session_id", ts, tie, "event_type", "watch_seconds", *attributes]),
-        terminal.cast("long").alias("_term"),
+        F.coalesce(terminal, F.lit(False)).cast("long").alias("_term"),
         F.when(F.col("event_type").isin("pause", "resume"), F.col("event_type")).alias("_pr"),
     )
     scanned = ordered_scan(

@@ -81,7 +81,9 @@ def to_wire(events: DataFrame) -> DataFrame:
         F.struct(*[F.col(c) for c in EVENT_COLUMNS]),
         {"timestampFormat": WIRE_TIMESTAMP_FORMAT},
     )
-    return events.select(F.col("user_id").alias("key"), payload.alias("value"))
+    # A message without a key would lose its place in the user's order.
+    key = F.coalesce(F.col("user_id"), F.raise_error(F.lit("to_wire: user_id is NULL; quarantine such events first")).cast("string"))
+    return events.select(key.alias("key"), payload.alias("value"))
 
 
 def from_wire_text(df: DataFrame, value: str = "value") -> DataFrame:

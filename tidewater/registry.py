@@ -654,7 +654,7 @@ ORACLE: Dict[str, str] = {
 ),
 dl AS (
     SELECT event_date, country_code,
-           m - coalesce(lag(m) OVER (PARTITION BY session_id, country_code ORDER BY event_date), 0) AS dw
+           m - coalesce(last_value(m IGNORE NULLS) OVER (PARTITION BY session_id, country_code ORDER BY event_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS dw
     FROM daily
 )
 SELECT event_date, country_code, CAST(sum(dw) AS BIGINT) AS total_watch_seconds

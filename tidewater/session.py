@@ -82,10 +82,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: Optional[str] = None) -
     return sc.getCheckpointDir()
 
 
-# Input bytes per shuffle partition when a job sizes its own shuffle width,
-# and the widest shuffle it asks for (AQE coalesces what turns out small).
+# Input bytes per shuffle partition when a job sizes its own shuffle width
+# (AQE coalesces what turns out small).
 BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 ** 2
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 @contextmanager
@@ -93,17 +92,16 @@ def shuffle_width(spark: SparkSession, input_bytes: Optional[int]) -> Iterator[i
     """Run a job with enough shuffle partitions for ``input_bytes``.
 
     Sets ``spark.sql.shuffle.partitions`` to ceil(input / 256 MB), never below
-    the session's value and never above 100,000, and restores it afterwards.
+    the session's value, and restores it afterwards.
     AQE then coalesces partitions that come out small, so the width is an
     upper bound that keeps each reduce task within executor memory at any
-    input size (100 TB of input asks for 100,000 partitions of ~1 GB input,
-    a few hundred MB after pruning and compression).
+    input size (100 TB of input asks for about 400,000 partitions).
     """
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     width = int(before)
     if input_bytes:
-        width = max(width, min(MAX_SHUFFLE_PARTITIONS, math.ceil(input_bytes / BYTES_PER_SHUFFLE_PARTITION)))
+        width = max(width, math.ceil(input_bytes / BYTES_PER_SHUFFLE_PARTITION))
     spark.conf.set(key, str(width))
     try:
         yield width

@@ -131,6 +131,7 @@ def export_csv(df: DataFrame, path: str) -> None:
     (
         df.write.mode("errorifexists")
         .option("header", True)
+        .option("escape", '"')
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         .csv(path)
