@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.windows import cumulative_sum
-from .schema import EVENT_COLUMNS, MAX_SECONDS, WIRE_TIMESTAMP_FORMAT
+from .operators.wire import event_json
+from .schema import EVENT_COLUMNS, MAX_SECONDS
 
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture mapping.
@@ -32,6 +33,31 @@ EVENT_TYPE_MAP = {
 # id % 50 = 0, Kafka partition = user_id % 6, offset = id * 10 + copy.
 RETRY_EVERY = 20
 JUNK_EVERY = 50
+# A session is a user's events of 48 hours from noon to noon, so it crosses
+# one midnight or two.
+SESSION_SECONDS = 172_800
+SESSION_SHIFT = 43_200
+# Rows that break one rule of the contract or hold a special value: the value
+# stands where event id modulo the number is 0.
+CASES = {
+    "no_watch": 7,  # (user id + day of month): the whole day without watch_seconds
+    "second_type": 37,
+    "second_device": 41,
+    "unknown_device": 43,
+    "no_event_type": 83,
+    "unknown_event_type": 89,
+    "negative_watch": 97,
+    "empty_user": 101,
+    "long_session": 103,
+    "long_content": 107,
+    "empty_content_type": 109,
+    "long_version": 113,
+    "long_country": 127,
+    "position_beyond": 131,
+    "naive_timestamp": 137,  # on the wire only
+    "ill_typed_watch": 139,  # on the wire; NULL after the parse
+    "accented_content": 149,
+}
 JUNK_TEXT = "not json"
 TOPIC_PARTITIONS = 6
 TOPIC = "user_events"
@@ -75,10 +101,19 @@ def _country_code(uid: Column) -> Column:
     )
 
 
+def _case(name: str) -> Column:
+    return F.col("src_id") % CASES[name] == 0
+
+
 def _event_type(src: Column) -> Column:
-    expr = None
+    expr = (
+        F.when(_case("no_event_type"), F.lit(None).cast("string"))
+        .when(_case("unknown_event_type"), "buffer")
+        .when((src == "click") & (F.col("src_id") % 3 == 1), "pause")
+        .when((src == "view") & (F.col("src_id") % 5 == 1), "skip")
+    )
     for k, v in EVENT_TYPE_MAP.items():
-        expr = (F.when(src == k, v) if expr is None else expr.when(src == k, v))
+        expr = expr.when(src == k, v)
     return expr
 
 
@@ -92,14 +127,14 @@ def canonical_from_source(src: DataFrame) -> DataFrame:
         F.col("event_id").alias("src_id"),
         F.col("user_id").alias("src_user"),
         ts.alias("event_timestamp"),
-        F.to_date(ts).alias("_d"),
+        F.floor((F.unix_seconds(ts) + SESSION_SHIFT) / SESSION_SECONDS).alias("_s"),
         F.dayofmonth(ts).alias("_day"),
         F.col("event_type").alias("_src_type"),
         F.floor(F.col("value")).cast("int").alias("_v"),
     )
     cum = cumulative_sum(
         base,
-        keys=["src_user", "_d"],
+        keys=["src_user", "_s"],
         ts="event_timestamp",
         tie="src_id",
         value="_v",
@@ -110,20 +145,39 @@ def canonical_from_source(src: DataFrame) -> DataFrame:
         "src_id",
         "src_user",
         F.concat(F.lit("e-"), F.col("src_id").cast("string")).alias("event_id"),
-        F.concat(F.lit("u-"), F.col("src_user").cast("string")).alias("user_id"),
-        F.concat(
-            F.lit("s-"), F.col("src_user").cast("string"), F.lit("-"), F.col("_d").cast("string")
-        ).alias("session_id"),
-        F.concat(F.lit("c-"), ck.cast("string")).alias("content_id"),
-        _content_type(ck).alias("content_type"),
+        F.when(_case("empty_user"), "")
+        .otherwise(F.concat(F.when(F.col("src_user") % 50 == 13, "u-\u00c9").otherwise("u-"), F.col("src_user").cast("string")))
+        .alias("user_id"),
+        F.when(_case("long_session"), "s" * 65)
+        .otherwise(F.concat(F.lit("s-"), F.col("src_user").cast("string"), F.lit("-"), F.col("_s").cast("string")))
+        .alias("session_id"),
+        F.when(_case("long_content"), "c" * 65)
+        .otherwise(F.concat(F.when(_case("accented_content"), "c-\u00e9").otherwise("c-"), ck.cast("string")))
+        .alias("content_id"),
+        F.when(_case("empty_content_type"), "")
+        .when(_case("second_type"), "trailer")
+        .otherwise(_content_type(ck))
+        .alias("content_type"),
         _event_type(F.col("_src_type")).alias("event_type"),
-        F.least(F.lit(MAX_SECONDS), F.col("_cum")).cast("int").alias("watch_seconds"),
-        F.when(F.col("src_id") % 10 == 0, F.lit(None).cast("int"))
+        F.when(_case("ill_typed_watch") | ((F.col("src_user") + F.col("_day")) % CASES["no_watch"] == 0), F.lit(None).cast("int"))
+        .when(_case("negative_watch"), -5)
+        .otherwise(F.least(F.lit(MAX_SECONDS), F.col("_cum")).cast("int"))
+        .alias("watch_seconds"),
+        F.when(_case("position_beyond"), MAX_SECONDS + 1)
+        .when(F.col("src_id") % 10 == 0, F.lit(None).cast("int"))
         .otherwise(F.col("_v"))
         .alias("playback_position_seconds"),
-        _device_type(F.col("src_user")).alias("device_type"),
-        F.concat(F.lit("1."), (F.col("src_id") % 5).cast("string"), F.lit(".0")).alias("app_version"),
-        _country_code(F.col("src_user")).alias("country_code"),
+        F.when(_case("unknown_device"), "fridge")
+        .when(_case("second_device"), "web")
+        .otherwise(_device_type(F.col("src_user")))
+        .alias("device_type"),
+        F.when(_case("long_version"), "9" * 33)
+        .otherwise(F.concat(F.lit("1."), (F.col("src_id") % 5).cast("string"), F.lit(".0")))
+        .alias("app_version"),
+        F.when(_case("long_country"), "IND")
+        .when((F.col("src_user") % 20 == 18) & (F.col("src_id") % 2 == 0), "de")
+        .otherwise(_country_code(F.col("src_user")))
+        .alias("country_code"),
         "event_timestamp",
     )
 
@@ -149,10 +203,12 @@ def wire_from_canonical(canon: DataFrame) -> DataFrame:
         | ((c == 1) & (F.col("src_id") % RETRY_EVERY == 0))
         | ((c == 2) & (F.col("src_id") % JUNK_EVERY == 0)),
     )
-    payload = F.to_json(
-        F.struct(*[F.col(c) for c in EVENT_COLUMNS]),
-        {"timestampFormat": WIRE_TIMESTAMP_FORMAT},
-    )
+    payload = event_json()
+    # Messages of producers that break the contract in the text itself.
+    payload = F.when(_case("naive_timestamp"), F.regexp_replace(payload, 'Z"\\}$', '"}')).otherwise(payload)
+    payload = F.when(
+        _case("ill_typed_watch"), F.replace(payload, F.lit('"watch_seconds":null'), F.lit('"watch_seconds":"bad"'))
+    ).otherwise(payload)
     return canon.select("*", F.explode(copies).alias("_copy")).select(
         F.col("user_id").cast("binary").alias("key"),
         F.when(F.col("_copy") == 2, F.lit(JUNK_TEXT)).otherwise(payload).cast("binary").alias("value"),

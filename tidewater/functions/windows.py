@@ -37,7 +37,9 @@ Keys are packed into one non-null struct column and NULL timestamps sort
 first, so NULL keys or timestamps are never filtered by the joins.
 ``hot_rows=0`` slices every key (tests).
 
-The input is read up to three times (key counts, ordinary rows, hot rows):
+With a hot key the input is read several times (key counts for the number of
+hot rows and again for the broadcast, the range sampler, the slice shuffle,
+the ordinary rows):
 pass a table scan (column pruning keeps the extra reads narrow) or a
 checkpointed frame, not an expensive derivation.
 """
@@ -73,9 +75,10 @@ def hot_keys(keyed: DataFrame, key: str, hot_rows: int, max_hot_keys: int) -> Da
     return counts.filter(F.col("_tw_n") > threshold).select(key, "_tw_n", F.lit(True).alias(_HOT))
 
 
-def _plain_scan(keyed, ts, tie, lag, running_sum, last_before, prefix) -> DataFrame:
-    """No hot key: the same columns from one window per key."""
-    w = Window.partitionBy(_K).orderBy(F.col(ts).asc_nulls_first(), F.col(tie).asc_nulls_first())
+def _plain_scan(keyed, keys, ts, tie, lag, running_sum, last_before, prefix) -> DataFrame:
+    """No hot key: the same columns from one window per key. Partitioned by the
+    key columns themselves, so that an aggregate on them needs no second shuffle."""
+    w = Window.partitionBy(*keys).orderBy(F.col(ts).asc_nulls_first(), F.col(tie).asc_nulls_first())
     out = {f"{prefix}has_prev": F.row_number().over(w) > 1}
     for c in lag:
         out[f"{prefix}prev_{c}"] = F.lag(c).over(w)
@@ -114,7 +117,7 @@ def ordered_scan(
         hot = hot_keys(keyed, _K, hot_rows, max_hot_keys)
         n_hot = hot.agg(F.sum("_tw_n")).first()[0] or 0
         if n_hot == 0:
-            return _plain_scan(keyed, ts, tie, lag, running_sum, last_before, prefix)
+            return _plain_scan(keyed, keys, ts, tie, lag, running_sum, last_before, prefix)
         tagged = keyed.join(F.broadcast(hot.select(_K, _HOT)), on=_K, how="left")
         ordinary = tagged.filter(F.col(_HOT).isNull()).withColumn(_B, F.lit(0).cast("long"))
         hot_part = tagged.filter(F.col(_HOT).isNotNull())
@@ -163,6 +166,8 @@ def ordered_scan(
                    for c in last_before]
     carry = slices.select(_K, _B, *carry_cols)
 
+    # The plain window's type: the sum of partial sums would widen a decimal.
+    plain = keyed.agg(*[F.sum(c).alias(c) for c in running_sum]).schema if running_sum else None
     # Rows of ordinary keys find no carry row: nothing comes before their slice.
     j = rows.join(carry, on=[_K, _B], how="left")
     first = F.col("_tw_first")
@@ -174,7 +179,7 @@ def ordered_scan(
         # SUM semantics: NULL only while every value so far is NULL.
         out[f"{prefix}cum_{c}"] = F.when(off.isNull() & cur.isNull(), F.lit(None)).otherwise(
             F.coalesce(off, F.lit(0)) + F.coalesce(cur, F.lit(0))
-        )
+        ).cast(plain[c].dataType)
     for c in last_before:
         out[f"{prefix}last_{c}"] = F.coalesce(F.col(f"_tw_lb_{c}"), F.col(f"_tw_clast_{c}"))
     internal = [c for c in j.columns if c.startswith("_tw_")]

@@ -61,7 +61,7 @@ def silver_report(bronze: DataFrame) -> DataFrame:
 
     One aggregate over Bronze: the distinct count gives the Silver size
     without writing it. (The pipeline itself counts via ``observe`` on its
-    write, see ``plans.silver``.)
+    write, see ``plans.jobs``.)
     """
     agg = bronze.agg(
         F.count(F.lit(1)).alias("bronze_rows"),
@@ -116,6 +116,26 @@ def validate_events(df: DataFrame, rules: Optional[list] = None) -> DataFrame:
     return df.withColumn("violations", violations_column(rules))
 
 
+NAIVE_RULE = "event_timestamp_naive"
+# A time of day followed by Z or an offset, or a bare number (epoch seconds).
+_ZONED = r"(?i)(:\d{2}(\.\d+)?\s*(Z|[+-]\d{2}(:?\d{2})?)|^-?\d+(\.\d+)?)$"
+
+
+def validate_wire(wire: DataFrame, rules: Optional[list] = None) -> DataFrame:
+    """V1 on wire records: the Bronze columns plus ``violations``, with the rule
+    that only the text can show: a timestamp without a zone. The parse reads
+    such a text as UTC, so the rule comes before it. A missing or unreadable
+    timestamp raises ``event_timestamp_missing`` instead."""
+    from .wire import flatten_event, kafka_metadata, parse_json
+
+    text = F.get_json_object(F.col("value").cast("string"), "$.event_timestamp")
+    bronze = flatten_event(wire.select(*kafka_metadata(), parse_json(F.col("value")).alias("event"), text.alias("_text")))
+    naive = F.col("event_timestamp").isNotNull() & ~F.trim("_text").rlike(_ZONED)
+    checked = validate_events(bronze, rules)
+    more = F.when(naive, F.array(F.lit(NAIVE_RULE))).otherwise(F.array().cast("array<string>"))
+    return checked.withColumn("violations", F.array_sort(F.concat("violations", more))).drop("_text")
+
+
 def quarantine_status(df: DataFrame, rules: Optional[list] = None) -> DataFrame:
     """V2 as one frame: V1's output plus ``status`` = 'valid' | 'rejected'.
 
@@ -194,7 +214,9 @@ def session_audit(
     after_terminal = (F.col("_s_cum__term") - F.col("_term")) > 0
     bad_resume = (F.col("event_type") == "resume") & F.coalesce(F.col("_s_last__pr") != "pause", F.lit(True))
     watch_falls = F.col("_s_prev_watch_seconds") > F.col("watch_seconds")
-    per_session = scanned.groupBy("session_id").agg(
+    # First per (session, attributes), partial in the window's own tasks, so the
+    # distinct counts expand these few rows and not the events.
+    counts = scanned.groupBy("session_id", *attributes).agg(
         F.count(F.lit(1)).alias("events"),
         # The first row of a session is the one without a predecessor: a
         # boolean aggregate, so the whole aggregate stays hash-based.
@@ -202,6 +224,10 @@ def session_audit(
         F.count_if(bad_resume).alias("resume_without_pause"),
         F.count_if(after_terminal).alias("events_after_terminal"),
         F.count_if(F.coalesce(watch_falls, F.lit(False))).alias("watch_decreases"),
+    )
+    per_session = counts.groupBy("session_id").agg(
+        F.bool_or("_starts_play").alias("_starts_play"),
+        *[F.sum(c).alias(c) for c in ("events", "resume_without_pause", "events_after_terminal", "watch_decreases")],
         *[F.count_distinct(a).alias(f"_nd_{a}") for a in attributes],
     )
     changes = sum((F.greatest(F.col(f"_nd_{a}") - 1, F.lit(0)) for a in attributes), F.lit(0))
@@ -247,6 +273,7 @@ __all__ = [
     "silver_report",
     "contract_rules",
     "validate_events",
+    "validate_wire",
     "quarantine_split",
     "quarantine_status",
     "violation_counts",

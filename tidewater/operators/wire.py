@@ -71,19 +71,23 @@ def bronze_from_wire(
     return out
 
 
-def to_wire(events: DataFrame) -> DataFrame:
-    """SNK6: event rows -> (key = user_id, value = JSON text).
+def event_json() -> Column:
+    """The twelve event columns as JSON text, a NULL field as an explicit null.
 
     The timestamp keeps microseconds and an explicit offset; the default JSON
     format would truncate to milliseconds and break the round trip.
     """
-    payload = F.to_json(
+    return F.to_json(
         F.struct(*[F.col(c) for c in EVENT_COLUMNS]),
-        {"timestampFormat": WIRE_TIMESTAMP_FORMAT},
+        {"timestampFormat": WIRE_TIMESTAMP_FORMAT, "ignoreNullFields": "false"},
     )
+
+
+def to_wire(events: DataFrame) -> DataFrame:
+    """SNK6: event rows -> (key = user_id, value = JSON text); a NULL user_id raises."""
     # A message without a key would lose its place in the user's order.
     key = F.coalesce(F.col("user_id"), F.raise_error(F.lit("to_wire: user_id is NULL; quarantine such events first")).cast("string"))
-    return events.select(key.alias("key"), payload.alias("value"))
+    return events.select(key.alias("key"), event_json().alias("value"))
 
 
 def from_wire_text(df: DataFrame, value: str = "value") -> DataFrame:

@@ -17,7 +17,7 @@ src AS (
     SELECT event_id AS src_id,
            user_id AS src_user,
            ts,
-           CAST(ts AS DATE) AS d,
+           CAST(floor((epoch(ts) + 43200) / 172800) AS BIGINT) AS s,
            CAST(extract(day FROM ts) AS BIGINT) AS dd,
            event_type AS src_type,
            CAST(floor(value) AS INTEGER) AS v
@@ -28,29 +28,47 @@ canonical AS (
         src_id,
         src_user,
         concat('e-', CAST(src_id AS VARCHAR)) AS event_id,
-        concat('u-', CAST(src_user AS VARCHAR)) AS user_id,
-        concat('s-', CAST(src_user AS VARCHAR), '-', CAST(d AS VARCHAR)) AS session_id,
-        concat('c-', CAST((src_user * 7 + dd) % 100 AS VARCHAR)) AS content_id,
-        CASE WHEN ((src_user * 7 + dd) % 100) % 20 < 11 THEN 'series_episode'
+        CASE WHEN src_id % 101 = 0 THEN ''
+             WHEN src_user % 50 = 13 THEN concat('u-É', CAST(src_user AS VARCHAR))
+             ELSE concat('u-', CAST(src_user AS VARCHAR)) END AS user_id,
+        CASE WHEN src_id % 103 = 0 THEN repeat('s', 65)
+             ELSE concat('s-', CAST(src_user AS VARCHAR), '-', CAST(s AS VARCHAR)) END AS session_id,
+        CASE WHEN src_id % 107 = 0 THEN repeat('c', 65)
+             WHEN src_id % 149 = 0 THEN concat('c-é', CAST((src_user * 7 + dd) % 100 AS VARCHAR))
+             ELSE concat('c-', CAST((src_user * 7 + dd) % 100 AS VARCHAR)) END AS content_id,
+        CASE WHEN src_id % 109 = 0 THEN ''
+             WHEN src_id % 37 = 0 THEN 'trailer'
+             WHEN ((src_user * 7 + dd) % 100) % 20 < 11 THEN 'series_episode'
              WHEN ((src_user * 7 + dd) % 100) % 20 < 17 THEN 'movie'
              WHEN ((src_user * 7 + dd) % 100) % 20 = 17 THEN 'short'
              WHEN ((src_user * 7 + dd) % 100) % 20 = 18 THEN 'trailer'
              ELSE 'live' END AS content_type,
-        CASE src_type WHEN 'view' THEN 'play'
-                      WHEN 'click' THEN 'seek'
-                      WHEN 'purchase' THEN 'complete'
-                      WHEN 'signup' THEN 'resume'
-                      WHEN 'error' THEN 'error' END AS event_type,
-        CAST(least(86400, sum(v) OVER (PARTITION BY src_user, d ORDER BY ts, src_id)) AS INTEGER)
+        CASE WHEN src_id % 83 = 0 THEN NULL
+             WHEN src_id % 89 = 0 THEN 'buffer'
+             WHEN src_type = 'click' AND src_id % 3 = 1 THEN 'pause'
+             WHEN src_type = 'view' AND src_id % 5 = 1 THEN 'skip'
+             WHEN src_type = 'view' THEN 'play'
+             WHEN src_type = 'click' THEN 'seek'
+             WHEN src_type = 'purchase' THEN 'complete'
+             WHEN src_type = 'signup' THEN 'resume'
+             WHEN src_type = 'error' THEN 'error' END AS event_type,
+        CASE WHEN src_id % 139 = 0 OR (src_user + dd) % 7 = 0 THEN NULL
+             WHEN src_id % 97 = 0 THEN -5
+             ELSE CAST(least(86400, sum(v) OVER (PARTITION BY src_user, s ORDER BY ts, src_id)) AS INTEGER) END
             AS watch_seconds,
-        CASE WHEN src_id % 10 = 0 THEN NULL ELSE v END AS playback_position_seconds,
-        CASE WHEN src_user % 20 < 9 THEN 'mobile_android'
+        CASE WHEN src_id % 131 = 0 THEN 86401 WHEN src_id % 10 = 0 THEN NULL ELSE v END AS playback_position_seconds,
+        CASE WHEN src_id % 43 = 0 THEN 'fridge'
+             WHEN src_id % 41 = 0 THEN 'web'
+             WHEN src_user % 20 < 9 THEN 'mobile_android'
              WHEN src_user % 20 < 12 THEN 'mobile_ios'
              WHEN src_user % 20 < 16 THEN 'smart_tv'
              WHEN src_user % 20 < 18 THEN 'web'
              ELSE 'tablet' END AS device_type,
-        concat('1.', CAST(src_id % 5 AS VARCHAR), '.0') AS app_version,
-        CASE WHEN src_user % 20 < 11 THEN 'IN'
+        CASE WHEN src_id % 113 = 0 THEN repeat('9', 33)
+             ELSE concat('1.', CAST(src_id % 5 AS VARCHAR), '.0') END AS app_version,
+        CASE WHEN src_id % 127 = 0 THEN 'IND'
+             WHEN src_user % 20 = 18 AND src_id % 2 = 0 THEN 'de'
+             WHEN src_user % 20 < 11 THEN 'IN'
              WHEN src_user % 20 < 13 THEN 'US'
              WHEN src_user % 20 = 13 THEN 'GB'
              WHEN src_user % 20 = 14 THEN 'AE'
@@ -79,7 +97,7 @@ def with_silver(body: str) -> str:
 
 
 # Wire records and Bronze rows derived from the canonical events, with the
-# JSON text written exactly as Spark's to_json writes it (null fields left out,
+# JSON text written exactly as Spark's to_json writes it (a NULL field as null,
 # microsecond UTC timestamps with a Z offset).
 WIRE_CTE = """
 copies AS (
@@ -96,27 +114,32 @@ wire AS (
         CAST(src_id * 10 + copy AS BIGINT) AS kafka_offset,
         event_timestamp + to_seconds(copy) AS kafka_timestamp,
         copy,
-        CASE WHEN copy = 2 THEN 'not json' ELSE concat(
-            '{"event_id":"', event_id,
-            '","user_id":"', user_id,
-            '","session_id":"', session_id,
-            '","content_id":"', content_id,
-            '","content_type":"', content_type,
-            '","event_type":"', event_type,
-            '","watch_seconds":', CAST(watch_seconds AS VARCHAR),
-            CASE WHEN playback_position_seconds IS NULL THEN ''
-                 ELSE concat(',"playback_position_seconds":', CAST(playback_position_seconds AS VARCHAR)) END,
-            ',"device_type":"', device_type,
-            '","app_version":"', app_version,
-            '","country_code":"', country_code,
-            '","event_timestamp":"', strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ'),
-            '"}') END AS value,
+        concat(
+            '{"event_id":', coalesce(concat('"', event_id, '"'), 'null'),
+            ',"user_id":', coalesce(concat('"', user_id, '"'), 'null'),
+            ',"session_id":', coalesce(concat('"', session_id, '"'), 'null'),
+            ',"content_id":', coalesce(concat('"', content_id, '"'), 'null'),
+            ',"content_type":', coalesce(concat('"', content_type, '"'), 'null'),
+            ',"event_type":', coalesce('"' || event_type || '"', 'null'),
+            ',"watch_seconds":', coalesce(CAST(watch_seconds AS VARCHAR), 'null'),
+            ',"playback_position_seconds":', coalesce(CAST(playback_position_seconds AS VARCHAR), 'null'),
+            ',"device_type":', coalesce(concat('"', device_type, '"'), 'null'),
+            ',"app_version":', coalesce(concat('"', app_version, '"'), 'null'),
+            ',"country_code":', coalesce(concat('"', country_code, '"'), 'null'),
+            ',"event_timestamp":"', strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ'), '"}') AS clean_value,
+        copy < 2 AND src_id % 137 = 0 AS naive,
+        CASE WHEN copy = 2 THEN 'not json'
+             WHEN src_id % 137 = 0 AND src_id % 139 = 0
+                 THEN replace(replace(clean_value, 'Z"}', '"}'), '"watch_seconds":null', '"watch_seconds":"bad"')
+             WHEN src_id % 137 = 0 THEN replace(clean_value, 'Z"}', '"}')
+             WHEN src_id % 139 = 0 THEN replace(clean_value, '"watch_seconds":null', '"watch_seconds":"bad"')
+             ELSE clean_value END AS value,
         event_id, user_id, session_id, content_id, content_type, event_type, watch_seconds,
         playback_position_seconds, device_type, app_version, country_code, event_timestamp
     FROM copies
 ),
 bronze AS (
-    SELECT kafka_key, kafka_partition, kafka_offset, kafka_timestamp,
+    SELECT kafka_key, kafka_partition, kafka_offset, kafka_timestamp, naive,
            CASE WHEN copy < 2 THEN event_id END AS event_id,
            CASE WHEN copy < 2 THEN user_id END AS user_id,
            CASE WHEN copy < 2 THEN session_id END AS session_id,

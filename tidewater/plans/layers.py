@@ -1,7 +1,7 @@
 """Layer transformations as pure DataFrame functions (no I/O).
 
 ``bronze -> silver`` is F1, F2 and P4-P6; ``wire -> silver`` chains the
-Bronze projection in front. The jobs in ``plans.silver`` / ``plans.gold`` add
+Bronze projection in front. The jobs in ``plans.jobs`` add
 the reads and writes; the registered queries call these directly on data
 Spark derives from the supplied tables.
 """

@@ -13,6 +13,7 @@ engines print the same values.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 from typing import Callable, Dict
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,7 @@ from .plans.layers import silver_from_bronze
 from .schema import EVENT_COLUMNS
 from .sinks.compact import compact_table
 from .sinks.storage import scratch_dir
-from .sinks.tables import export_csv, publish_gold, write_gold, write_silver
+from .sinks.tables import export_csv, publish_gold, read_published, write_gold, write_silver
 from .sources.tables import read_bronze, read_gold, read_silver
 from .sources.wire import wire_source, write_wire
 from .streaming.bronze import ingest_bronze, run_until_stopped
@@ -43,7 +44,7 @@ TS_COLUMNS = ("event_timestamp", "kafka_timestamp", "session_start", "session_en
 def _show(df: DataFrame, cols=None) -> DataFrame:
     """Select ``cols`` (default all) with zoned timestamps as timestamp_ntz."""
     cols = list(cols or df.columns)
-    return df.select(*[to_ntz(c).alias(c) if c in TS_COLUMNS else F.col(c) for c in cols])
+    return df.select(*[to_ntz(c).alias(c) if c.lower() in TS_COLUMNS else F.col(c) for c in cols])
 
 
 # --------------------------------------------------------------------------
@@ -63,11 +64,16 @@ def _silver(spark: SparkSession, d: str) -> DataFrame:
     return silver_from_bronze(_bronze(spark, d), CLOCK)
 
 
-def _gold(name: str):
-    def build(spark: SparkSession, d: str) -> DataFrame:
-        return gold.GOLD_BUILDERS[name](_silver(spark, d))
+def _gold(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A Gold table as the build makes it: through the session-day rollup."""
+    silver = _silver(spark, d)
+    return gold.gold_from_rollup(gold.session_day_rollup(silver), silver)[name]
+
 
-    return build
+def _contents(tables: Dict[str, DataFrame], label: str = "table") -> DataFrame:
+    """All rows of several tables in one frame: ``label`` and the union of their columns."""
+    parts = [_show(t.drop("transformed_at")).select(F.lit(n).alias(label), "*") for n, t in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 BRONZE_OUT = KAFKA_OUT + EVENT_COLUMNS
@@ -156,15 +162,17 @@ def q_build_silver(spark, d):
 
 def q_write_gold(spark, d):
     cfg = LakeConfig(root=scratch_dir(spark, "lake"), clock=CLOCK)
-    silver = _silver(spark, d)
-    rows = [(n, write_gold(gold.GOLD_BUILDERS[n](silver), cfg, n)) for n in GOLD_TABLES]
-    return spark.createDataFrame(rows, "table string, rows long")
+    write_silver(_silver(spark, d), cfg)
+    silver = read_silver(spark, cfg)
+    tables = gold.gold_from_rollup(gold.session_day_rollup(silver), silver)
+    for n in GOLD_TABLES:
+        write_gold(tables[n], cfg, n)
+    return _contents({n: read_gold(spark, cfg, n) for n in GOLD_TABLES})
 
 
 def q_build_gold(spark, d):
-    cfg = _lake(spark, d, "silver")
-    rows = build_gold(spark, cfg)
-    return spark.createDataFrame(list(rows.items()), "table string, rows long")
+    cfg = _lake(spark, d, "gold")
+    return _contents({n: read_gold(spark, cfg, n) for n in GOLD_TABLES})
 
 
 def q_read_gold(spark, d):
@@ -174,7 +182,8 @@ def q_read_gold(spark, d):
 
 def q_publish_gold(spark, d):
     cfg = _lake(spark, d, "gold")
-    return publish_gold(spark, cfg, GOLD_TABLES)
+    publish_gold(spark, cfg, GOLD_TABLES)
+    return _contents({n.upper(): read_published(spark, cfg, n) for n in GOLD_TABLES}, label="TABLE")
 
 
 def q_refresh_batch(spark, d):
@@ -183,7 +192,7 @@ def q_refresh_batch(spark, d):
 
 
 def q_export_csv(spark, d):
-    g5 = gold.user_session_summary(_silver(spark, d))
+    g5 = _gold(spark, d, "user_session_summary")
     path = scratch_dir(spark, "csv")
     export_csv(_show(serving.session_explorer(g5)), path)
     schema = (
@@ -192,7 +201,11 @@ def q_export_csv(spark, d):
         "session_start timestamp_ntz, session_end timestamp_ntz"
     )
     return (
+        # An empty text is written quoted and a NULL as nothing: a null value of
+        # its own keeps the reader from taking both for NULL.
         spark.read.option("header", True)
+        .option("escape", '"')
+        .option("nullValue", "\\N")
         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         .schema(schema)
         .csv(path)
@@ -239,7 +252,7 @@ def q_event_hour(spark, d):
 
 
 def q_upper_columns(spark, d):
-    return enrich.upper_columns(gold.daily_device_mix(_silver(spark, d)))
+    return enrich.upper_columns(_gold(spark, d, "daily_device_mix"))
 
 
 def q_normalise_event(spark, d):
@@ -285,6 +298,11 @@ def q_quarantine_split(spark, d):
     return tagged.select("kafka_offset", "event_id", "status", F.array_join("violations", ",").alias("violations"))
 
 
+def q_validate_wire(spark, d):
+    """V1 on the messages themselves, where a timestamp's zone can still be seen."""
+    return _violations_out(quality.validate_wire(_wire(spark, d)))
+
+
 def q_violation_counts(spark, d):
     return quality.violation_counts(_bronze(spark, d))
 
@@ -305,7 +323,7 @@ def q_watch_per_user(spark, d):
 
 
 def q_user_session_summary(spark, d):
-    return _show(gold.user_session_summary(_silver(spark, d)))
+    return _show(_gold(spark, d, "user_session_summary"))
 
 
 def q_daily_watch_time_accurate(spark, d):
@@ -313,47 +331,47 @@ def q_daily_watch_time_accurate(spark, d):
 
 
 def _g(name):
-    return lambda spark, d: gold.GOLD_BUILDERS[name](_silver(spark, d))
+    return lambda spark, d: _gold(spark, d, name)
 
 
 def q_kpi_overview(spark, d):
-    return serving.kpi_overview(gold.user_session_summary(_silver(spark, d)))
+    return serving.kpi_overview(_gold(spark, d, "user_session_summary"))
 
 
 def q_watch_time_by_country(spark, d):
-    return serving.watch_time_by_country(gold.daily_watch_time_by_country(_silver(spark, d)))
+    return serving.watch_time_by_country(_gold(spark, d, "daily_watch_time_by_country"))
 
 
 def q_filter_countries(spark, d):
-    return serving.watch_time_by_country(gold.daily_watch_time_by_country(_silver(spark, d)), ["IN", "US", "GB"])
+    return serving.watch_time_by_country(_gold(spark, d, "daily_watch_time_by_country"), ["IN", "US", "GB"])
 
 
 def q_top_content(spark, d):
-    return serving.top_content(gold.top_content_by_watch_time(_silver(spark, d)), 10)
+    return serving.top_content(_gold(spark, d, "top_content_by_watch_time"), 10)
 
 
 def q_device_event_mix(spark, d):
-    return serving.device_event_mix(gold.daily_device_mix(_silver(spark, d)))
+    return serving.device_event_mix(_gold(spark, d, "daily_device_mix"))
 
 
 def q_event_type_distribution(spark, d):
-    return serving.event_type_distribution(gold.hourly_event_distribution(_silver(spark, d)))
+    return serving.event_type_distribution(_gold(spark, d, "hourly_event_distribution"))
 
 
 def q_session_explorer(spark, d):
-    return _show(serving.session_explorer(gold.user_session_summary(_silver(spark, d))))
+    return _show(serving.session_explorer(_gold(spark, d, "user_session_summary")))
 
 
-# Regex search, case-insensitive: "U-1.3" matches u-103, u-113, ..., u-1030 ...
-SEARCH_TEXT = "U-1.3"
+# Regex search, case-insensitive also beyond ASCII: "U-\u00e9?1.?3" matches u-103, u-\u00c913, u-\u00c9113, ...
+SEARCH_TEXT = "U-\u00e9?1.?3"
 
 
 def q_search_sessions(spark, d):
-    return _show(serving.session_explorer(gold.user_session_summary(_silver(spark, d)), SEARCH_TEXT))
+    return _show(serving.session_explorer(_gold(spark, d, "user_session_summary"), SEARCH_TEXT))
 
 
 def q_rename_display(spark, d):
-    return serving.device_breakdown(gold.daily_device_mix(_silver(spark, d)))
+    return serving.device_breakdown(_gold(spark, d, "daily_device_mix"))
 
 
 def q_stamp_ingested(spark, d):
@@ -364,21 +382,21 @@ def q_stamp_ingested(spark, d):
 
 def q_order_by_mixed(spark, d):
     """O1: G1 in its reader order (event_date asc, total desc, country)."""
-    return gold.ordered(gold.daily_watch_time_by_country(_silver(spark, d)), "daily_watch_time_by_country")
+    return gold.ordered(_gold(spark, d, "daily_watch_time_by_country"), "daily_watch_time_by_country")
 
 
 def q_order_by_desc(spark, d):
     """O2: G2 in its reader order (total desc, then keys)."""
-    return gold.ordered(gold.top_content_by_watch_time(_silver(spark, d)), "top_content_by_watch_time")
+    return gold.ordered(_gold(spark, d, "top_content_by_watch_time"), "top_content_by_watch_time")
 
 
 def q_session_match_count(spark, d):
     """F5's "N sessions matched", counted in Spark."""
-    return serving.session_match_count(gold.user_session_summary(_silver(spark, d)), SEARCH_TEXT)
+    return serving.session_match_count(_gold(spark, d, "user_session_summary"), SEARCH_TEXT)
 
 
 def q_device_share(spark, d):
-    return serving.device_share(gold.daily_device_mix(_silver(spark, d)))
+    return serving.device_share(_gold(spark, d, "daily_device_mix"))
 
 
 QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -414,6 +432,7 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_sessions": q_search_sessions,
     "session_match_count": q_session_match_count,
     "validate_events": q_validate_events,
+    "validate_wire": q_validate_wire,
     "quarantine_split": q_quarantine_split,
     "violation_counts": q_violation_counts,
     "session_audit": q_session_audit,
@@ -489,6 +508,15 @@ _G_COUNTS_UPPER = " UNION ALL ".join(
     f"SELECT '{n.upper()}' AS \"table\", CAST(count(*) AS BIGINT) AS \"rows\" FROM ({q})"
     for n, q in zip(GOLD_TABLES, (_G1, _G2, _G3, _G4, _G5))
 )
+_G_CONTENTS = " UNION ALL BY NAME ".join(
+    f"SELECT '{n}' AS \"table\", * FROM ({q})" for n, q in zip(GOLD_TABLES, (_G1, _G2, _G3, _G4, _G5))
+)
+_G_CONTENTS_UPPER = "SELECT upper(\"table\") AS \"TABLE\", " + ", ".join(
+    f"{c} AS {c.upper()}" for c in (
+        "event_date", "country_code", "total_watch_seconds", "unique_users", "unique_sessions", "event_count",
+        "content_id", "content_type", "unique_viewers", "event_hour", "event_type", "device_type", "session_id",
+        "user_id", "session_start", "session_end", "max_watch_seconds")
+) + f" FROM ({_G_CONTENTS})"
 _EXPLORER = f"""WITH g5 AS ({_G5})
 SELECT session_id, user_id, country_code, device_type, content_type, event_count,
        max_watch_seconds, session_start, session_end
@@ -566,7 +594,7 @@ bad AS (
 s AS (
     SELECT session_id,
            count(*) AS events,
-           arg_min(event_type, (event_timestamp, tie)) = 'play' AS starts_with_play,
+           arg_min(coalesce(event_type, ''), (event_timestamp, tie)) = 'play' AS starts_with_play,
            count(*) FILTER (WHERE t_ts IS NOT NULL AND (event_timestamp > t_ts
                                 OR (event_timestamp = t_ts AND tie > t_tie))) AS events_after_terminal,
            count(*) FILTER (WHERE prev_watch > watch_seconds) AS watch_decreases,
@@ -607,9 +635,9 @@ ORACLE: Dict[str, str] = {
     "rate_limited_source": with_wire(f"SELECT {_BRONZE_SEL} FROM bronze"),
     "bronze_stream_sink": with_wire(f"SELECT {_BRONZE_SEL} FROM bronze"),
     "write_silver": with_silver(_SILVER_SEL),
-    "write_gold": with_silver(_G_COUNTS),
-    "publish_gold": with_silver(_G_COUNTS_UPPER),
-    "to_wire": with_wire("SELECT kafka_key AS key, value FROM wire WHERE copy = 0"),
+    "write_gold": with_silver(_G_CONTENTS),
+    "publish_gold": with_silver(_G_CONTENTS_UPPER),
+    "to_wire": with_wire("SELECT kafka_key AS key, clean_value AS value FROM wire WHERE copy = 0"),
     "export_csv": with_silver(_EXPLORER),
     "compact_table": with_silver(_SILVER_SEL),
     "kafka_metadata": with_wire("SELECT kafka_key, kafka_partition, kafka_offset, kafka_timestamp FROM wire"),
@@ -638,6 +666,11 @@ ORACLE: Dict[str, str] = {
         "WHERE coalesce(regexp_matches(user_id, '(?i)" + SEARCH_TEXT + "'), false) "
         "OR coalesce(regexp_matches(session_id, '(?i)" + SEARCH_TEXT + "'), false)"),
     "validate_events": with_wire(_V1),
+    "validate_wire": with_wire(_V1.replace(" FROM bronze)", ", naive FROM bronze)").replace(
+        "array_to_string(vl, ',') AS violations,\n       CAST(len(vl) AS INTEGER) AS n_violations FROM v",
+        "array_to_string(list_sort(vl || nv), ',') AS violations,\n"
+        "       CAST(len(vl) + len(nv) AS INTEGER) AS n_violations\n"
+        "FROM (SELECT *, CASE WHEN naive THEN ['event_timestamp_naive'] ELSE [] END AS nv FROM v)")),
     "quarantine_split": with_wire(_V2),
     "violation_counts": with_wire(_V3),
     "session_audit": with_silver(_V4),
@@ -694,7 +727,7 @@ SELECT device_type, events,
 FROM m"""),
     "ingest_bronze": with_wire(f"SELECT {_BRONZE_SEL} FROM bronze"),
     "build_silver": with_wire(_SILVER_REPORT),
-    "build_gold": with_silver(_G_COUNTS),
+    "build_gold": with_silver(_G_CONTENTS),
     "refresh_batch": with_silver(
         "SELECT 'silver' AS stage, 'user_events' AS \"table\", CAST(count(*) AS BIGINT) AS \"rows\" FROM silver "
         f"UNION ALL SELECT 'gold' AS stage, \"table\", \"rows\" FROM ({_G_COUNTS}) "
