@@ -4,6 +4,8 @@ compaction and round-trip properties."""
 from pyspark.sql import functions as F
 
 from conftest import SF0001, SF001
+import pytest
+
 from tidewater import fixtures, registry
 from tidewater.config import GOLD_TABLES, SILVER_TABLE
 from tidewater.operators import gold, quality, wire
@@ -35,13 +37,13 @@ def test_stream_restart_adds_nothing_and_refresh_is_idempotent(spark, lake):
 
     first = refresh_batch(spark, lake, publish=True).collect()
     snap1 = {n: read_gold(spark, lake, n).drop("transformed_at") for n in GOLD_TABLES}
-    s1 = {n: sorted(map(tuple, df.collect())) for n, df in snap1.items()}
+    s1 = {n: sorted(map(tuple, df.collect()), key=repr) for n, df in snap1.items()}
     second = refresh_batch(spark, lake, publish=True).collect()
-    s2 = {n: sorted(map(tuple, read_gold(spark, lake, n).drop("transformed_at").collect())) for n in GOLD_TABLES}
+    s2 = {n: sorted(map(tuple, read_gold(spark, lake, n).drop("transformed_at").collect()), key=repr) for n in GOLD_TABLES}
     assert first == second and s1 == s2
     rows = {(r["stage"], r["table"]): r["rows"] for r in first}
     assert rows[("silver", SILVER_TABLE)] == 1000
-    assert [rows[("gold", n)] for n in GOLD_TABLES] == [112, 100, 868, 90, 397]
+    assert [rows[("gold", n)] for n in GOLD_TABLES] == [119, 143, 908, 137, 595]
     # Old versions are pruned; the table keeps the configured number.
     assert len(committed_versions(spark, lake.path("silver", SILVER_TABLE))) <= lake.keep_versions
 
@@ -104,17 +106,41 @@ def test_gold_event_counts_agree(spark):
     silver.unpersist()
 
 
-def test_stream_reports_live_ingest_metrics(spark, lake):
-    from tidewater.streaming.bronze import batch_metrics
+def test_listener_keeps_the_metrics_of_every_batch(spark, lake):
+    from tidewater.streaming.bronze import IngestMetricsListener, batch_metrics
 
     wire_path = lake.path("landing", "wire")
-    write_wire(fixtures.wire_messages(spark, SF0001), wire_path)
-    src = wire_source(spark, wire_path, streaming=True, max_files_per_trigger=2)
-    q = ingest_bronze(spark, lake, src, trigger="available_now")
-    run_until_stopped(q)
-    m = [b for b in batch_metrics(q) if b["messages"] > 0]
-    assert sum(b["messages"] for b in m) == 1070
-    assert sum(b["failed"] for b in m) == 20 and sum(b["parsed"] for b in m) == 1050
+    write_wire(fixtures.wire_messages(spark, SF0001).repartition(105), wire_path)
+    src = wire_source(spark, wire_path, streaming=True, max_files_per_trigger=1)
+    listener = IngestMetricsListener(spark, lake.path("bronze", "ingest_metrics"))
+    spark.streams.addListener(listener)
+    try:
+        run_until_stopped(ingest_bronze(spark, lake, src, trigger="available_now"))
+        assert listener.ended.wait(60)
+    finally:
+        spark.streams.removeListener(listener)
+    m = batch_metrics(spark, listener.path).collect()
+    # More batches than a query's own recentProgress keeps.
+    assert len([b for b in m if b.messages]) == 105
+    assert sum(b.messages for b in m) == 1070
+    assert sum(b.failed for b in m) == 20 and sum(b.parsed for b in m) == 1050
+
+
+def test_listener_reports_the_last_error(spark, lake):
+    from tidewater.streaming.bronze import IngestMetricsListener, batch_metrics
+
+    wire_path = lake.path("landing", "wire")
+    write_wire(fixtures.wire_messages(spark, SF0001).coalesce(1), wire_path)
+    src = wire_source(spark, wire_path, streaming=True).withColumn("value", F.raise_error(F.lit("broken message")).cast("binary"))
+    listener = IngestMetricsListener(spark, lake.path("bronze", "ingest_metrics"))
+    spark.streams.addListener(listener)
+    try:
+        with pytest.raises(Exception, match="broken message"):
+            run_until_stopped(ingest_bronze(spark, lake, src, trigger="available_now"))
+        assert listener.ended.wait(60)
+    finally:
+        spark.streams.removeListener(listener)
+    assert "broken message" in batch_metrics(spark, listener.path).filter("last_error IS NOT NULL").first().last_error
 
 
 def test_silver_write_keeps_files_per_date_small(spark, lake):
@@ -140,17 +166,17 @@ def test_compact_lake_keeps_tables(spark, lake):
     run_until_stopped(ingest_bronze(spark, lake, wire_source(spark, wire_path, streaming=True),
                                     trigger="available_now"))
     refresh_batch(spark, lake, publish=False).collect()
-    before_s = sorted(map(tuple, read_silver(spark, lake).drop("transformed_at").collect()))
-    before_g = sorted(map(tuple, read_gold(spark, lake, "user_session_summary").collect()))
+    before_s = sorted(map(tuple, read_silver(spark, lake).drop("transformed_at").collect()), key=repr)
+    before_g = sorted(map(tuple, read_gold(spark, lake, "user_session_summary").collect()), key=repr)
     from tidewater.sources.tables import read_gold_for_load, read_table
 
     assert read_table(spark, lake, "bronze", "user_events").count() == 1070
     assert read_table(spark, lake, "gold", "user_session_summary").count() == len(before_g)
-    assert read_gold_for_load(spark, lake, "daily_device_mix").count() == 90
+    assert read_gold_for_load(spark, lake, "daily_device_mix").count() == 137
     paths = compact_lake(spark, lake, target_files=1)
     assert set(paths) == {"silver.user_events", "gold.user_session_summary"}
-    assert sorted(map(tuple, read_silver(spark, lake).drop("transformed_at").collect())) == before_s
-    assert sorted(map(tuple, read_gold(spark, lake, "user_session_summary").collect())) == before_g
+    assert sorted(map(tuple, read_silver(spark, lake).drop("transformed_at").collect()), key=repr) == before_s
+    assert sorted(map(tuple, read_gold(spark, lake, "user_session_summary").collect()), key=repr) == before_g
 
 
 def test_gold_from_rollup_equals_direct_aggregates(spark):

@@ -28,6 +28,15 @@ DEFAULT_CONF = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+# Settings that a table format needs before the session starts (Delta's public class names).
+FORMAT_CONF = {
+    "parquet": {},
+    "delta": {
+        "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",
+        "spark.sql.catalog.spark_catalog": "org.apache.spark.sql.delta.catalog.DeltaCatalog",
+    },
+}
+
 
 def build_session(
     app_name: str = "tidewater",
@@ -35,6 +44,7 @@ def build_session(
     shuffle_partitions: Optional[int] = None,
     conf: Optional[Mapping[str, str]] = None,
     checkpoint_dir: Optional[str] = None,
+    table_format: str = "parquet",
 ) -> SparkSession:
     """Create or reuse a session.
 
@@ -42,12 +52,13 @@ def build_session(
     cluster manager decides. ``shuffle_partitions`` should be sized so that one
     shuffle partition is ~128-256 MB at the target scale (200 on the reference
     cluster, thousands at 100 TB; AQE coalesces small ones). ``checkpoint_dir``
-    is used where ``spark.checkpoint.dir`` is unset.
+    is used where ``spark.checkpoint.dir`` is unset. ``table_format="delta"``
+    adds Delta's extension and catalog; its jars come from spark-submit.
     """
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    for k, v in DEFAULT_CONF.items():
+    for k, v in {**DEFAULT_CONF, **FORMAT_CONF[table_format]}.items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -62,9 +62,28 @@ def write_gold(df: DataFrame, cfg: LakeConfig, name: str) -> int:
     return int(obs.get["rows"])
 
 
-# JDBC bulk-load defaults: at most 32 connections (Spark coalesces to that
-# many partitions before the write), 10,000 rows per batch.
-JDBC_DEFAULTS = {"numPartitions": "32", "batchsize": "10000"}
+# Rows per statement of a bulk load; the caller's value wins.
+JDBC_BATCH = "10000"
+
+
+def _load_jdbc(spark: SparkSession, df: DataFrame, jdbc: Mapping[str, str], table: str) -> int:
+    """Replaces ``table`` over JDBC; returns the warehouse's own row count.
+
+    ``numPartitions``, the number of connections, is the caller's to set: what
+    the warehouse bears doesn't follow from the size of the data. The count is
+    sent as a query, so one row comes back and not the table."""
+    if "numPartitions" not in jdbc:
+        raise ValueError("publish over JDBC needs numPartitions, the number of connections to write with")
+    df.write.format("jdbc").options(**{"batchsize": JDBC_BATCH, **jdbc, "dbtable": table}).mode("overwrite").save()
+    reads = {k: v for k, v in jdbc.items() if k not in ("numPartitions", "batchsize")}
+    return int(spark.read.format("jdbc").options(**reads).option("query", f"SELECT COUNT(*) AS N FROM {table}").load().first()[0])
+
+
+def _load_connector(spark: SparkSession, df: DataFrame, fmt: str, options: Mapping[str, str], table: str) -> int:
+    """Replaces ``table`` through any Spark connector that takes ``dbtable``;
+    an aggregate push-down of the connector serves the count where it has one."""
+    df.write.format(fmt).options(**options).option("dbtable", table).mode("overwrite").save()
+    return spark.read.format(fmt).options(**options).option("dbtable", table).load().count()
 
 
 def write_quarantine(df: DataFrame, cfg: LakeConfig, rules: Optional[list] = None,
@@ -83,11 +102,14 @@ def publish_gold(
     target: Optional[str] = None,
     jdbc: Optional[Mapping[str, str]] = None,
     concurrent: bool = True,
+    connector: Optional[str] = None,
+    connector_options: Optional[Mapping[str, str]] = None,
 ) -> DataFrame:
     """SNK5: full replace of the warehouse copies, upper-case names.
 
-    ``jdbc`` options (url, driver, user, ...) write through the JDBC source
-    from the executors in parallel; otherwise ``target`` (default
+    ``jdbc`` options (url, driver, user, numPartitions, ...) write through the
+    JDBC source from the executors in parallel; ``connector`` names any other
+    Spark connector with its ``connector_options``; otherwise ``target`` (default
     ``<root>/warehouse``) receives one table per Gold table. The count read
     back must equal the count written, else the publish fails. Returns
     (table, rows).
@@ -101,11 +123,9 @@ def publish_gold(
         wh = wh.observe(obs, F.count(F.lit(1)).alias("rows"))
         table = name.upper()
         if jdbc:
-            # Bounded connections and large batches for the bulk load; the
-            # caller's options win.
-            opts = {**JDBC_DEFAULTS, **jdbc, "dbtable": table, "truncate": "false"}
-            wh.write.format("jdbc").options(**opts).mode("overwrite").save()
-            back = spark.read.format("jdbc").options(**jdbc).option("dbtable", table).load().count()
+            back = _load_jdbc(spark, wh, jdbc, table)
+        elif connector:
+            back = _load_connector(spark, wh, connector, connector_options or {}, table)
         else:
             path = f"{root}/{table}"
             write_table(wh, cfg, path, overwrite_schema=True)

@@ -8,11 +8,12 @@ checkpoint resumes where it stopped and adds nothing twice.
 
 from __future__ import annotations
 
+import threading
 from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..config import BRONZE_TABLE, LakeConfig
 from ..operators.wire import bronze_from_wire
@@ -69,14 +70,51 @@ def live_metrics(bronze: DataFrame) -> DataFrame:
     ).drop(_BYTES)
 
 
-def batch_metrics(query: StreamingQuery) -> list:
-    """Observed V5 metrics of the micro-batches still in ``recentProgress``."""
-    out = []
-    for p in query.recentProgress:
+METRICS_SCHEMA = (
+    "run_id string, batch_id long, reported_at string, messages long, bytes long, parsed long, failed long, last_error string"
+)
+
+
+class IngestMetricsListener(StreamingQueryListener):
+    """V5, live: one row per micro-batch appended to a lake table, and one with
+    ``last_error`` when a query ends with an exception.
+
+    ``recentProgress`` of a query keeps its last 100 batches only; the table
+    keeps all of them, and outlives the query. One row a batch passes the
+    driver. Add it with ``spark.streams.addListener`` before the query starts.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        super().__init__()
+        self.spark, self.path = spark, path
+        self.ended = threading.Event()  # all batches of a query are reported before its end
+
+    def _append(self, *row) -> None:
+        self.spark.createDataFrame([row], METRICS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
         m = (p.observedMetrics or {}).get(LIVE_METRICS)
         if m is not None:
-            out.append({"batch_id": p.batchId, **m.asDict()})
-    return out
+            self._append(str(p.runId), p.batchId, p.timestamp, m["messages"], m["bytes"], m["parsed"], m["failed"], None)
+
+    def onQueryTerminated(self, event) -> None:
+        try:
+            if event.exception:
+                self._append(str(event.runId), None, None, None, None, None, None, event.exception)
+        finally:
+            self.ended.set()
+
+
+def batch_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The listener's table: a batch that was reported again after a restart counts once."""
+    return spark.read.schema(METRICS_SCHEMA).parquet(path).dropDuplicates(["run_id", "batch_id", "last_error"])
 
 
 def ingest_bronze(
