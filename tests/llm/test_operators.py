@@ -376,3 +376,19 @@ def test_pipeline_equals_its_stages_by_brute_force(sp):
     for r in got:
         total[r.doc_id] += r.length
     assert total == {i: len(lib.encode(t, add_special_tokens=False).ids) + 1 for i, t in rows.items()}
+
+
+@pytest.mark.parametrize("key", ["op5_decontamination", "op7_exact_dedup"])
+def test_registered_sql_gives_the_same_rows(sp, key):
+    import duckdb
+
+    from scripts.check_oracle import digest
+    from tidewater.llm import queries
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    want = con.execute(queries.ORACLE[key])
+    cols = [d[0] for d in want.description]
+    got = queries.QUERIES[key](sp, SF).select(*cols)
+    assert digest(cols, list(map(tuple, got.collect()))) == digest(cols, want.fetchall())
