@@ -6,10 +6,11 @@ share, decay^(span in one + span in the other), gaps allowed, normalised by the
 strings' own kernels. Inserted characters ("id.io.t", "i d i o t") only stretch
 spans, so such forms stay close to the plain word.
 
-A sentence is a bag of windows: its words (whole words up to 24 characters,
-longer ones as overlapping windows of 24) and its runs of one- and
-two-character words read as one. A sentence is as toxic as its worst window, a
-text as its worst sentence.
+A sentence is a bag of windows: its words without the symbols around them
+(whole words up to 24 characters, longer ones as overlapping windows of 24) and
+its runs of one- and two-character words read as one. A text is judged by its
+WORST different windows with the largest margins: one word that resembles an
+insult, however often it is repeated, is less than several.
 
 Training, on at most ``max_rows`` labelled documents (a documented bound):
 every distinct sentence of them carries its document's label; windows are
@@ -18,15 +19,15 @@ count once. Windows with a significant excess in toxic sentences are the
 witnesses (positive examples, and Nystroem landmarks); windows of clean
 sentences are the negative ones, those nearest to the witnesses first. A linear
 support vector machine is fitted in the landmarks' space, and a logistic
-function on the learning documents' worst windows turns margins into
-probabilities.
+function of the learning documents' worst margins, with no negative weight,
+turns margins into probabilities.
 
 The decision function is a sum over landmarks of kernels with them, and so one
 weight per subsequence of three characters: scoring a window adds the weights
 of its subsequences, and each distinct window is scored once per worker.
 
-Defined cases: a null text counts as empty and has no window: it gets the
-lowest margin; every input row gets one row; without toxic or clean learning
+Defined cases: a null text counts as empty; margins end at NONE, which also
+stands for each window that a text lacks; every input row gets one row; without toxic or clean learning
 rows the score is the share of toxic labels (0 without any); texts are never
 cut; other columns are ignored.
 """
@@ -51,8 +52,10 @@ DECAY = 0.6
 LETTERS = 64  # 26 letters, 10 digits, the rest shared by all other characters
 WIDTH, STEP = 24, 12
 #: Least z of a witness's excess in toxic sentences; the second only where no window reaches the first.
-SIGNIFICANT = (4.0, 2.0)
-NONE = -3.0  # margin of a text without any window
+SIGNIFICANT = (3.0, 2.0)
+WORST = 3
+KNOTS, RIDGE = np.arange(-1.0, 3.0, 0.5), 0.1
+NONE = -1.0  # least margin: where the squared hinge of a negative example ends
 _TRIPLES: Dict[int, Tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -143,13 +146,16 @@ def cut(word: str) -> List[str]:
 SHORT_RUN = re.compile(r"(?:(?<=\s)|\A)\S{1,2}(?:\s+\S{1,2}){2,}(?=\s|\Z)")
 
 
+AROUND = re.compile(r"\A[\W_]+|[\W_]+\Z")
+
+
 def short_runs(text: str) -> List[str]:
     """Runs of three or more one- and two-character words, of which one is a single character, without their spaces."""
     return [r.group().lower() for r in SHORT_RUN.finditer(text)]
 
 
 def strip(word: str) -> str:
-    return word.strip(".,;:!?()[]\"'|").lower()
+    return AROUND.sub("", word).lower()
 
 
 def windows_of(sentence: str) -> List[str]:
@@ -181,13 +187,14 @@ def hash_of(s: str) -> int:
     return xxhash.xxh64_intdigest(s.strip()) - (1 << 63)
 
 
-def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float, epochs: int = 400) -> Tuple[np.ndarray, float]:
-    """Squared-hinge linear support vector machine by Nesterov's gradient method."""
+def svm(x: np.ndarray, y: np.ndarray, wanted: np.ndarray, weight: np.ndarray, c: float, epochs: int = 400) -> Tuple[np.ndarray, float]:
+    """Squared-hinge linear support vector machine by Nesterov's gradient method;
+    each example has its wanted margin."""
     x = np.hstack([x, np.ones((len(x), 1))])
     limit = 1 + 2 * c * np.linalg.norm(x * np.sqrt(weight)[:, None], 2) ** 2
     w = v = np.zeros(x.shape[1])
     for t in range(epochs):
-        slack = np.maximum(0, 1 - y * (x @ v))
+        slack = np.maximum(0, wanted - y * (x @ v))
         grad = np.concatenate([v[:-1], [0.0]]) - 2 * c * x.T @ (weight * slack * y)
         new = v - grad / limit
         v, w = new + t / (t + 3) * (new - w), new
@@ -195,30 +202,42 @@ def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float, epochs: int
 
 
 class Model:
-    """Weights of subsequences, bias, and the logistic function's slope and shift."""
+    """Weights of subsequences, bias, and the logistic function's slopes and shift."""
 
     def __init__(self, weight_of, bias, slope, shift, constant=None):
         self.weight_of, self.bias, self.slope, self.shift, self.constant = weight_of, bias, slope, shift, constant
         self.cache = None
 
     def text_margins(self, text: pa.Array) -> np.ndarray:
-        """Margin of the worst window of each text."""
+        """(texts x WORST) largest margins of different windows of each text, falling."""
         codes, offsets, words = split_words(text)
         if self.cache is None:
             self.cache = WorkerCache(None, 500_000)
         of_word = np.array(self.look([strip(w) for w in words]), np.float64)
-        n = np.diff(offsets)
-        out = np.full(len(n), NONE)
-        some = np.flatnonzero(n)
-        if len(some):
-            out[some] = np.maximum.reduceat(of_word[codes], offsets[some])
+        row = np.repeat(np.arange(len(text)), np.diff(offsets))
+        margin = of_word[codes]
+        above = margin > NONE
+        out = self.worst(row[above], margin[above], len(text))
         spread = pc.match_substring_regex(text, r"(?:^|\s)\S(?:\s+\S{1,2}){2}(?:\s|$)|(?:^|\s)\S{1,2}\s+\S(?:\s|$)").to_numpy(zero_copy_only=False)
         for i in np.flatnonzero(spread):
             runs = ["".join(r.split()) for r in short_runs(text[int(i)].as_py())]
             if runs:
-                out[i] = max(out[i], *self.look(runs))
+                out[i] = (sorted({*out[i], *self.look(runs)}, reverse=True) + [NONE] * WORST)[:WORST]
         self.cache.trim()
-        return np.maximum(out, NONE)
+        return out
+
+    @staticmethod
+    def worst(row: np.ndarray, margin: np.ndarray, rows: int) -> np.ndarray:
+        order = np.lexsort((-margin, row))
+        row, margin = row[order], margin[order]
+        other = np.ones(len(row), bool)
+        other[1:] = (row[1:] != row[:-1]) | (margin[1:] != margin[:-1])
+        row, margin = row[other], margin[other]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        top = rank < WORST
+        out = np.full((rows, WORST), NONE)
+        out[row[top], rank[top]] = margin[top]
+        return out
 
     def look(self, words: List[str]) -> List[float]:
         missing = [w for w in dict.fromkeys(words) if w not in self.cache]
@@ -232,26 +251,42 @@ class Model:
     def scores(self, text: pa.Array) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(text), self.constant)
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.text_margins(text) + self.shift, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(ramps(self.text_margins(text)) @ self.slope + self.shift, -30, 30)))
 
     def __getstate__(self):
         return {**self.__dict__, "cache": None}
 
 
-def logistic(m: np.ndarray, y: np.ndarray) -> Tuple[float, float]:
-    """Slope and shift of P(1 | margin), by damped Newton steps with a little ridge."""
-    x, w = np.column_stack([m, np.ones(len(m))]), np.zeros(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = x.T @ (x * (p * (1 - p))[:, None]) + 1e-3 * len(m) / 100 * np.eye(2)
-        step = np.linalg.solve(h, x.T @ (y - p) - 1e-5 * len(m) * w)
-        w = w + step * min(1.0, 2.0 / max(1e-9, float(np.abs(step).max())))
-    return float(max(w[0], 1e-3)), float(w[1])
+def ramps(m: np.ndarray) -> np.ndarray:
+    """For each margin, how far it has climbed each step between knots, 0 to 1."""
+    return np.clip((m[:, :, None] - KNOTS) / (KNOTS[1] - KNOTS[0]), 0, 1).reshape(len(m), -1)
+
+
+def logistic(m: np.ndarray, y: np.ndarray) -> Tuple[np.ndarray, float]:
+    """Slopes and shift of P(1 | margins), rising in each margin by steps: damped Newton
+    steps with a little ridge; steps whose slope comes out negative are left out."""
+    steps = ramps(m)
+    kept = np.flatnonzero(steps.any(axis=0))
+    slope = np.zeros(steps.shape[1])
+    while True:
+        x, w = np.column_stack([steps[:, kept], np.ones(len(m))]), np.zeros(len(kept) + 1)
+        ridge = RIDGE * np.append(np.ones(len(kept)), 1e-3)
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            h = x.T @ (x * (p * (1 - p))[:, None]) + np.diag(ridge)
+            step = np.linalg.solve(h, x.T @ (y - p) - ridge * w)
+            w = w + step * min(1.0, 2.0 / max(1e-9, float(np.abs(step).max())))
+            if np.abs(step).max() < 1e-6:
+                break
+        if (w[:-1] >= 0).all():
+            slope[kept] = w[:-1]
+            return slope, float(w[-1])
+        kept = kept[w[:-1] >= 0]
 
 
 def train(rows: DataFrame, landmarks: int = 192, negatives: int = 6_000) -> Model:
     """``rows``: saved (doc_id, text, label). The driver gets at most ``landmarks``
-    witnesses, ``negatives`` windows and one margin per learning row."""
+    witnesses, ``negatives`` windows and WORST margins per learning row."""
     n1, n0 = (rows.agg(F.sum("label"), F.sum(1 - F.col("label"))).first() or (0, 0))[:2]
     if not n1 or not n0:
         return Model(None, 0.0, 1.0, 0.0, constant=float(n1 or 0) / max(1, (n1 or 0) + (n0 or 0)))
@@ -287,16 +322,20 @@ def train(rows: DataFrame, landmarks: int = 192, negatives: int = 6_000) -> Mode
     y = np.array([1.0] * len(witnesses) + [-1.0] * len(examples))
     seen_in = np.array([r.toxic for r in found], float)
     weight = np.concatenate([seen_in / seen_in.sum() * len(examples) / 4, np.ones(len(examples))])
-    w, bias = svm(x, y, weight / weight.sum() * len(y), c=1.0)
+    # The more toxic sentences have a witness, the surer it is: a larger margin is asked of it.
+    wanted = np.concatenate([np.maximum(1.0, np.log2(1 + seen_in) / 3), np.ones(len(examples))])
+    w, bias = svm(x, y, wanted, weight / weight.sum() * len(y), c=1.0)
     model = Model((vectors @ (root @ w))[row_of], bias, 1.0, 0.0)
     sent = rows.sparkSession.sparkContext.broadcast(model)
 
     def worst(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            yield pa.RecordBatch.from_pydict({"margin": pa.array(sent.value.text_margins(b.column("text"))), "label": b.column("label")})
+            m = sent.value.text_margins(b.column("text"))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, m.T.copy()), b.column("label")], [*names, "label"])
 
-    seen = rows.select("text", "label").mapInArrow(worst, "margin double, label int").toArrow()
-    model.slope, model.shift = logistic(seen["margin"].to_numpy(), seen["label"].to_numpy().astype(float))
+    names = [f"m{i}" for i in range(WORST)]
+    seen = rows.select("text", "label").mapInArrow(worst, ", ".join(f"{c} double" for c in names) + ", label int").toArrow()
+    model.slope, model.shift = logistic(np.column_stack([seen[c].to_numpy() for c in names]), seen["label"].to_numpy().astype(float))
     return model
 
 
