@@ -6,9 +6,9 @@ share, decay^(span in one + span in the other), gaps allowed, normalised by the
 strings' own kernels. Inserted characters ("id.io.t", "i d i o t") only stretch
 spans, so such forms stay close to the plain word.
 
-A sentence is a bag of windows: its words without the symbols around them
-(whole words up to 24 characters, longer ones as overlapping windows of 24) and
-its runs of one- and two-character words read as one. A text is judged by its
+A sentence is a bag of windows: its words without the symbols around them (up
+to 24 characters, longer ones as overlapping windows of 24), words with symbols
+inside also without those, and its runs of one- and two-character words read as one. A text is judged by its
 WORST different windows with the largest margins: one word that resembles an
 insult, however often it is repeated, is less than several.
 
@@ -144,9 +144,16 @@ def cut(word: str) -> List[str]:
     return [word] if len(word) <= WIDTH else [word[i : i + WIDTH] for i in range(0, len(word) - WIDTH + STEP, STEP)]
 
 
+def readings(word: str) -> List[str]:
+    """Windows of a word: as it stands and, with symbols inside, also without them."""
+    plain = INSIDE.sub("", word)
+    return [w for x in ([word] if plain == word else [word, plain]) for w in cut(x) if len(w) >= 3]
+
+
 SHORT_RUN = re.compile(r"(?:(?<=\s)|\A)\S{1,2}(?:\s+\S{1,2}){2,}(?=\s|\Z)")
 
 
+INSIDE = re.compile(r"[\W_]+")
 AROUND = re.compile(r"\A[\W_]+|[\W_]+\Z")
 
 
@@ -160,7 +167,7 @@ def strip(word: str) -> str:
 
 
 def windows_of(sentence: str) -> List[str]:
-    words = [w for x in sentence.split() for w in cut(strip(x)) if len(w) >= 3]
+    words = [w for x in sentence.split() for w in readings(strip(x))]
     return words + [w for r in short_runs(sentence) for w in cut("".join(r.split())) if len(w) >= 3]
 
 
@@ -242,7 +249,7 @@ class Model:
 
     def look(self, words: List[str]) -> List[float]:
         missing = [w for w in dict.fromkeys(words) if w not in self.cache]
-        parts = [(w, p) for w in missing for p in cut(w) if len(p) >= 3]
+        parts = [(w, p) for w in missing for p in readings(w)]
         for w in missing:
             self.cache[w] = NONE
         for (w, _), m in zip(parts, margins([p for _, p in parts], self.weight_of, self.bias)):
