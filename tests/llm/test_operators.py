@@ -324,6 +324,14 @@ def test_language_model(sp, odd, none, monkeypatch):
     assert lm_hmm.lm_scores(none, warm=1, rounds=1).collect() == []
 
 
+def test_every_round_sees_all_learning_texts(sp, monkeypatch):
+    seen, real = [], lm_hmm.reestimated
+    monkeypatch.setattr(lm_hmm, "reestimated", lambda rows, *a: seen.append(rows.count()) or real(rows, *a))
+    docs = sp.createDataFrame([(None, "a b a b")] * 3 + [(None, "c d c d")] * 3, "doc_id long, text string")
+    lm_hmm.lm_scores(docs).collect()
+    assert len(seen) == 8 and set(seen) == {6}
+
+
 def test_url_rules_and_parts(sp):
     urls = [
         (1, "http://A.Example.org/es/9?x"), (2, "https://example.org/en/12"), (3, "http://x.com/fr/1#a"), (4, "http://x.com/de/1"), (5, None), (6, "nothing"),
