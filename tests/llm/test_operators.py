@@ -332,6 +332,36 @@ def test_every_round_sees_all_learning_texts(sp, monkeypatch):
     assert len(seen) == 8 and set(seen) == {6}
 
 
+def test_rare_words_have_states_and_classes_grow(sp, monkeypatch):
+    rng = np.random.default_rng(4)
+    text = lambda topics, n: " ".join(f"{a}{rng.integers(30)}" for a in np.repeat(topics, n // len(topics)))
+    docs = [(None, text("ab"[i % 2], 60)) for i in range(300)]
+    even = [(None, " ".join(f"{a}{i}" for i in range(30))) for a in "ab"] * 20  # every word occurs
+    held = [i for i in range(1, 99) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    tests = [(held[0], " ".join(f"a{i % 30}" for i in range(40))), (held[1], " ".join(f"{'ab'[i % 2]}{i % 30}" for i in range(40)))]
+    df = sp.createDataFrame(docs + even + tests, "doc_id long, text string")
+    monkeypatch.setattr(lm_hmm, "HEAD", 4)
+    monkeypatch.setattr(lm_hmm, "PER_CLASS", 1)
+    monkeypatch.setattr(lm_hmm, "BROADCAST", 20)  # beyond the head, words with and without a broadcast count
+    got = {r.doc_id: r for r in lm_hmm.lm_scores(df).filter("held_out").collect()}
+    own, mixed = got[held[0]], got[held[1]]
+    # One symbol for all rare words gives either text the same likelihood, up to the words' own shares.
+    assert own.score - own.base_score > mixed.score - mixed.base_score + 3
+    monkeypatch.setattr(lm_hmm, "PER_CLASS", 16)
+    sizes = []
+    for n in (400, 4_000):
+        counts = sp.createDataFrame([(f"wörd{i}", 1 + i % 3) for i in range(n)], "word string, c long")
+        v = lm_hmm.vocabulary(counts, 5)
+        beyond = {r.word: r.c for r in counts.collect()}
+        for w in v.words[: v.head].to_pylist():
+            del beyond[w]
+        want = np.ones(len(v.others))
+        np.add.at(want, lm_hmm.class_of(pa.array(list(beyond)), len(v.others)), np.array(list(beyond.values())) + 1)
+        assert (want == v.others).all() and math.isclose(v.shares().sum(), 1)
+        sizes.append(len(v.others))
+    assert sizes == [25, 250]
+
+
 def test_url_rules_and_parts(sp):
     urls = [
         (1, "http://A.Example.org/es/9?x"), (2, "https://example.org/en/12"), (3, "http://x.com/fr/1#a"), (4, "http://x.com/de/1"), (5, None), (6, "nothing"),
