@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 from tokenizers import Tokenizer
 
@@ -291,6 +292,21 @@ def test_string_kernel_and_disguised_insults(sp):
     assert score[0] < 0.5 and score[5] < 0.5 and (score[1:5] > 0.5).all()
 
 
+def test_runs_of_pairs_are_scored():
+    texts = ["words st up id words", "st up id", "words s t u p i d", "st\u00a0up\u2003id", "st\x1cup\x85id", "sté up ïd ok", "st\nup\tid", "some st up words", "", "long words only"]
+    found = pa.compute.match_substring_regex(pa.array(texts), toxicity.MAY_RUN).to_pylist()
+    assert found == [bool(toxicity.short_runs(t)) for t in texts] == [True] * 7 + [False] * 3
+    for c in map(chr, [*range(0xD800), *range(0xE000, 0x11000)]):
+        if c.isspace():
+            assert pa.compute.match_substring_regex(pa.array([f"ab{c}cd{c}ef"]), toxicity.MAY_RUN)[0].as_py(), hex(ord(c))
+    codes, weight = next((c, w) for _, c, w in toxicity.by_length(["stupid"]))
+    weight_of = np.zeros(toxicity.LETTERS**3)
+    weight_of[codes[0]] = 5.0
+    model = toxicity.Model(weight_of, -0.9, np.array([1.0]), 0.0)
+    pairs, plain = model.text_margins(pa.array(["words st up id words", "words and words"]))[:, 0]
+    assert pairs > 1 > plain
+
+
 def test_forward_recursion_is_a_distribution():
     rng = np.random.default_rng(5)
     k, s = 3, 4  # symbol 3 ends a text

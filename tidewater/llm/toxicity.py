@@ -151,6 +151,10 @@ def readings(word: str) -> List[str]:
 
 
 SHORT_RUN = re.compile(r"(?:(?<=\s)|\A)\S{1,2}(?:\s+\S{1,2}){2,}(?=\s|\Z)")
+#: Characters that are white space to Python, in Arrow's syntax, whose own classes know ASCII only.
+SPACES = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+#: Matches every text in which SHORT_RUN can match.
+MAY_RUN = rf"(?:^|[{SPACES}])[^{SPACES}]{{1,2}}(?:[{SPACES}]+[^{SPACES}]{{1,2}}){{2}}(?:[{SPACES}]|$)"
 
 
 INSIDE = re.compile(r"[\W_]+")
@@ -158,7 +162,7 @@ AROUND = re.compile(r"\A[\W_]+|[\W_]+\Z")
 
 
 def short_runs(text: str) -> List[str]:
-    """Runs of three or more one- and two-character words, of which one is a single character, without their spaces."""
+    """Runs of three or more one- and two-character words, lower-cased."""
     return [r.group().lower() for r in SHORT_RUN.finditer(text)]
 
 
@@ -226,7 +230,7 @@ class Model:
         margin = of_word[codes]
         above = margin > NONE
         out = self.worst(row[above], margin[above], len(text))
-        spread = pc.match_substring_regex(text, r"(?:^|\s)\S(?:\s+\S{1,2}){2}(?:\s|$)|(?:^|\s)\S{1,2}\s+\S(?:\s|$)").to_numpy(zero_copy_only=False)
+        spread = pc.match_substring_regex(text, MAY_RUN).to_numpy(zero_copy_only=False)
         for i in np.flatnonzero(spread):
             runs = ["".join(r.split()) for r in short_runs(text[int(i)].as_py())]
             if runs:
