@@ -292,6 +292,17 @@ def test_string_kernel_and_disguised_insults(sp):
     assert score[0] < 0.5 and score[5] < 0.5 and (score[1:5] > 0.5).all()
 
 
+def test_all_significant_windows_are_examples(sp, monkeypatch):
+    rng = np.random.default_rng(3)
+    word = lambda letters: "".join(rng.choice(list(letters), 7))
+    plain, insults = [word("aerntslu") for _ in range(300)], [word("bcdfgkmopz") for _ in range(8)]
+    rows = [(i, " ".join([*rng.choice(plain, 12), insults[i // 5 % 8]] if i % 5 == 0 else rng.choice(plain, 12)), int(i % 5 == 0)) for i in range(400)]
+    seen, real = [], toxicity.svm
+    monkeypatch.setattr(toxicity, "svm", lambda x, y, *a, **k: seen.append((x.shape[1], int((y > 0).sum()))) or real(x, y, *a, **k))
+    toxicity.train(sp.createDataFrame(rows, "doc_id long, text string, label int"), landmarks=3)
+    assert seen == [(3, 8)]
+
+
 def test_runs_of_pairs_are_scored():
     texts = ["words st up id words", "st up id", "words s t u p i d", "st\u00a0up\u2003id", "st\x1cup\x85id", "sté up ïd ok", "st\nup\tid", "some st up words", "", "long words only"]
     found = pa.compute.match_substring_regex(pa.array(texts), toxicity.MAY_RUN).to_pylist()

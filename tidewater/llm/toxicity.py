@@ -15,8 +15,9 @@ insult, however often it is repeated, is less than several.
 Training, on at most ``max_rows`` labelled documents (a documented bound):
 every distinct sentence of them carries its document's label; windows are
 counted by Spark in distinct sentences of either label, so copies of a document
-count once. Windows with a significant excess in toxic sentences are the
-witnesses (positive examples, and Nystroem landmarks); windows of clean
+count once. All windows with a significant excess in toxic sentences are the
+witnesses (positive examples; the most significant are the Nystroem landmarks);
+windows of clean
 sentences are the negative ones, those nearest to the witnesses first. A linear
 support vector machine is fitted in the landmarks' space, and a logistic
 function of the learning documents' worst margins, with no negative weight,
@@ -51,8 +52,8 @@ from .labels import learning_rows
 DECAY = 0.6
 LETTERS = 64  # 26 letters, 10 digits, the rest shared by all other characters
 WIDTH, STEP = 24, 12
-#: Least z of a witness's excess in toxic sentences; the second only where no window reaches the first.
-SIGNIFICANT = (3.0, 2.0)
+#: Least z of a witness's excess in toxic sentences.
+SIGNIFICANT = 2.5
 WORST = 3
 KNOTS, RIDGE = np.arange(-1.0, 3.0, 0.5), 0.1
 NONE = -1.0  # least margin: where the squared hinge of a negative example ends
@@ -297,8 +298,9 @@ def logistic(m: np.ndarray, y: np.ndarray) -> Tuple[np.ndarray, float]:
 
 
 def train(rows: DataFrame, landmarks: int = 192, negatives: int = 6_000) -> Model:
-    """``rows``: saved (doc_id, text, label). The driver gets at most ``landmarks``
-    witnesses, ``negatives`` windows and WORST margins per learning row."""
+    """``rows``: saved (doc_id, text, label). The driver gets all significant windows
+    of these rows (positive examples; those of largest z are the ``landmarks``),
+    at most ``negatives`` others and WORST margins per learning row."""
     n1, n0 = (rows.agg(F.sum("label"), F.sum(1 - F.col("label"))).first() or (0, 0))[:2]
     if not n1 or not n0:
         return Model(None, 0.0, 1.0, 0.0, constant=float(n1 or 0) / max(1, (n1 or 0) + (n0 or 0)))
@@ -307,14 +309,13 @@ def train(rows: DataFrame, landmarks: int = 192, negatives: int = 6_000) -> Mode
     t, c = counts.agg(F.sum("toxic"), F.sum("clean")).first()
     excess = F.log((F.col("toxic") + 0.5) / F.lit(float(t))) - F.log((F.col("clean") + 0.5) / F.lit(float(c)))
     scored = counts.withColumn("z", excess / F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5)))
-    found = []
-    for z in SIGNIFICANT:
-        found = found or scored.filter((F.col("z") >= z) & (excess > math.log(20))).orderBy(F.desc("z"), "window").limit(landmarks).collect()
+    found = scored.filter((F.col("z") >= SIGNIFICANT) & (excess > math.log(20))).select("window", "toxic", "z").collect()
+    found.sort(key=lambda r: (-r.z, r.window))
     witnesses = [r.window for r in found]
     if not witnesses:
         counts.unpersist()
         return Model(None, 0.0, 1.0, 0.0, constant=float(n1) / (n1 + n0))
-    marks = rows.sparkSession.sparkContext.broadcast(profiles(witnesses))
+    marks = rows.sparkSession.sparkContext.broadcast(profiles(witnesses[:landmarks]))
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
