@@ -413,6 +413,15 @@ def test_url_templates_learn_from_labels(sp):
     assert by["h0.com", "/spam/50"].template == "/spam/*" and by["h0.com", "/u/user3name/about"].template == "/u/*/about"
 
 
+def test_labelled_sections_of_a_wide_node_stay_apart(sp):
+    words = ["".join(p) for p in itertools.product("abcdefgh", repeat=2)][:60]  # every one below 2 % of the urls
+    rows = [("h.com", f"/{w}/page{'xyz'[i % 3]}{'pqrst'[i // 3 % 5]}", int(w == "cd") if i < 10 else None) for w in words for i in range(15)]
+    rows += [("h.com", f"/{w}z/pagexp", int(w == "ab")) for w in words]  # one label can't tell
+    t = url_filter.path_templates(sp.createDataFrame(rows, "host string, path string, label int")).collect()
+    bad = {r.path.split("/")[1] for r in t if r.purity >= 0.5}
+    assert bad == {"cd"} and {r.template.split("/")[1] for r in t} == {"*", "cd"}
+
+
 def test_pipeline_equals_its_stages_by_brute_force(sp):
     import corpus_pipeline as p
 

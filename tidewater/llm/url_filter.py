@@ -6,7 +6,9 @@ the others of their host:
 
 - Per host, paths are walked segment by segment. At a node, a segment is
   variable when it looks like an identifier, or when its node has many
-  children and few urls take this one; it becomes a wildcard.
+  children, few urls take this one, and they aren't known to differ from its
+  siblings' (fewer than TELLING labels, or urls, can't tell); it becomes a
+  wildcard.
 - Literal branches of a node with three children or more are merged into one
   wildcard branch when they are statistically similar to their pooled siblings:
   neither the share of blocked labels nor the share of urls whose next segment
@@ -41,6 +43,8 @@ from .common import ascii_lower, saved
 Rules = Sequence[Tuple[str, str]]
 IDENTIFIER = r"^[0-9]+(\.[A-Za-z0-9]+)?$|[0-9].*[0-9].*[0-9]|^[0-9a-fA-F-]{8,}$|^.{40,}$"
 MANY, FEW = 20, 0.02
+#: Least labels, or urls, of a rare branch whose difference from its siblings counts.
+TELLING = 5
 
 
 def url_parts(url: Column) -> Tuple[Column, Column]:
@@ -99,8 +103,10 @@ def path_templates(urls: DataFrame, depth: int = 8, z_merge: float = 1.96, weigh
         parents = branches.groupBy(*node).agg(F.count(F.lit(1)).alias("kids"), *[F.sum(c).alias(f"all_{c}") for c in ("n", "labelled", "blocked", "next")])
         b = branches.join(parents, node)
         rare = (F.col("kids") > MANY) & (F.col("n") < FEW * F.col("all_n"))
-        alike = (F.col("kids") >= 3) & (_different(F.col("blocked"), F.col("labelled"), F.col("all_blocked"), F.col("all_labelled")) < z_merge)
-        alike = alike & (_different(F.col("next"), F.col("n"), F.col("all_next"), F.col("all_n")) < z_merge)
+        same_labels = _different(F.col("blocked"), F.col("labelled"), F.col("all_blocked"), F.col("all_labelled")) < z_merge
+        same_next = _different(F.col("next"), F.col("n"), F.col("all_next"), F.col("all_n")) < z_merge
+        alike = (F.col("kids") >= 3) & same_labels & same_next
+        rare = rare & (same_labels | (F.col("labelled") < TELLING)) & (same_next | (F.col("n") < TELLING))
         b = b.select(*node, "branch", F.when(rare | alike, "*").otherwise(F.col("branch")).alias("as"))
         active = active.join(b, node + ["branch"]).withColumn("template", F.concat("template", F.lit("/"), "as")).drop("branch", "next", "as")
         state = saved(_purity(active, ["host", "template"], weight), f"level-{d + 1}")
