@@ -240,6 +240,16 @@ def test_training_order_round_trip(sp, odd, none, tmp_path):
     assert training_order.read_slots(sp, f"{tmp_path}/none").collect() == []
 
 
+def test_values_needed_by_the_least_jaccard():
+    for c in range(8):
+        for k in range(8):
+            sizes = [(s, i) for s in range(1 << c, 2 << c) for i in range(1 << k, 2 << k) if s >= math.ceil(0.8 * i)]
+            if sizes:
+                least = min(math.ceil(0.8 * i) / (s + i - math.ceil(0.8 * i)) for s, i in sizes)
+                missed = (1 - least) ** contamination.values_needed(0.8, c, k, 1e-6)
+                assert missed <= 1.001e-6, (c, k, least)
+
+
 def test_quality_edges(odd, none, labels):
     rows = quality_ftrl.quality_scores(odd, labels).collect()
     assert len(rows) == len(TEXTS) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)

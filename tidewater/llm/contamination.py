@@ -75,7 +75,7 @@ def values_needed(threshold: float, set_class: int, item_class: int, miss: float
     most, least = (2 << set_class) - 1, 1 << item_class
     if most < threshold * least:
         return 0
-    j = threshold * least / (most + least - threshold * least) if most > least else threshold
+    j = threshold * least / (most + least - threshold * least)
     return 1 if j >= 1 else math.ceil(math.log(miss) / math.log1p(-min(j, 1 - 1e-12)))
 
 
