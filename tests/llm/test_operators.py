@@ -240,6 +240,18 @@ def test_training_order_round_trip(sp, odd, none, tmp_path):
     assert training_order.read_slots(sp, f"{tmp_path}/none").collect() == []
 
 
+def test_damaged_slots_are_found(sp, odd, tmp_path):
+    out = f"{tmp_path}/damaged"
+    training_order.materialise(odd.coalesce(1), out, WORD, length=64, per_shard=100, seed=3)
+    file = next((tmp_path / "damaged" / "shards").rglob("*.txt"))
+    raw = bytearray(file.read_bytes())
+    raw[28] ^= 1  # the first id of the first record
+    file.write_bytes(raw)
+    (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(Exception, match="CRC of its header"):
+        training_order.read_slots(sp, out).drop("ids").collect()
+
+
 def test_values_needed_by_the_least_jaccard():
     for c in range(8):
         for k in range(8):

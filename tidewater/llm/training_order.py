@@ -211,13 +211,16 @@ def read_slots(spark: SparkSession, out_dir: str, first: int = 0, count: int | N
                 slot = shard * per + np.arange(len(rows))
                 rows, slot = rows[(slot >= first) & (slot < last)], slot[(slot >= first) & (slot < last)]
                 field = lambda a, z, kind: np.ascontiguousarray(rows[:, a:z]).view(kind).ravel().astype(np.int64)
-                body = rows[:, 28 : 28 + length * dtype.itemsize]
+                body = [r.tobytes() for r in rows[:, 28 : 28 + length * dtype.itemsize]]
+                due, crc = field(24, 28, "<u4"), np.fromiter(map(zlib.crc32, body), np.int64, len(body))
+                if (crc != due).any():
+                    raise RuntimeError(f"slot {slot[crc != due][0]}: its ids don't have the CRC of its header")
                 yield pa.RecordBatch.from_pydict(
                     {
                         "slot": pa.array(slot), "shard": pa.array(slot // per), "byte_offset": pa.array((slot % per) * stride),
                         "sequence": pa.array(field(0, 8, "<u8")), "first_doc_id": pa.array(field(8, 16, "<i8")),
                         "first_start": pa.array(field(16, 20, "<u4")), "n_tokens": pa.array(field(20, 24, "<u4")),
-                        "ids_crc32": pa.array(field(24, 28, "<u4")), "ids": pa.array([r.tobytes() for r in body], pa.binary()),
+                        "ids_crc32": pa.array(crc), "ids": pa.array(body, pa.binary()),
                     }
                 )
 
