@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, exact_dedup, lm_hmm, ngram_join, packing, quality_ftrl, token_counts, toxicity, training_order, url_filter
+from . import collocations, contamination, exact_dedup, filter_audit, lm_hmm, ngram_join, packing, quality_ftrl, substring_fm, token_counts, toxicity, training_order, url_filter
 from .common import shared_path, ship, table
 
 
@@ -67,6 +67,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_fm.repeated_windows_removed(table(spark, sf_dir, "documents"), length=50).drop("kept")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=30, top=2_000)
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +93,7 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for q in (
         op1_url_filter, op2_training_order, op3_toxicity, op4_ngram_join, op5_decontamination,
         op6_lm_hmm, op7_exact_dedup, op8_packing, op9_quality, op10_token_counts,
+        op11_filter_audit, op12_substring_dedup, op13_collocations,
     )
 }
 
@@ -102,6 +115,44 @@ WITH d AS (
 m AS (SELECT doc_id, item_id, count(*) AS shared FROM ds JOIN bs USING (g, s) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, shared, item_shingles, shared / item_shingles AS containment
 FROM m JOIN n USING (item_id) WHERE shared / item_shingles >= 0.8
+""",
+    "op11_filter_audit": r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w, min(doc_id) OVER (PARTITION BY text) AS first_id FROM d),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS bad FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad,
+         len(w) < 50 AS a, 100 * len(list_distinct(w)) < 65 * len(w) AS b,
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS c,
+         regexp_matches(text, '[#$%&*|]') AS d, coalesce(doc_id > first_id, false) AS e
+  FROM w LEFT JOIN l USING (doc_id)
+), m AS (
+  SELECT part, CASE WHEN a THEN 'A' ELSE '' END || CASE WHEN b THEN 'B' ELSE '' END || CASE WHEN c THEN 'C' ELSE '' END
+         || CASE WHEN d THEN 'D' ELSE '' END || CASE WHEN e THEN 'E' ELSE '' END AS mask,
+         count(*) AS n, sum(good) AS good, sum(bad) AS bad
+  FROM f GROUP BY ALL
+), s AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT s1.x || s2.x || s3.x || s4.x || s5.x AS filter_order
+  FROM s s1 JOIN s s2 ON s2.x <> s1.x JOIN s s3 ON s3.x NOT IN (s1.x, s2.x)
+       JOIN s s4 ON s4.x NOT IN (s1.x, s2.x, s3.x) JOIN s s5 ON s5.x NOT IN (s1.x, s2.x, s3.x, s4.x)
+), p AS (
+  SELECT part, filter_order, step, substr(filter_order, step, 1) AS x, mask, n, good, bad,
+         length(regexp_replace(substr(filter_order, 1, step - 1), CASE WHEN mask = '' THEN 'x' ELSE '[' || mask || ']' END, '', 'g')) < step - 1 AS gone
+  FROM m CROSS JOIN o CROSS JOIN (SELECT unnest(range(1, 6)) AS step)
+), r AS (
+  SELECT part, filter_order, step, x,
+         coalesce(sum(n) FILTER (NOT gone AND NOT contains(mask, x)), 0) AS kept,
+         coalesce(sum(n) FILTER (NOT gone AND contains(mask, x)), 0) AS removed,
+         coalesce(sum(n) FILTER (gone AND contains(mask, x)), 0) AS redundant,
+         coalesce(sum(n) FILTER (mask = x), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (NOT gone AND contains(mask, x)), 0) AS good_lost,
+         coalesce(sum(bad) FILTER (NOT gone AND contains(mask, x)), 0) AS toxic_lost
+  FROM p GROUP BY ALL
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+       good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
+FROM r
 """,
     "op7_exact_dedup": """
 WITH d AS (
