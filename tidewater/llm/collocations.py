@@ -315,8 +315,9 @@ def _pack(columns: np.ndarray, lang: np.ndarray, split: np.ndarray, weight: np.n
 
 def _unpack(block: pa.Scalar) -> Tuple[pa.RecordBatch, pa.Array]:
     source = pa.BufferReader(block.as_buffer())
-    batch = pa.ipc.open_stream(source).read_next_batch()
-    return batch, pa.ipc.open_stream(source).read_next_batch().column(0)
+    (batch,) = pa.ipc.open_stream(source)
+    (words,) = pa.ipc.open_stream(source)
+    return batch, words.column(0)
 
 
 def phrase_counts(blocks: DataFrame, least: int) -> DataFrame:

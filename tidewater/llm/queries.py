@@ -153,6 +153,33 @@ o AS (
 SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
        good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
 FROM r
+""",
+    "op13_collocations": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), p AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)
+), g AS (
+  SELECT lang, k AS words, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p CROSS JOIN (SELECT unnest(range(1, 5)) AS k) WHERE len(w) >= k)
+), f AS (SELECT lang, words, phrase, count(*) AS a, string_split(phrase, ' ') AS w FROM g GROUP BY ALL HAVING count(*) >= 30),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+i AS (
+  SELECT lang, array_to_string(w[s:s + k - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, w, a, k, unnest(range(1, words - k + 2)) AS s FROM f CROSS JOIN (SELECT unnest([2, 3]) AS k) WHERE words > k)
+  GROUP BY ALL
+), c AS (
+  SELECT lang, phrase, a, w, unnest(range(1, words)) AS k
+  FROM f LEFT JOIN i USING (lang, phrase) WHERE words > 1 AND (longer IS NULL OR 100 * longer::HUGEINT < 80 * a::HUGEINT)
+), s AS (
+  SELECT c.lang, c.phrase, c.a, k, x.a AS l, y.a AS r, (2000000 * c.a::HUGEINT // (x.a + y.a))::BIGINT AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+         JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')
+), b AS (SELECT lang, phrase, a, arg_min(struct_pack(l := l, r := r, score := score), score * 10 + k) AS x FROM s GROUP BY ALL),
+o AS (SELECT lang, phrase, a, x.l AS l, x.r AS r, x.score AS score, row_number() OVER (PARTITION BY lang ORDER BY x.score DESC, a DESC, phrase) AS rank FROM b)
+SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) WHERE rank <= 2000
 """,
     "op7_exact_dedup": """
 WITH d AS (
