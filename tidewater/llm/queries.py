@@ -72,7 +72,8 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_fm.repeated_windows_removed(table(spark, sf_dir, "documents"), length=50).drop("kept")
+    left = substring_fm.repeated_windows_removed(table(spark, sf_dir, "documents"), length=50)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,6 +154,20 @@ o AS (
 SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
        good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
 FROM r
+""",
+    "op12_substring_dedup": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), g AS (
+  SELECT doc, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS s
+  FROM (SELECT doc, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+), r AS (SELECT doc, i FROM (SELECT doc, i, doc_id, min(doc_id) OVER (PARTITION BY s) AS least FROM g) WHERE doc_id > least),
+p AS (SELECT DISTINCT doc, unnest(range(i, i + 50)) AS i FROM r),
+x AS (SELECT doc, list(i) AS gone FROM p GROUP BY doc)
+SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+       sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda y: NOT list_contains(gone, y[2])), lambda y: y[1]) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN x USING (doc)
 """,
     "op13_collocations": r"""
 WITH d AS (
