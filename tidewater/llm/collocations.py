@@ -45,7 +45,9 @@ from .common import WorkerCache, saved, slices
 
 DEPTH = 4
 #: Suffixes of a bin, and hashes of frequent beginnings at most.
-BIN, HEAVY = 3_000_000, 16_384
+BIN, HEAVY = 1_000_000, 16_384
+#: Bytes of text that a map task turns into suffixes at a time.
+SLICE = 6 << 20
 #: Partitions of the quicksort below this many pointers are finished together by one sort.
 SMALL = 1_024
 
@@ -126,7 +128,7 @@ def collapse(columns: np.ndarray, lang: np.ndarray, vocabulary: int) -> Tuple[np
     return order[starts], np.diff(np.append(starts, len(order)))
 
 
-def multikey_quicksort(columns: np.ndarray, weight: np.ndarray, least: Sequence[int], small: int = SMALL) -> Iterator[Tuple[np.ndarray, int, np.ndarray]]:
+def multikey_quicksort(columns: Sequence[np.ndarray], weight: np.ndarray, least: Sequence[int], small: int = SMALL) -> Iterator[Tuple[np.ndarray, int, np.ndarray]]:
     """(pointer to an example, words, count) of every beginning with at least ``least[words-1]``.
 
     ``columns`` are the suffixes' keys (the first also tells languages apart),
@@ -135,7 +137,7 @@ def multikey_quicksort(columns: np.ndarray, weight: np.ndarray, least: Sequence[
     is asked for are abandoned.
     """
     asked = [min(least[d:]) for d in range(len(least))]
-    stack: List[Tuple[np.ndarray, int]] = [(np.arange(columns.shape[1]), 0)]
+    stack: List[Tuple[np.ndarray, int]] = [(np.arange(len(weight)), 0)]
     rest: List[np.ndarray] = []
     depths: List[int] = []
     found: Dict[int, List[Tuple[int, int]]] = {d: [] for d in range(1, len(columns) + 1)}
@@ -148,7 +150,8 @@ def multikey_quicksort(columns: np.ndarray, weight: np.ndarray, least: Sequence[
             depths.append(depth)
             continue
         keys = columns[depth][pointers]
-        pivot = np.partition(keys[:: max(1, len(keys) // 64)], len(keys[:: max(1, len(keys) // 64)]) // 2)[len(keys[:: max(1, len(keys) // 64)]) // 2]
+        some = np.sort(keys[:: max(1, len(keys) // 64)])
+        pivot = some[len(some) // 2]
         for side in (keys < pivot, keys > pivot):
             if side.any():
                 stack.append((pointers[side], depth))
@@ -198,7 +201,7 @@ def survey(docs: DataFrame, heavy: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WorkerCache(xxhash.xxh64_intdigest)
         often = {2: (np.zeros(0, np.uint64), np.zeros(0, np.int64)), 3: (np.zeros(0, np.uint64), np.zeros(0, np.int64))}
-        for b in slices(batches):
+        for b in slices(batches, size=SLICE):
             lang, names, lang_hash = _languages(b)
             code, row, piece, words = pieces(b.column("text"))
             if not len(code):
@@ -266,7 +269,7 @@ def routed(docs: DataFrame, bins: int, heavy: Dict[int, np.ndarray]) -> DataFram
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WorkerCache(xxhash.xxh64_intdigest)
-        for b in slices(batches):
+        for b in slices(batches, size=SLICE):
             lang, names, lang_hash = _languages(b)
             code, row, piece, words = pieces(b.column("text"))
             if not len(code):
@@ -346,10 +349,10 @@ def phrase_counts(blocks: DataFrame, least: int) -> DataFrame:
             own = np.flatnonzero(split == by)
             if not len(own):
                 continue
-            sort_by = [lang[own] * len(words) + keys[0][own], *(k[own].astype(np.int64) for k in keys[1:])]
+            sort_by = [lang[own] * len(words) + keys[0][own], *(k[own] for k in keys[1:])]
             # Beginnings shorter than the routing are parts of a count: all of them are kept.
             asked = [least if d >= by or by == 2 else 1 for d in range(1, DEPTH + 1)]
-            for pointers, length, counts in multikey_quicksort(np.stack(sort_by), weight[own], asked):
+            for pointers, length, counts in multikey_quicksort(sort_by, weight[own], asked):
                 if length < 2 or not len(pointers):
                     continue
                 at = own[pointers]

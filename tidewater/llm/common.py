@@ -118,14 +118,14 @@ class WorkerCache(dict):
 SLICE_BYTES = 12 << 20
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cuts Arrow batches so that each holds about SLICE_BYTES of ``column`` or one row."""
+def slices(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cuts Arrow batches so that each holds about ``size`` bytes of ``column`` or one row."""
     for b in batches:
         ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
         while at < b.num_rows:
             done = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")))
+            to = max(at + 1, int(np.searchsorted(ends, done + size, "right")))
             yield b.slice(at, to - at)
             at = to
 
