@@ -20,19 +20,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures
-from .config import GOLD_TABLES, SILVER_TABLE, LakeConfig
+from .config import BRONZE_TABLE, GOLD_TABLES, SILVER_TABLE, LakeConfig
 from .functions.expr import to_ntz
 from .oracle import with_silver, with_wire
-from .operators import enrich, gold, quality, serving, wire
+from .operators import bitmaps, enrich, gold, quality, serving, wire
+from .plans.incremental import distinct_over_dates, refresh_incremental
 from .plans.jobs import build_gold, build_silver, refresh_batch
 from .plans.layers import silver_from_bronze
 from .schema import EVENT_COLUMNS
-from .sinks.compact import compact_table
+from .sinks.compact import compact_bronze, compact_table, merge_small_files
 from .sinks.storage import scratch_dir
 from .sinks.tables import export_csv, publish_gold, read_published, write_gold, write_silver
 from .sources.tables import read_bronze, read_gold, read_silver
 from .sources.wire import wire_source, write_wire
-from .streaming.bronze import ingest_bronze, run_until_stopped
+from .streaming.bronze import ingest_bronze, run_until_stopped, stored_metrics
 
 # Fixed audit time of the registered queries (not part of any output).
 CLOCK = _dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -220,6 +221,85 @@ def q_compact_table(spark, d):
     return _show(read_silver(spark, cfg), SILVER_OUT)
 
 
+def q_zorder_table(spark, d):
+    """SNK8 along a Z-order curve over (user_id, event_date)."""
+    cfg = _lake(spark, d, "silver")
+    compact_table(spark, cfg, cfg.path("silver", SILVER_TABLE), ("user_id", "event_date"), target_files=16, order="zorder")
+    return _show(read_silver(spark, cfg), SILVER_OUT)
+
+
+def q_merge_small_files(spark, d):
+    """SNK8 by bin packing: Silver's and Bronze's small files, then the rows of both layers."""
+    cfg = _lake(spark, d, "bronze", max_files_per_trigger=1)
+    build_silver(spark, cfg)
+    merge_small_files(spark, cfg, cfg.path("silver", SILVER_TABLE), sort_by=("user_id",), partition_by=("event_date",))
+    compact_bronze(spark, cfg)
+    silver = _show(read_silver(spark, cfg), SILVER_OUT).select(F.lit("silver").alias("layer"), "*")
+    return silver.unionByName(_show(read_bronze(spark, cfg), BRONZE_OUT).select(F.lit("bronze").alias("layer"), "*"), allowMissingColumns=True)
+
+
+# Messages of two dates that come late in the incremental queries: every third one of each, and
+# some copies of messages that were in time.
+LATE_DATES = (_dt.date(2024, 1, 5), _dt.date(2024, 1, 19))
+
+
+def _late(w: DataFrame) -> DataFrame:
+    on = F.to_date(wire.parse_json(F.col("value"))["event_timestamp"]).isin(*LATE_DATES)
+    third, copy = F.floor(F.col("offset") / 10) % 3 == 0, F.col("offset") % 10 == 1
+    return w.withColumn("late", F.coalesce(on & third, F.lit(False)) | (copy & third))
+
+
+def _lake_in_two_refreshes(spark: SparkSession, d: str) -> LakeConfig:
+    """Bronze, Silver and Gold after a first refresh and another one with the late messages."""
+    cfg = LakeConfig(root=scratch_dir(spark, "lake"), clock=CLOCK)
+    messages = _late(_wire(spark, d))
+    for late in (False, True):
+        write_wire(messages.filter(F.col("late") == late).drop("late"), cfg.path("landing", f"wire/late={late}"))
+        src = wire_source(spark, cfg.path("landing", "wire/late=*"), streaming=True)
+        run_until_stopped(ingest_bronze(spark, cfg, src, trigger="available_now"))
+        refresh_incremental(spark, cfg)
+    return cfg
+
+
+def q_build_gold_incremental(spark, d):
+    """PL3 by date: late events on two dates give what a full rebuild gives."""
+    cfg = _lake_in_two_refreshes(spark, d)
+    return _contents({n: read_gold(spark, cfg, n) for n in GOLD_TABLES})
+
+
+def q_merge_silver_incremental(spark, d):
+    """PL2 by date: Silver after late events were merged into it."""
+    return _show(read_silver(spark, _lake_in_two_refreshes(spark, d)), SILVER_OUT)
+
+
+def q_gold_bitmaps(spark, d):
+    """G1, G2 and G4 merged from daily bitmaps."""
+    rollup = gold.session_day_rollup(_silver(spark, d)).checkpoint()  # read by the numbering and by three states
+    numbers = {k: bitmaps.new_numbers(rollup, None, scratch_dir(spark, "numbers"), c) for k, c in bitmaps.MEMBERS.items()}
+    states = lambda *keys: bitmaps.daily_states(rollup, numbers, keys)
+    g1 = bitmaps.merged(states("country_code"), ("event_date", "country_code"))
+    g2 = bitmaps.merged(states("content_id", "content_type"), ("content_id", "content_type"), "unique_viewers")
+    g4 = bitmaps.merged(states("device_type"), ("event_date", "device_type")).drop("total_watch_seconds")
+    parts = [df.select(F.lit(GOLD_TABLES[i]).alias("table"), "*") for i, df in ((0, g1), (1, g2), (3, g4))]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+DISTINCT_RANGE = (_dt.date(2024, 1, 3), _dt.date(2024, 1, 17))
+
+
+def q_distinct_over_dates(spark, d):
+    """G1's measures over a range of dates, from the daily bitmaps."""
+    return distinct_over_dates(spark, _lake_in_two_refreshes(spark, d), "daily_watch_time_by_country", *DISTINCT_RANGE)
+
+
+def q_stored_batch_metrics(spark, d):
+    """V5, live: the metrics stored with every micro-batch, added up."""
+    cfg = _lake(spark, d, "bronze", max_files_per_trigger=1)
+    compact_bronze(spark, cfg)
+    m = stored_metrics(spark, cfg.path("bronze", BRONZE_TABLE))
+    return m.agg(*[F.sum(c).alias(c) for c in ("messages", "bytes", "parsed", "failed")])
+
+
 # --------------------------------------------------------------------------
 # Pure operator queries
 # --------------------------------------------------------------------------
@@ -414,6 +494,8 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "to_wire": q_to_wire,
     "export_csv": q_export_csv,
     "compact_table": q_compact_table,
+    "zorder_table": q_zorder_table,
+    "merge_small_files": q_merge_small_files,
     # projections
     "kafka_metadata": q_kafka_metadata,
     "parse_json": q_parse_json,
@@ -437,7 +519,10 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "violation_counts": q_violation_counts,
     "session_audit": q_session_audit,
     "ingest_metrics": q_ingest_metrics,
+    "stored_batch_metrics": q_stored_batch_metrics,
     # gold
+    "gold_bitmaps": q_gold_bitmaps,
+    "distinct_over_dates": q_distinct_over_dates,
     "daily_watch_time_by_country": _g("daily_watch_time_by_country"),
     "top_content_by_watch_time": _g("top_content_by_watch_time"),
     "hourly_event_distribution": _g("hourly_event_distribution"),
@@ -460,6 +545,8 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "build_silver": q_build_silver,
     "build_gold": q_build_gold,
     "refresh_batch": q_refresh_batch,
+    "merge_silver_incremental": q_merge_silver_incremental,
+    "build_gold_incremental": q_build_gold_incremental,
 }
 
 
@@ -640,6 +727,20 @@ ORACLE: Dict[str, str] = {
     "to_wire": with_wire("SELECT kafka_key AS key, clean_value AS value FROM wire WHERE copy = 0"),
     "export_csv": with_silver(_EXPLORER),
     "compact_table": with_silver(_SILVER_SEL),
+    "zorder_table": with_silver(_SILVER_SEL),
+    "merge_small_files": with_wire(
+        f"SELECT 'silver' AS layer, * FROM ({_SILVER_SEL}) UNION ALL BY NAME SELECT 'bronze' AS layer, {_BRONZE_SEL} FROM bronze"),
+    "merge_silver_incremental": with_silver(_SILVER_SEL),
+    "build_gold_incremental": with_silver(_G_CONTENTS),
+    "gold_bitmaps": with_silver(" UNION ALL BY NAME ".join(
+        f"SELECT '{n}' AS \"table\", * FROM ({q})" for n, q in zip(GOLD_TABLES, (_G1, _G2, _G3, _G4)) if q != _G3)),
+    "distinct_over_dates": with_silver(
+        "SELECT country_code, CAST(sum(watch_seconds) AS BIGINT) AS total_watch_seconds, count(DISTINCT user_id) AS unique_users, "
+        "count(DISTINCT session_id) AS unique_sessions, count(*) AS event_count FROM silver "
+        f"WHERE event_date BETWEEN DATE '{DISTINCT_RANGE[0]}' AND DATE '{DISTINCT_RANGE[1]}' GROUP BY country_code"),
+    "stored_batch_metrics": with_wire(
+        f"SELECT CAST(sum(messages) AS BIGINT) AS messages, CAST(sum(bytes) AS BIGINT) AS bytes, "
+        f"CAST(sum(parsed) AS BIGINT) AS parsed, CAST(sum(failed) AS BIGINT) AS failed FROM ({_V5})"),
     "kafka_metadata": with_wire("SELECT kafka_key, kafka_partition, kafka_offset, kafka_timestamp FROM wire"),
     "parse_json": with_silver(f"SELECT {_EV} FROM silver"),
     "flatten_event": with_wire(f"SELECT {_BRONZE_SEL} FROM bronze"),

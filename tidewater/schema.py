@@ -51,8 +51,7 @@ REQUIRED_FIELDS = (
 )
 # JSON timestamp format on the wire: microseconds and an explicit offset.
 WIRE_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
-# ---------------------------------------------------------------------------
-
+# Fields of an event: name, type, declared nullability.
 EVENT_FIELDS = (
     ("event_id", T.StringType(), False),
     ("user_id", T.StringType(), False),
@@ -67,6 +66,7 @@ EVENT_FIELDS = (
     ("country_code", T.StringType(), False),
     ("event_timestamp", T.TimestampType(), False),
 )
+# ---------------------------------------------------------------------------
 
 # Declared nullability is documentation only: from_json makes every field
 # nullable (S1), so the check lives in V1, not in the schema.
@@ -88,3 +88,15 @@ WIRE_SCHEMA = T.StructType(
 KAFKA_COLUMNS = ("kafka_key", "kafka_partition", "kafka_offset", "kafka_timestamp")
 BRONZE_COLUMNS = KAFKA_COLUMNS + EVENT_COLUMNS + ("ingested_at",)
 SILVER_COLUMNS = BRONZE_COLUMNS + ("event_date", "event_hour", "transformed_at")
+#: Stored Bronze rows; readers name it, so reading lists folders and opens no file for its schema.
+BRONZE_SCHEMA = T.StructType(
+    [
+        T.StructField("kafka_key", T.StringType()),
+        T.StructField("kafka_partition", T.IntegerType()),
+        T.StructField("kafka_offset", T.LongType()),
+        T.StructField("kafka_timestamp", T.TimestampType()),
+        *[T.StructField(n, t) for n, t, _ in EVENT_FIELDS],
+        T.StructField("ingested_at", T.TimestampType()),
+    ]
+)
+BRONZE_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in BRONZE_SCHEMA)

@@ -14,7 +14,6 @@ on a local disk, HDFS or an object store.
 
 from __future__ import annotations
 
-import time
 import uuid
 from typing import Optional, Sequence
 
@@ -25,27 +24,28 @@ from ..config import LakeConfig
 _VERSION_PREFIX = "_v"
 
 
-def _fs(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
+    """(Hadoop file system, path) of ``path`` with the session's settings."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
+    fs, p = filesystem(spark, path)
     return bool(fs.exists(p))
 
 
 def path_size(spark: SparkSession, path: str) -> int:
-    """Bytes under a path (one metadata call, no data read)."""
-    fs, p = _fs(spark, path)
+    """Bytes under a path, from a listing of its files; no data is read."""
+    fs, p = filesystem(spark, path)
     if not fs.exists(p):
         return 0
     return int(fs.getContentSummary(p).getLength())
 
 
 def count_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> int:
-    fs, p = _fs(spark, path)
+    fs, p = filesystem(spark, path)
     it = fs.listFiles(p, True)
     n = 0
     while it.hasNext():
@@ -54,18 +54,20 @@ def count_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> int
     return n
 
 
-def committed_versions(spark: SparkSession, table_path: str) -> list:
-    """Committed version directories of a table, oldest first."""
-    fs, p = _fs(spark, table_path)
+def _version_names(spark: SparkSession, table_path: str) -> list:
+    fs, p = filesystem(spark, table_path)
     if not fs.exists(p):
         return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(_VERSION_PREFIX):
-            if fs.exists(st.getPath().suffix("/_SUCCESS")):
-                out.append(name)
-    return sorted(out)
+    names = (st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+    return sorted(n for n in names if n.startswith(_VERSION_PREFIX))
+
+
+def committed_versions(spark: SparkSession, table_path: str) -> list:
+    """Committed version directories of a table, oldest first."""
+    fs, _ = filesystem(spark, table_path)
+    jvm = spark.sparkContext._jvm
+    done = lambda n: fs.exists(jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}/{n}/_SUCCESS"))
+    return [n for n in _version_names(spark, table_path) if done(n)]
 
 
 def latest_path(spark: SparkSession, table_path: str) -> str:
@@ -75,16 +77,27 @@ def latest_path(spark: SparkSession, table_path: str) -> str:
     return f"{table_path.rstrip('/')}/{vs[-1]}"
 
 
-def _new_version() -> str:
-    # Sortable: milliseconds since epoch, then a random suffix against clashes.
-    return f"{_VERSION_PREFIX}{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
+def _number(version: str) -> int:
+    return int(version[len(_VERSION_PREFIX):].split("-")[0])
+
+
+def _new_version(spark: SparkSession, table_path: str) -> str:
+    """One more than the largest number there, committed or not: no clock decides which version
+    is the newest. The random suffix keeps two writers of the same number apart."""
+    names = [n for n in _version_names(spark, table_path)]
+    return f"{_VERSION_PREFIX}{max(map(_number, names), default=0) + 1:015d}-{uuid.uuid4().hex[:8]}"
 
 
 def _cleanup(spark: SparkSession, table_path: str, keep: int) -> None:
-    fs, _ = _fs(spark, table_path)
+    """Removes versions older than the last ``keep`` committed ones, failed ones among them."""
+    if keep <= 0:
+        return
+    fs, _ = filesystem(spark, table_path)
     jvm = spark.sparkContext._jvm
-    for name in committed_versions(spark, table_path)[:-keep] if keep > 0 else []:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}/{name}"), True)
+    kept = committed_versions(spark, table_path)[-keep:]
+    for name in _version_names(spark, table_path):
+        if kept and name < kept[0]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}/{name}"), True)
 
 
 def write_table(
@@ -104,7 +117,7 @@ def write_table(
             w = w.partitionBy(*partition_by)
         w.save(table_path)
         return table_path
-    target = f"{table_path.rstrip('/')}/{_new_version()}"
+    target = f"{table_path.rstrip('/')}/{_new_version(spark, table_path)}"
     w = df.write.format(cfg.table_format).mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -117,7 +130,11 @@ def read_path(spark: SparkSession, cfg: LakeConfig, table_path: str) -> DataFram
     """Latest committed version of a table (Delta: the table itself)."""
     if cfg.table_format == "delta":
         return spark.read.format("delta").load(table_path)
-    return spark.read.format(cfg.table_format).load(latest_path(spark, table_path))
+    from .swap import recover
+
+    latest = latest_path(spark, table_path)
+    recover(spark, latest)  # a replacement of partitions or files that was cut short
+    return spark.read.format(cfg.table_format).load(latest)
 
 
 def scratch_dir(spark: SparkSession, name: Optional[str] = None) -> str:

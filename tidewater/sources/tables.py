@@ -5,14 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import BRONZE_TABLE, SILVER_TABLE, LakeConfig
+from ..schema import BRONZE_DDL
 from ..sinks.storage import read_path
+from ..sinks.swap import recover
 
 
 def read_bronze(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
-    """Bronze is written by the streaming sink: reading the directory goes
-    through the sink's commit log, so only committed micro-batches are seen."""
+    """Bronze, all published micro-batches: a batch's folder appears by one rename."""
+    return read_bronze_batches(spark, cfg).drop("query", "batch")
+
+
+def read_bronze_batches(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
+    """Bronze with ``query`` and ``batch``, the ids it was published under (partition columns on
+    Parquet, so a filter on them prunes folders)."""
     path = cfg.path("bronze", BRONZE_TABLE)
-    return spark.read.format(cfg.table_format).load(path)
+    if cfg.table_format == "delta":
+        return spark.read.format("delta").load(path)
+    recover(spark, path)
+    return spark.read.schema(f"{BRONZE_DDL}{', raw_value string' if cfg.keep_raw_value else ''}, query string, batch long").format(cfg.table_format).load(path)
 
 
 def read_silver(spark: SparkSession, cfg: LakeConfig) -> DataFrame:

@@ -1,9 +1,11 @@
 """PL1 ingest_bronze, SNK1 bronze_stream_sink, SNK2 stream_lifecycle.
 
 A stateless stream: every micro-batch is the Bronze projection (parse and
-stamp) appended to the Bronze table. Exactly-once comes from the checkpoint
-(source offsets) plus the file sink's commit log; a restart on the same
-checkpoint resumes where it stopped and adds nothing twice.
+stamp) written by ``foreachBatch`` under its own id, together with its metrics,
+and published by one rename. The checkpoint holds the source offsets; a batch
+that is replayed after a stop finds its folder and adds nothing. There is no
+log of files that grows with the stream's age: readers list the batch folders,
+which compaction (SNK8) merges.
 """
 
 from __future__ import annotations
@@ -11,15 +13,71 @@ from __future__ import annotations
 import threading
 from typing import Optional
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..config import BRONZE_TABLE, LakeConfig
 from ..operators.wire import bronze_from_wire
+from ..sinks.storage import filesystem, path_exists
 
 DEFAULT_TRIGGER = "30 seconds"
 
+#: Folder of a batch's metrics inside the batch's own folder; hidden from readers of the rows.
+METRICS_FOLDER = "_metrics"
+
+
+def batch_folder(path: str, query_id: str, batch_id: int) -> str:
+    """A stream with a new checkpoint starts again at batch 0, so the query's id is part of the name."""
+    return f"{path.rstrip('/')}/query={query_id}/batch={batch_id}"
+
+
+def publish_batch(df: DataFrame, path: str, query_id: str, batch_id: int, fmt: str = "parquet") -> bool:
+    """Writes one micro-batch and its metrics under its id; False if it is there already.
+
+    Rows and metrics are staged and appear together by one rename, so a stop at
+    any moment leaves either the whole batch or nothing of it, and a replay of a
+    published batch adds nothing. Delta does the same by its transaction id.
+    """
+    spark = df.sparkSession
+    if fmt == "delta":
+        w = df.drop(_BYTES).withColumns({"query": F.lit(query_id), "batch": F.lit(batch_id).cast("long")}).write.format("delta").mode("append")
+        w.option("txnAppId", query_id).option("txnVersion", str(batch_id)).save(path)
+        return True
+    target = batch_folder(path, query_id, batch_id)
+    if path_exists(spark, target):
+        return False
+    staged = f"{path.rstrip('/')}/_staging-{query_id}-{batch_id}"
+    seen = Observation(f"batch_{batch_id}")
+    failed = F.col("event_id").isNull()
+    size = F.col(_BYTES) if _BYTES in df.columns else F.lit(None).cast("long")
+    rows = df.observe(
+        seen,
+        F.count(F.lit(1)).alias("messages"),
+        F.coalesce(F.sum(size), F.lit(0)).cast("long").alias("bytes"),
+        F.count_if(~failed).alias("parsed"),
+        F.count_if(failed).alias("failed"),
+    )
+    rows.drop(_BYTES).write.mode("overwrite").format(fmt).save(staged)
+    m = seen.get
+    metrics = spark.createDataFrame([(query_id, batch_id, m["messages"], m["bytes"], m["parsed"], m["failed"])], BATCH_METRICS)
+    metrics.coalesce(1).write.mode("overwrite").parquet(f"{staged}/{METRICS_FOLDER}")
+    fs, source = filesystem(spark, staged)
+    _, final = filesystem(spark, target)
+    fs.mkdirs(final.getParent())
+    if not fs.rename(source, final):
+        raise RuntimeError(f"could not publish batch {batch_id} as {target}")
+    return True
+
+
+BATCH_METRICS = "query string, batch long, messages long, bytes long, parsed long, failed long"
+_BYTES = "_wire_bytes"
+
+
+def stored_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """V5, live: the metrics of every published batch, one row each, from the batches' own folders."""
+    return spark.read.schema(BATCH_METRICS).parquet(f"{path.rstrip('/')}/query=*/batch=*/{METRICS_FOLDER}")
+
 
 def start_bronze(
     df: DataFrame,
@@ -29,34 +87,35 @@ def start_bronze(
     fmt: str = "parquet",
     query_name: Optional[str] = None,
 ) -> StreamingQuery:
-    """SNK1: append micro-batches with a durable checkpoint.
+    """SNK1: publish micro-batches with a durable checkpoint, each one once (``publish_batch``).
 
     ``trigger="available_now"`` processes everything available (in
     rate-limited batches) and stops: replays and tests.
     """
-    w = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        publish_batch(batch, path, batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"), batch_id, fmt)
+
+    w = df.writeStream.foreachBatch(publish).outputMode("append").option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
     if trigger == "available_now":
         w = w.trigger(availableNow=True)
     elif trigger:
         w = w.trigger(processingTime=trigger)
-    return w.start(path)
+    return w.start()
 
 
 # Name of the per-micro-batch metrics in ``StreamingQueryProgress.observedMetrics``.
 LIVE_METRICS = "ingest_live"
 
 
-_BYTES = "_wire_bytes"
-
-
 def live_metrics(bronze: DataFrame) -> DataFrame:
     """V5, live: messages, bytes, parsed and failed of every micro-batch.
 
     Taken with ``observe`` on the Bronze projection itself (needs the
-    ``_wire_bytes`` column, dropped here): a side aggregate of the batch, no
-    second JSON parse, no shuffle. Spark reports the values in
+    ``_wire_bytes`` column): a side aggregate of the batch, no
+    second JSON parse, no shuffle. ``publish_batch`` stores the same values with
+    the batch; these are for watching a query as it runs. Spark reports them in
     ``query.lastProgress`` and to any ``StreamingQueryListener`` as
     ``observedMetrics[LIVE_METRICS]``.
     """
@@ -67,7 +126,7 @@ def live_metrics(bronze: DataFrame) -> DataFrame:
         F.coalesce(F.sum(_BYTES), F.lit(0)).cast("long").alias("bytes"),
         F.count_if(~failed).alias("parsed"),
         F.count_if(failed).alias("failed"),
-    ).drop(_BYTES)
+    )
 
 
 METRICS_SCHEMA = (
