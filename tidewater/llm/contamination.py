@@ -20,7 +20,9 @@ of fewer words is one shorter shingle, looked up as such).
 4. Candidates are verified by the exact intersection of shingle sets.
 
 The items' distinct shingles are broadcast when there are at most
-``broadcast_rows`` of them (about 100 bytes each), else joined by shuffle.
+``broadcast_rows`` of them (about 100 bytes each), else joined by shuffle: then
+the documents' shingles travel as (id, place, hash), and the words behind equal
+hashes are compared where the document lies.
 
 Defined cases: null and empty texts contain nothing, null and empty items are
 contained in nothing; rows that repeat an id are one document (or item); rows
@@ -112,8 +114,15 @@ def contained_items(
     hits = []
     for (size,) in sorted(universe.select("size").distinct().collect()):
         wanted = universe.filter(F.col("size") == size).select("key", "shingle", "sid")
-        found = shingles(named, size).join(F.broadcast(wanted) if small else wanted, "key")
-        hits.append(found.filter(F.concat_ws(" ", F.slice("w", F.col("at") + 1, size)) == F.col("shingle")).select("id", "sid"))
+        own = F.concat_ws(" ", F.slice("w", F.col("at") + 1, size))
+        if small:
+            found = shingles(named, size).join(F.broadcast(wanted), "key").filter(own == F.col("shingle"))
+        else:
+            # Only hashes are shuffled; the words of what met are compared in a second join.
+            met = shingles(named, size).select("id", "at", "key").join(wanted, "key").drop("key")
+            met = met.groupBy("id").agg(F.collect_list(F.struct("at", "shingle", "sid")).alias("met"))
+            found = named.join(met, "id").select("id", "w", F.explode("met").alias("m")).select("id", "w", "m.*").filter(own == F.col("shingle"))
+        hits.append(found.select("id", "sid"))
     schema = "doc_id long, item_id long, shared long, item_shingles long, containment double"
     if not hits:
         return spark.createDataFrame([], schema)
@@ -152,6 +161,11 @@ def contained_items(
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that contain an item; rows with a null id stay."""
-    leaks = contained_items(docs, items, threshold, id_col=id_col, text_col=text_col)
-    return docs.join(leaks.select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_anti").select(*docs.columns)
+    """``docs`` without the rows whose text contains an item.
+
+    Texts stand for themselves here (by their 64-bit hash), so null and repeated
+    ids are judged like others, and copies once.
+    """
+    own = docs.withColumn("_hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    leaks = contained_items(own, items, threshold, id_col="_hash", text_col=text_col)
+    return own.join(leaks.select(F.col("doc_id").alias("_hash")).distinct(), "_hash", "left_anti").select(*docs.columns)

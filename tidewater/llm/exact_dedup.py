@@ -22,7 +22,7 @@ import heapq
 from typing import Dict, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, saved, texts
@@ -78,11 +78,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
     tagged = digests.join(F.broadcast(winners), "digest", "left")
     heavy = tagged.filter("heavy").select("doc_id", "digest", "keep_id", "group_size")
-    w = Window.partitionBy("digest")
-    light = (
-        digests.join(F.broadcast(candidates), "digest", "left_anti")
-        .select("doc_id", "digest", F.max("doc_id").over(w).alias("keep_id"), F.count(F.lit(1)).over(w).alias("group_size"))
-    )
+    rest = digests.join(F.broadcast(candidates), "digest", "left_anti")
+    groups = rest.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    light = rest.join(groups, "digest").select("doc_id", "digest", "keep_id", "group_size")
     return heavy.unionByName(light).select(
         "doc_id",
         "keep_id",
@@ -93,6 +91,14 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 1000) -> DataFrame:
-    """``docs`` without the rows that ``exact_duplicates`` drops; rows with a null id stay."""
-    dropped = exact_duplicates(docs, id_col, text_col, k).filter("NOT kept AND doc_id IS NOT NULL")
-    return docs.join(dropped.select(F.col("doc_id").alias(id_col)), id_col, "left_anti").select(*docs.columns)
+    """``docs`` with one row of every text: that with the largest id (a null id sorts below every id).
+
+    Rows are told apart by id and text, so one id on two texts keeps both; of rows
+    that repeat the id and the text, one stays (which one is open where their
+    other columns differ).
+    """
+    stay = exact_duplicates(docs, id_col, text_col, k).filter("kept").select(F.col("text_sha256").alias("_digest"), F.col("doc_id").alias("_id")).distinct()
+    own = docs.withColumns({"_digest": F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256), "_id": F.col(id_col).cast("long")})
+    own = own.dropDuplicates(["_digest", "_id"]).alias("own")
+    same = (F.col("own._digest") == F.col("stay._digest")) & F.col("own._id").eqNullSafe(F.col("stay._id"))
+    return own.join(stay.alias("stay"), same, "left_semi").select(*docs.columns)

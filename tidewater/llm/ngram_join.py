@@ -26,9 +26,10 @@ its component), n_links (other documents at or above the threshold, copies
 included), copies (documents with the same set, itself included).
 
 Defined cases: null and empty texts have no shingle, no links and a class of
-their own; a null id counts among its class's copies but a class with only null
-ids links to nothing and has a null class_id; rows that repeat an id count as
-copies; other columns are ignored; an empty table gives an empty result.
+their own; a null id counts among its class's copies, and a class with only null
+ids is linked like others and named by the smallest id of its group, null where
+there is none; rows that repeat an id with the same set count as copies, an id
+on two texts is judged by each of them; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, slices, split_words, texts
+from .common import ASCII_SPACE, saved, slices, split_words, texts
 from .graph import components
 
 WORDS, HASHES, ROWS = 5, 128, 4
@@ -245,7 +246,8 @@ def smallest_in_group(node: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndar
 
 
 def signed_texts(rows: DataFrame) -> DataFrame:
-    """Saved (doc_id, n, digest, sig) of every text."""
+    """Saved (doc_id, text_hash, n, digest, sig) of every text; id and hash tell rows apart."""
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -254,19 +256,20 @@ def signed_texts(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": b.column("doc_id"),
+                    "text_hash": b.column("text_hash"),
                     "n": pa.array([len(s) for s in sets], pa.int64()),
                     "digest": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                     "sig": pa.array([s.tobytes() for s in sig], pa.binary()),
                 }
             )
 
-    return saved(rows.mapInArrow(sign, "doc_id long, n long, digest binary, sig binary"), "signatures")
+    return saved(rows.mapInArrow(sign, "doc_id long, text_hash long, n long, digest binary, sig binary"), "signatures")
 
 
 def linked(rows: DataFrame, classes: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     """Saved (cid, links, root): for each class and block pair with a link, the copies linked and the group's smallest class."""
     steps = least_matches(threshold, tolerance)
-    real = classes.filter("n > 0 AND rep IS NOT NULL")
+    real = classes.filter("n > 0")
     # Static values for the closures below; the tables stay lazy.
     keyed = real.select("cid", "n", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.substring("sig", i * 8 + 1, F.lit(8)))).alias("band", "key"))
     buckets = keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles")).filter("members > 1")
@@ -290,8 +293,10 @@ def linked(rows: DataFrame, classes: DataFrame, threshold: float, tolerance: flo
     schema = "cid long, band int, key binary, lo int, hi int, block int"
     kept = saved(grouped.select("cid", *group, "block", "sig").mapInArrow(prune, schema), "kept")
 
-    wanted = kept.select("cid").distinct().join(real, "cid").select("cid", F.col("rep").alias("doc_id"), "copies", "sig")
-    texts_of = saved(rows.filter("doc_id IS NOT NULL").join(wanted, "doc_id").select("cid", "copies", "sig", "text").dropDuplicates(["cid"]), "texts")
+    # The class's own text: by id and hash, since an id may occur with other texts too, or be null.
+    wanted = kept.select("cid").distinct().join(real, "cid").select("cid", "rep", "rep_hash", "copies", "sig")
+    mine = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.xxhash64("text") == F.col("rep_hash"))
+    texts_of = saved(rows.join(wanted, mine).select("cid", "copies", "sig", "text").dropDuplicates(["cid"]), "texts")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_runs(batches, "text"):
@@ -315,24 +320,26 @@ def linked(rows: DataFrame, classes: DataFrame, threshold: float, tolerance: flo
     return saved(grouped.select("cid", *group, "block", "copies", "sig", "text").mapInArrow(verify, "cid long, links long, root long"), "links")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, tolerance: float = TOLERANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_id, n_links, copies, n_shingles; one row per input row."""
+def _grouped(docs: DataFrame, threshold: float, tolerance: float, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text_hash, root (of the group; null: none), class_id, n_links, copies, n_shingles, digest; one row per input row."""
     rows = texts(docs, id_col, text_col)
     signed = signed_texts(rows)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n", "sig")).alias("first")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "n", "sig")).alias("first")
     classes = signed.groupBy("digest").agg(first, F.count(F.lit(1)).alias("copies"))
-    classes = saved(classes.select(F.monotonically_increasing_id().alias("cid"), "digest", "copies", F.col("first.doc_id").alias("rep"), "first.n", "first.sig"), "classes")
+    classes = saved(classes.select(F.monotonically_increasing_id().alias("cid"), "digest", "copies", F.col("first.doc_id").alias("rep"), F.col("first.text_hash").alias("rep_hash"), "first.n", "first.sig"), "classes")
     links = linked(rows, classes, threshold, tolerance)
     roots = components(links.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     named = roots.join(classes.select(F.col("cid").alias("node"), "rep"), "node")
     names = named.groupBy("root").agg(F.min("rep").alias("class_id"))
-    per_class = roots.join(names, "root").select(F.col("node").alias("cid"), "class_id")
+    per_class = roots.join(names, "root").select(F.col("node").alias("cid"), "root", "class_id")
     counts = links.groupBy("cid").agg(F.sum("links").alias("links"))
     known = classes.select("cid", "digest", "copies", "rep").join(per_class, "cid", "left").join(counts, "cid", "left")
-    out = signed.select("doc_id", "n", "digest").join(known, "digest")
+    out = signed.select("doc_id", "text_hash", "n", "digest").join(known, "digest")
     empty = F.col("n") == 0
     return out.select(
         "doc_id",
+        "text_hash",
+        F.when(~empty, F.coalesce("root", "cid")).alias("root"),
         F.when(empty, F.col("doc_id")).otherwise(F.coalesce("class_id", "rep")).alias("class_id"),
         F.when(empty, F.lit(0)).otherwise(F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"),
         F.when(empty, F.lit(1)).otherwise(F.col("copies")).cast("long").alias("copies"),
@@ -340,7 +347,24 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, tolerance: float =
     )
 
 
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, tolerance: float = TOLERANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, class_id, n_links, copies, n_shingles; one row per input row."""
+    return _grouped(docs, threshold, tolerance, id_col, text_col).drop("text_hash", "root")
+
+
 def drop_near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document (the smallest id) of each group; rows with a null id stay."""
-    gone = near_duplicates(docs, threshold, id_col=id_col, text_col=text_col).filter("doc_id <> class_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    """``docs`` with one row of each group: that with the smallest id (null ids last, then by text).
+
+    Rows are told apart by id and text, so null and repeated ids are judged like
+    others; of rows that repeat both, one stays. Texts without words all stay.
+    """
+    rows = _grouped(docs, threshold, TOLERANCE, id_col, text_col).filter("root IS NOT NULL")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
+    stay = rows.groupBy("root").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"), F.lit(True).alias("_stays"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    own = docs.withColumns({"_hash": F.xxhash64(text), "_id": F.col(id_col).cast("long")})
+    wordless = ~text.rlike(f"[^{ASCII_SPACE[1:-2]}]")
+    full = own.filter(~wordless).dropDuplicates(["_hash", "_id"]).alias("own")
+    same = (F.col("own._hash") == F.col("stay._hash")) & F.col("own._id").eqNullSafe(F.col("stay._id"))
+    full = full.join(stay.alias("stay"), same, "left_semi")
+    return full.select(*docs.columns).unionByName(own.filter(wordless).select(*docs.columns))
