@@ -16,11 +16,12 @@ records (its line separator is the run of zero bytes at a record's end), so
 any file system that Spark can write will do, and a lost task is repeated by
 the ordinary commit protocol.
 
-The documents are tokenised twice: once to count, because the permutation
-needs the number of sequences, and once to write. Storing the ids in between
-would cost one more copy of them on disk than the passes cost time. Both
-passes must see the same rows in the same partitions (a table scan does); the
-second checks its counts against the first and fails when they differ.
+The documents are tokenised once: the sequences of each input partition go to
+a table in the shared folder, numbered within their partition. The permutation
+needs the number of all sequences, so one row per partition (its count) passes
+the driver before the table is read again, numbered through, and dealt to
+shards. What was cut stays as it was cut, whatever partitions a later scan or a
+repeated task sees.
 
 Defined cases: null and empty texts give the end id alone; a null id is
 written as the smallest long; repeated rows are repeated; other columns are
@@ -39,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, slices, texts
+from .common import partition_bases, saved, slices, texts
 from .tokens import encoder
 
 ROUNDS = 6
@@ -96,19 +97,51 @@ def stride_of(length: int, width: int) -> int:
     return 28 + length * width + 4
 
 
-def _count(docs: DataFrame, path: str) -> List[Tuple[int, int, int]]:
-    """(partition, rows, tokens) of every partition that has rows."""
+SEQUENCES = "part int, place long, first_doc_id long, first_start long, n_tokens long, body binary"
+
+
+def sequences(docs: DataFrame, path: str, length: int, end_id: int) -> DataFrame:
+    """Saved table of the sequences of (doc_id, text): their partition and place in it, the first
+    piece's document and offset, the number of ids before padding, and all ids as bytes."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e, part = encoder(path), TaskContext.get().partitionId()
+        end = np.array([end_id], e.dtype)
+        held: List[Tuple[int, int, np.ndarray]] = []  # (doc_id, start, ids) not yet written
+        kept, place = 0, 0
+
+        def rows(done: List[List[Tuple[int, int, np.ndarray]]]) -> pa.RecordBatch:
+            nonlocal place
+            sizes = [sum(len(p[2]) for p in pieces) for pieces in done]
+            pad = [np.full(length - n, end_id, e.dtype) for n in sizes]
+            place += len(done)
+            return pa.RecordBatch.from_pydict(
+                {
+                    "part": pa.array(np.full(len(done), part, np.int32)), "place": pa.array(np.arange(place - len(done), place)),
+                    "first_doc_id": pa.array([p[0][0] for p in done], pa.int64()), "first_start": pa.array([p[0][1] for p in done], pa.int64()),
+                    "n_tokens": pa.array(sizes, pa.int64()),
+                    "body": pa.array([np.concatenate([*(p[2] for p in pieces), z]).tobytes() for pieces, z in zip(done, pad)], pa.binary()),
+                }
+            )
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e, rows, tokens = encoder(path), 0, 0
         for b in slices(batches):
-            rows += b.num_rows
-            tokens += b.num_rows + int(e.count_batch(b.column("text")).sum())
-        if rows:
-            part = TaskContext.get().partitionId()
-            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "n": [rows], "tokens": [tokens]})
+            ids, ends = e.encode_batch(b.column("text"))
+            done: List[List[Tuple[int, int, np.ndarray]]] = []
+            for i, doc_id in enumerate(b.column("doc_id").to_pylist()):
+                own, at = np.concatenate([ids[ends[i] : ends[i + 1]], end]), 0
+                while at < len(own):
+                    piece = own[at : at + length - kept]
+                    held.append((NO_ID if doc_id is None else doc_id, at, piece))
+                    at, kept = at + len(piece), kept + len(piece)
+                    if kept == length:
+                        done.append(held)
+                        held, kept = [], 0
+            if done:
+                yield rows(done)
+        if held:
+            yield rows([held])
 
-    return sorted(tuple(r) for r in docs.mapInArrow(count, "part int, n long, tokens long").collect())
+    return saved(docs.mapInArrow(cut, SEQUENCES), "sequences")
 
 
 def materialise(
@@ -124,64 +157,38 @@ def materialise(
 ) -> dict:
     """Writes ``out_dir``/shards/shard=N/ and ``out_dir``/manifest; returns the manifest."""
     spark = docs.sparkSession
-    rows = texts(docs, id_col, text_col)
-    counts = _count(rows, path)  # one row per partition, however many rows it has
-    plan, total = {}, 0
-    for part, n, tokens in counts:
-        plan[part] = (total, n, tokens)
-        total += -(-tokens // length)
+    cut = sequences(texts(docs, id_col, text_col), path, length, end_id)
+    # One row per partition, however many sequences it has.
+    sizes = cut.groupBy("part").agg((F.max("place") + 1).alias("n"))
+    bases = partition_bases(sizes, "part", "n")
+    total = cut.count()
     width = encoder(path).dtype.itemsize
     manifest = {
         "sequences": total, "length": length, "id_bytes": width, "per_shard": per_shard, "seed": seed, "rounds": ROUNDS,
         "stride": stride_of(length, width), "end_id": end_id, "shards": -(-total // per_shard),
     }
-    given = spark.sparkContext.broadcast(plan)
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e, part = encoder(path), TaskContext.get().partitionId()
-        base, rows_due, tokens_due = given.value.get(part, (0, 0, 0))
-        end = np.array([end_id], e.dtype)
-        held: List[Tuple[int, int, np.ndarray]] = []  # (doc_id, start, ids) not yet written
-        kept, rows_seen, tokens_seen, index = 0, 0, 0, base
-
-        def record(pieces: List[Tuple[int, int, np.ndarray]]) -> bytes:
-            nonlocal index
-            ids = np.concatenate([p[2] for p in pieces])
-            n = len(ids)
-            body = np.concatenate([ids, np.full(length - n, end_id, e.dtype)]).tobytes()
-            head = np.array([index], "<u8").tobytes() + np.array([pieces[0][0]], "<i8").tobytes()
-            head += np.array([pieces[0][1], n, zlib.crc32(body)], "<u4").tobytes()
-            index += 1
-            return head + body
-
-        def batch(records: List[bytes]) -> pa.RecordBatch:
-            slot = slot_of(np.arange(index - len(records), index), total, seed)
-            return pa.RecordBatch.from_pydict({"slot": pa.array(slot), "shard": pa.array(slot // per_shard), "record": pa.array(records, pa.binary())})
-
-        for b in slices(batches):
-            ids, ends = e.encode_batch(b.column("text"))
-            records: List[bytes] = []
-            for i, doc_id in enumerate(b.column("doc_id").to_pylist()):
-                own = np.concatenate([ids[ends[i] : ends[i + 1]], end])
-                rows_seen, tokens_seen, at = rows_seen + 1, tokens_seen + len(own), 0
-                while at < len(own):
-                    piece = own[at : at + length - kept]
-                    held.append((NO_ID if doc_id is None else doc_id, at, piece))
-                    at, kept = at + len(piece), kept + len(piece)
-                    if kept == length:
-                        records.append(record(held))
-                        held, kept = [], 0
-            if records:
-                yield batch(records)
-        if held:
-            yield batch([record(held)])
-        if (rows_seen, tokens_seen) != (rows_due, tokens_due):
-            raise RuntimeError(f"partition {part} changed between the passes: {rows_due, tokens_due} then {rows_seen, tokens_seen}")
+    def record(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            column = lambda c, kind: b.column(c).to_numpy(zero_copy_only=False).astype(kind)
+            index = column("index", np.int64)
+            body = b.column("body").to_pylist()
+            head = np.empty((len(body), 28), np.uint8)
+            head[:, :8] = index.astype("<u8")[:, None].view(np.uint8)
+            head[:, 8:16] = column("first_doc_id", "<i8")[:, None].view(np.uint8)
+            head[:, 16:20] = column("first_start", "<u4")[:, None].view(np.uint8)
+            head[:, 20:24] = column("n_tokens", "<u4")[:, None].view(np.uint8)
+            head[:, 24:] = np.array([zlib.crc32(x) for x in body], "<u4")[:, None].view(np.uint8)
+            slot = slot_of(index, total, seed)
+            yield pa.RecordBatch.from_pydict(
+                {"slot": pa.array(slot), "shard": pa.array(slot // per_shard), "record": pa.array([h.tobytes() + x for h, x in zip(head, body)], pa.binary())}
+            )
 
     if total:
         tasks = min(manifest["shards"], max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-manifest["shards"] // 64)))
         each = -(-manifest["shards"] // tasks)
-        records = rows.mapInArrow(write, "slot long, shard long, record binary")
+        numbered = cut.join(F.broadcast(bases), "part").withColumn("index", F.col("base") + F.col("place"))
+        records = numbered.select("index", "first_doc_id", "first_start", "n_tokens", "body").mapInArrow(record, "slot long, shard long, record binary")
         # Ranges of shards, known beforehand: no sampling pass.
         dealt = records.repartitionById(tasks, (F.col("shard") / F.lit(each)).cast("int")).sortWithinPartitions("shard", "slot")
         dealt.select("shard", F.col("record").cast("string").alias("value")).write.partitionBy("shard").option("lineSep", "\0" * 4).text(f"{out_dir}/shards")
