@@ -50,7 +50,9 @@ from .common import WorkerCache, ragged, saved, slices, split_words
 from .fm_index import FMIndex, runs
 
 #: Words of a shard, and different segments of one minimiser before it is dealt by windows.
-SHARD_WORDS, LIMIT = 1_000_000, 4_096
+SHARD_WORDS, LIMIT = 400_000, 2_048
+#: Bytes of text that a map task hashes at a time.
+SLICE = 6 << 20
 PLACES = "doc_id long, text_hash long, start int, windows int, key long, digest long"
 
 
@@ -106,7 +108,7 @@ def segments(docs: DataFrame, length: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WorkerCache(lambda w: xxhash.xxh3_128_digest(w))
-        for b in slices(batches):
+        for b in slices(batches, size=SLICE):
             codes, offsets, words = split_words(b.column("text"))
             n = len(codes)
             if n < length:
@@ -137,7 +139,7 @@ def single_windows(docs: DataFrame, places: DataFrame, length: int) -> DataFrame
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WorkerCache(lambda w: xxhash.xxh3_128_digest(w))
-        for b in slices(batches):
+        for b in slices(batches, size=SLICE):
             codes, offsets, words = split_words(b.column("text"))
             first, second = _hashed(words, codes, cache)
             spans = b.column("spans")
