@@ -6,14 +6,16 @@ written as Parquet and read again in between, so each works on all its
 predecessor kept and a lost executor costs no more than its stage.
 
 1. toxicity: documents predicted toxic go (learnt from ``labels`` outside the held-out fold).
-2. exact dedup: of equal texts (A-Z lower-cased) the largest doc_id stays.
-3. n-gram Jaccard join: of each group of near-duplicates the smallest doc_id stays.
+2. exact dedup: of equal texts (A-Z lower-cased) the row with the largest doc_id stays.
+3. n-gram Jaccard join: of each group of near-duplicates the row with the smallest doc_id stays.
 4. benchmark decontamination: documents that contain a benchmark item go.
 5. packing: the rest as sequences of 2,048 tokens along a Hilbert curve.
 
-Defined cases: rows with a null doc_id can't be told apart by a stage that names
-documents and stay; ids are taken to name documents, so rows that repeat an id
-share its decisions; null texts count as empty; an empty table gives no pieces.
+Defined cases: the stages judge rows by id and text, so rows with a null doc_id
+are judged like others (a null id sorts below every id among equal texts, behind
+every id among near ones), and an id on two texts is judged by each of them; of
+rows that repeat an id and its text one stays; null texts count as empty; an
+empty table gives no pieces.
 """
 
 from __future__ import annotations
