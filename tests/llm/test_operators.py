@@ -12,6 +12,7 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidewater.llm import (
@@ -346,69 +347,139 @@ def test_forward_recursion_is_a_distribution():
     m = lm_hmm.Model(rng.dirichlet(np.ones(k)), rng.dirichlet(np.ones(k), k), rng.dirichlet(np.ones(s), k).T)
     seqs = [np.array([*p, 3]) for n in range(4) for p in itertools.product(range(3), repeat=n)]
     got = 10 ** m.log10(seqs)
-    for x, p in zip(seqs, got):
-        want = sum(m.start[z[0]] * np.prod([m.move[a, b] for a, b in zip(z, z[1:])]) * np.prod([m.emit[y, q] for y, q in zip(x, z)]) for z in itertools.product(range(k), repeat=len(x)))
-        assert math.isclose(p, want, rel_tol=1e-9)
+    states = {}
+    for i, (x, p) in enumerate(zip(seqs, got)):
+        paths = {z: m.start[z[0]] * np.prod([m.move[a, b] for a, b in zip(z, z[1:])]) * np.prod([m.emit[y, q] for y, q in zip(x, z)]) for z in itertools.product(range(k), repeat=len(x))}
+        assert math.isclose(p, sum(paths.values()), rel_tol=1e-9)
+        states[i] = {z: w / p for z, w in paths.items()}
     assert got.sum() < 1
+    # Expected counts equal the sums over all paths.
+    want_emit, want_move, want_start = np.zeros((s, k)), np.zeros((k, k)), np.zeros(k)
+    for i, x in enumerate(seqs):
+        for z, w in states[i].items():
+            want_start[z[0]] += w
+            for y, q in zip(x, z):
+                want_emit[y, q] += w
+            for a, b in zip(z, z[1:]):
+                want_move[a, b] += w
     emit, move, start = np.zeros((s, k)), np.zeros((k, k)), np.zeros(k)
-    m.expected(seqs, emit, move, start)
-    assert np.allclose(emit.sum(axis=1), np.bincount(np.concatenate(seqs), minlength=s)) and math.isclose(start.sum(), len(seqs))
+    likelihood = m.expected(seqs, emit, move, start)
+    assert np.allclose(emit, want_emit) and np.allclose(move, want_move) and np.allclose(start, want_start)
+    assert math.isclose(likelihood, np.log10(got).sum())
+
+
+def test_long_texts_carry_the_forward_variable_over_borders():
+    rng = np.random.default_rng(6)
+    m = lm_hmm.Model(rng.dirichlet(np.ones(4)), rng.dirichlet(np.ones(4), 4), rng.dirichlet(np.ones(9), 4).T)
+    seqs = [rng.integers(0, 9, n) for n in (1, 7, 64, 65, 300, 1000)]
+    assert np.allclose(m.log10(seqs, stretch=64), m.log10(seqs, stretch=10_000), rtol=1e-12)
+    sums = []
+    for stretch in (64, 10_000):
+        emit, move, start = np.zeros((9, 4)), np.zeros((4, 4)), np.zeros(4)
+        m.expected(seqs, emit, move, start, stretch)
+        sums.append((emit, move, start))
+        assert np.allclose(emit.sum(axis=1), np.bincount(np.concatenate(seqs), minlength=9)) and math.isclose(start.sum(), len(seqs))
+        assert math.isclose(move.sum(), sum(len(q) - 1 for q in seqs))  # no step is lost at a border
+    assert all(abs(a - b).max() < 0.05 * b.max() for a, b in zip(*sums))
+
+
+def _held(i):
+    return i is not None and zlib.crc32(str(i).encode()) % 7 == 2
 
 
 def test_language_model(sp, odd, none, monkeypatch):
     docs = docs_of(sp)
     text = {r.doc_id: words(r.text) + [None] for r in docs.collect()}
-    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in text}
-    c = Counter(w for i, t in text.items() if not held[i] for w in t)
+    c = Counter(w for i, t in text.items() if not _held(i) for w in t)
     n, v = sum(c.values()), len(c)
-    monkeypatch.setattr(lm_hmm, "BROADCAST", 3_000)  # the rest goes through the shuffle
-    got = lm_hmm.lm_scores(docs, warm=2, rounds=2).collect()
+    monkeypatch.setattr(lm_hmm, "BLOCK_TOKENS", 20_000)  # several blocks and shards
+    monkeypatch.setattr(lm_hmm, "SHARD_BYTES", 100_000)
+    got = lm_hmm.lm_scores(docs, rounds=3, gain=-1).collect()
+    assert len(got) == len(text)
     for r in got:
         t = text[r.doc_id]
-        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(t), sum(c[w] > 0 for w in t), n)
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (_held(r.doc_id), len(t), sum(c[w] > 0 for w in t), n)
         assert math.isclose(r.base_score, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t), rel_tol=1e-9)
     assert sum(r.score for r in got if r.held_out) > sum(r.base_score for r in got if r.held_out)
-    rows = lm_hmm.lm_scores(odd, warm=1, rounds=1).collect()
+    rows = lm_hmm.lm_scores(odd, rounds=1).collect()
     assert len(rows) == len(TEXTS) and all(r.score < 0 for r in rows) and [r.n_tokens for r in sorted(rows, key=lambda r: r.doc_id or 99)][:2] == [1, 1]
-    assert lm_hmm.lm_scores(none, warm=1, rounds=1).collect() == []
-
-
-def test_every_round_sees_all_learning_texts(sp, monkeypatch):
-    seen, real = [], lm_hmm.reestimated
-    monkeypatch.setattr(lm_hmm, "reestimated", lambda rows, *a: seen.append(rows.count()) or real(rows, *a))
-    docs = sp.createDataFrame([(None, "a b a b")] * 3 + [(None, "c d c d")] * 3, "doc_id long, text string")
-    lm_hmm.lm_scores(docs).collect()
-    assert len(seen) == 8 and set(seen) == {6}
-
-
-def test_rare_words_have_states_and_classes_grow(sp, monkeypatch):
-    rng = np.random.default_rng(4)
-    text = lambda topics, n: " ".join(f"{a}{rng.integers(30)}" for a in np.repeat(topics, n // len(topics)))
-    docs = [(None, text("ab"[i % 2], 60)) for i in range(300)]
-    even = [(None, " ".join(f"{a}{i}" for i in range(30))) for a in "ab"] * 20  # every word occurs
-    held = [i for i in range(1, 99) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
-    tests = [(held[0], " ".join(f"a{i % 30}" for i in range(40))), (held[1], " ".join(f"{'ab'[i % 2]}{i % 30}" for i in range(40)))]
-    df = sp.createDataFrame(docs + even + tests, "doc_id long, text string")
-    monkeypatch.setattr(lm_hmm, "HEAD", 4)
-    monkeypatch.setattr(lm_hmm, "PER_CLASS", 1)
-    monkeypatch.setattr(lm_hmm, "BROADCAST", 20)  # beyond the head, words with and without a broadcast count
-    got = {r.doc_id: r for r in lm_hmm.lm_scores(df).filter("held_out").collect()}
-    own, mixed = got[held[0]], got[held[1]]
-    # One symbol for all rare words gives either text the same likelihood, up to the words' own shares.
-    assert own.score - own.base_score > mixed.score - mixed.base_score + 3
-    monkeypatch.setattr(lm_hmm, "PER_CLASS", 16)
+    assert lm_hmm.lm_scores(none).collect() == []
+    held = next(i for i in range(99) if _held(i))
+    (r,) = lm_hmm.lm_scores(_rows(sp, [(held, "never learnt")])).collect()
+    assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) == (True, 3, 0, 0, 0.0, 0.0)
+
+
+def test_sharded_rounds_equal_rounds_in_one_place(sp, monkeypatch):
+    """Two Baum-Welch rounds over blocks and shards give the scores of a plain recomputation with dictionaries."""
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(rng.choice([f"a{j}" for j in range(12)] + [f"b{j}" for j in range(12)], rng.integers(0, 40)))) for i in range(1, 60)]
+    rows += [(None, "rare1 a1 rare2"), (500, "a1 unseen b1")]
+    monkeypatch.setattr(lm_hmm, "BLOCK_TOKENS", 150)
+    monkeypatch.setattr(lm_hmm, "SHARD_BYTES", 500)
+    kept = {}
+    real = lm_hmm.trained
+    monkeypatch.setattr(lm_hmm, "trained", lambda table, shards, t, *a: kept.update(shards=shards, first=lm_hmm.first_counts(shards), out=real(table, shards, t, *a)) or kept["out"])
+    df = _rows(sp, rows)
+    scores = {r.doc_id: r.score for r in lm_hmm.lm_scores(df, rounds=2, gain=-1).collect()}
+    k = lm_hmm.STATES
+    learn = [(i, t.split()) for i, t in rows if not _held(i)]
+    c = Counter(w for _, t in learn for w in t)
+    # The first counts of each word, by shard and row; then everything in dictionaries.
+    first, shards = {}, -(-sum(len(t) for _, t in rows) // 500)
+    import xxhash
+
+    state = {r.shard: np.frombuffer(r.counts, np.float32).reshape(-1, k) for r in kept["first"].collect()}
+    vocabulary = {}
+    for row in kept["shards"].filter("block >= 0").collect():
+        vocabulary[row.shard, row.block] = np.frombuffer(row["at"], np.int32)
+    own = [w for w in c if c[w] >= lm_hmm.OWN]
+    by_shard = defaultdict(list)
+    for w in own:
+        by_shard[xxhash.xxh64_intdigest(w.encode()) % shards].append(w)
+    assert {p: len(x) for p, x in state.items() if len(x)} == {p: len(x) for p, x in by_shard.items()}
+    # Rows of a shard's words by their counts: the first counts are c / STATES times a word's own factors.
+    rest = lambda w: lm_hmm.class_of([w.encode()])[0]
+    others = np.ones(lm_hmm.CLASSES)
+    for w in c:
+        if w not in own:
+            others[rest(w)] += c[w] + 1
+    ends = len(learn)
+    mass = sum(c[w] + 1 for w in own) + others.sum() + ends + 1
+    final, t, history = kept["out"]
+    assert len(history) == 2 and history[1] > history[0]
+    assert math.isclose(t.mass, mass) and (t.others == others).all() and t.tokens == sum(c.values()) + ends
+    emit = t.class_emit()
+    total = {p: np.frombuffer(x, np.float32).reshape(-1, k) for p, x in ((r.shard, r.counts) for r in final.collect())}
+    everything = sum(x.sum(axis=0) for x in total.values()) + t.classes.sum(axis=0)
+    assert math.isclose(everything.sum(), t.tokens, rel_tol=1e-5) and np.allclose(everything, t.states, rtol=1e-5)
+    # The emissions of each state are a distribution over own words, classes and the end.
+    sums = emit.sum(axis=0)
+    for p, words_of in by_shard.items():
+        assert math.isclose(total[p].sum(), sum(c[w] for w in words_of), rel_tol=1e-5)
+        sums = sums + (total[p].sum(axis=0) + lm_hmm.SMOOTH * sum(c[w] + 1 for w in words_of) / mass) / (t.states + lm_hmm.SMOOTH)
+    assert np.allclose(sums, 1, rtol=1e-5)
+    assert set(scores) == {i for i, _ in rows} and all(x < 0 for x in scores.values())
+
+
+def test_rounds_see_all_learning_texts_and_stop_by_gain(sp, monkeypatch):
+    docs = sp.createDataFrame([(None, "a b a b")] * 30 + [(None, "c d c d")] * 30, "doc_id long, text string")
+    for gain, most in ((-1.0, 4), (10.0, 2)):
+        seen, real = [], lm_hmm.expectations
+        monkeypatch.setattr(lm_hmm, "expectations", lambda table, *a: seen.append(table.filter((F.col("kind") == 0) & ~F.col("held_out")).count()) or real(table, *a))
+        lm_hmm.lm_scores(docs, rounds=4, gain=gain).collect()
+        monkeypatch.setattr(lm_hmm, "expectations", real)
+        assert seen == [60] * most
+
+
+def test_nothing_that_grows_with_the_vocabulary_is_broadcast(sp, monkeypatch):
+    import pickle
+
     sizes = []
-    for n in (400, 4_000):
-        counts = sp.createDataFrame([(f"wörd{i}", 1 + i % 3) for i in range(n)], "word string, c long")
-        v = lm_hmm.vocabulary(counts, 5)
-        beyond = {r.word: r.c for r in counts.collect()}
-        for w in v.words[: v.head].to_pylist():
-            del beyond[w]
-        want = np.ones(len(v.others))
-        np.add.at(want, lm_hmm.class_of(pa.array(list(beyond)), len(v.others)), np.array(list(beyond.values())) + 1)
-        assert (want == v.others).all() and math.isclose(v.shares().sum(), 1)
-        sizes.append(len(v.others))
-    assert sizes == [25, 250]
+    real = lm_hmm.trained
+    monkeypatch.setattr(lm_hmm, "trained", lambda *a: sizes.append(len(pickle.dumps((out := real(*a))[1]))) or out)
+    for n in (200, 4_000):
+        lm_hmm.lm_scores(_rows(sp, [(None, " ".join(f"w{i}" for i in range(n)))] * 4), rounds=1).collect()
+    assert abs(sizes[0] - sizes[1]) < 64  # a longer number or two
 
 
 def test_url_rules_and_parts(sp):
