@@ -492,7 +492,7 @@ def test_url_rules_and_parts(sp):
     rule = {i: (r.rule, r.verdict) for i, r in got.items() if r.rule}
     assert rule == {1: ("example.org/es/", "block"), 2: ("example.org/en/1", "block"), 3: ("com/fr/", "allow"), 4: ("com/de/", "block"), 9: ("org/", "allow")}
     assert (got[1].host, got[1].path, got[5].host, got[6].path, got[None].host, got[8].path) == ("a.example.org", "/es/9", "", "", "u:1", "")
-    assert url_filter.judge_urls(pages, URL_RULES).count() == len(urls) and got[10].template.endswith("/**")
+    assert url_filter.judge_urls(pages, URL_RULES).count() == len(urls) and got[10].template.count("/") == 500 and got[10].template.endswith("/d" * 499)
     assert url_filter.judge_urls(pages.limit(0), URL_RULES).collect() == []
 
 
@@ -506,6 +506,75 @@ def test_url_templates_learn_from_labels(sp):
     assert by["h0.com", "/spam/50"].template == "/spam/*" and by["h0.com", "/u/user3name/about"].template == "/u/*/about"
 
 
+def brute_templates(rows, z=1.96, w=4.0):
+    """The tree walked one segment at a time, with dictionaries."""
+    urls = defaultdict(lambda: [0, 0, 0])
+    for host, path, label in rows:
+        u = urls[host, path]
+        u[0] += 1
+        u[1] += label is not None
+        u[2] += label or 0
+    seg = {k: ["*" if re.search(url_filter.IDENTIFIER, s) else s for s in k[1].split("/") if s] for k in urls}
+
+    def smoothed(purity, group):
+        sums = defaultdict(lambda: [0, 0])
+        for k in purity:
+            sums[group(k)][0] += urls[k][1]
+            sums[group(k)][1] += urls[k][2]
+        return {k: (sums[group(k)][1] + w * p) / (sums[group(k)][0] + w) for k, p in purity.items()}
+
+    def different(h1, n1, h, n):
+        p = (h + 0.5) / (n + 1)
+        return abs((h1 + p) / (n1 + 1) - (h - h1 + p) / (n - n1 + 1)) / math.sqrt(p * (1 - p) * (1 / (n1 + 1) + 1 / (n - n1 + 1)))
+
+    labelled, blocked = sum(u[1] for u in urls.values()), sum(u[2] for u in urls.values())
+    purity = {k: (blocked + 1) / (labelled + 2) for k in urls}
+    purity = smoothed(smoothed(purity, lambda k: ".".join(k[0].split(".")[-2:])), lambda k: k[0])
+    template, out, d = {k: "" for k in urls}, {}, 0
+    while True:
+        out.update({k: (template[k], purity[k]) for k in urls if len(seg[k]) == d})
+        active = [k for k in urls if len(seg[k]) > d]
+        if not active:
+            return out
+        tree = defaultdict(lambda: defaultdict(lambda: [0, 0, 0, 0]))
+        for k in active:
+            x = tree[k[0], template[k]][seg[k][d]]
+            for i, v in enumerate((*urls[k], urls[k][0] if len(seg[k]) > d + 1 and seg[k][d + 1] == "*" else 0)):
+                x[i] += v
+        for k in active:
+            kids = tree[k[0], template[k]]
+            n, lab, blk, nxt = kids[seg[k][d]]
+            an, al, ab, ax = map(sum, zip(*kids.values()))
+            same_labels, same_next = different(blk, lab, ab, al) < z, different(nxt, n, ax, an) < z
+            alike = len(kids) >= 3 and same_labels and same_next
+            rare = len(kids) > url_filter.MANY and n < url_filter.FEW * an
+            rare = rare and (same_labels or lab < url_filter.TELLING) and (same_next or n < url_filter.TELLING)
+            seg[k].append(("*" if rare or alike else seg[k][d]))
+        template = {**template, **{k: template[k] + "/" + seg[k].pop() for k in active}}
+        purity = smoothed({k: purity[k] for k in active}, lambda k: (k[0], template[k]))
+        d += 1
+
+
+def test_url_templates_equal_a_plain_walk(sp):
+    rng = np.random.default_rng(7)
+    rows = []
+    for h in ("a.x.com", "b.x.com", "y.org", ""):
+        for _ in range(250):
+            deep = [rng.choice(["news", "shop", "u", "tag", "1234567", f"p{rng.integers(40)}"]) for _ in range(rng.integers(0, 5))]
+            shared = ["one", "two", "three", "2024"] * int(rng.integers(0, 2))
+            label = [None, None, 0, 1][rng.integers(4)] if deep[:1] != ["shop"] else 1
+            rows.append((h, "/" + "/".join(deep[:1] + shared + deep[1:]), label))
+    rows += [("deep.net", "/" + "/".join("abcdefghijkl") + "/" + x + f"/{i}", b) for x, b in (("bad", 1), ("good", 0)) for i in range(10)]
+    rows += [("z.com", None or "", None), ("z.com", "/", 1), ("z.com", "//a//b", 0)]
+    got = {(r.host, r.path): (r.template, r.purity) for r in url_filter.path_templates(sp.createDataFrame(rows, "host string, path string, label int")).collect()}
+    want = brute_templates(rows)
+    assert got.keys() == want.keys()
+    for k, (t, p) in want.items():
+        assert got[k][0] == t and math.isclose(got[k][1], p, rel_tol=1e-9), (k, got[k], (t, p))
+    # Far below the eighth segment, two branches keep purities of their own.
+    assert got["deep.net", "/" + "/".join("abcdefghijkl") + "/bad/3"][1] > 0.5 > got["deep.net", "/" + "/".join("abcdefghijkl") + "/good/3"][1]
+
+
 def test_labelled_sections_of_a_wide_node_stay_apart(sp):
     words = ["".join(p) for p in itertools.product("abcdefgh", repeat=2)][:60]  # every one below 2 % of the urls
     rows = [("h.com", f"/{w}/page{'xyz'[i % 3]}{'pqrst'[i // 3 % 5]}", int(w == "cd") if i < 10 else None) for w in words for i in range(15)]

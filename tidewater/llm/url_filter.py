@@ -18,11 +18,12 @@ the others of their host:
   over the domain (last two labels of the host) and the host down the template.
   A template whose purity reaches ``reject`` is rejected and its urls blocked.
 
-Segments beyond ``depth`` stay under their template's tail wildcard; the urls
-are judged all the same. The tree works on distinct (host, path) pairs with
-their counts, so repeated urls cost nothing; each level is one table in the
-shared folder. Large hosts are split by the skew handling of the joins; sums
-are pre-aggregated before each shuffle.
+Paths are walked to their last segment, whatever the depth. What all urls of a
+node share is taken in one step (their least and greatest paths agree on it), so
+the number of rounds is that of the branchings on a path. The tree works on
+distinct (host, path) pairs with their counts, so repeated urls cost nothing;
+each round writes its tables to the shared folder. Large hosts are split by the
+skew handling of the joins; sums are pre-aggregated before each shuffle.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path,
 fits no rule and gets the purity of all urls; empty tables give an empty
@@ -81,24 +82,39 @@ def _purity(state: DataFrame, keys: Sequence[str], weight: float) -> DataFrame:
     return joined.withColumn("purity", (F.col("b") + weight * F.col("purity")) / (F.col("l") + weight)).drop("l", "b")
 
 
-def path_templates(urls: DataFrame, depth: int = 8, z_merge: float = 1.96, weight: float = 4.0) -> DataFrame:
+def path_templates(urls: DataFrame, z_merge: float = 1.96, weight: float = 4.0) -> DataFrame:
     """Saved (host, path, template, purity) of the distinct pairs in ``urls``
     (host, path, label: 1 blocked, 0 allowed, null unknown)."""
     seen = urls.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).alias("blocked"))
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    state = saved(seen.select("host", "path", "n", "labelled", "blocked", segments.alias("segments"), F.lit("").alias("template")), "urls")
+    named = F.transform(segments, lambda s: F.when(s.rlike(IDENTIFIER), "*").otherwise(s))
+    state = saved(seen.select("host", "path", "n", "labelled", "blocked", named.alias("segments"), F.lit(0).alias("at"), F.lit("").alias("template")), "urls")
     labelled, blocked = state.agg(F.coalesce(F.sum("labelled"), F.lit(0)), F.coalesce(F.sum("blocked"), F.lit(0))).first()
     state = state.withColumn("purity", F.lit((blocked + 1.0) / (labelled + 2.0)))
     state = state.withColumn("domain", F.regexp_extract("host", r"([^.]*\.[^.]*)$|^([^.]*)$", 0))
     state = saved(_purity(_purity(state, ["domain"], weight), ["host"], weight).drop("domain"), "hosts")
-    done = []
-    for d in range(depth):
-        done.append(state.filter(F.size("segments") <= d))
-        active = state.filter(F.size("segments") > d)
-        segment, following = F.element_at("segments", d + 1), F.get("segments", F.lit(d + 1))
-        identifier = segment.rlike(IDENTIFIER)
-        active = active.withColumn("branch", F.when(identifier, "*").otherwise(segment)).withColumn("next", F.when(F.coalesce(following.rlike(IDENTIFIER), F.lit(False)), F.col("n")).otherwise(0))
-        node = ["host", "template"]
+    node, ended = ["host", "template"], F.col("at") >= F.size("segments")
+    done, level = [state.filter(ended)], 0
+    active = state.filter(~ended)
+    while not active.isEmpty():
+        level += 1
+        # Segments that all urls of a node share: one step, however many they are.
+        rest = F.slice("segments", F.col("at") + 1, F.size("segments"))
+        sums = active.groupBy(*node).agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"), F.min(rest).alias("lo"), F.max(rest).alias("hi"))
+        first_other = F.array_position(F.zip_with("lo", "hi", lambda x, y: x.eqNullSafe(y)), False)
+        sums = sums.select(*node, "l", "b", F.when(first_other > 0, first_other - 1).otherwise(F.size("lo")).cast("int").alias("k"))
+        active = active.join(sums, node)
+        # The smoothing towards the parent, k times with the same sums.
+        share = F.col("b") / F.col("l")
+        purity = F.when((F.col("k") == 0) | (F.col("l") == 0), F.col("purity")).otherwise(share + (F.col("purity") - share) * F.pow(weight / (F.col("l") + weight), F.col("k")))
+        template = F.when(F.col("k") > 0, F.concat("template", F.lit("/"), F.array_join(F.slice("segments", F.col("at") + 1, F.col("k")), "/"))).otherwise(F.col("template"))
+        active = active.withColumns({"purity": purity, "template": template}).withColumn("at", F.col("at") + F.col("k")).drop("l", "b", "k")
+        active = saved(active, f"shared-{level}")
+        done.append(active.filter(ended))
+        active = active.filter(~ended)
+
+        following = F.get("segments", F.col("at") + 1) == "*"
+        active = active.withColumns({"branch": F.get("segments", F.col("at")), "next": F.when(F.coalesce(following, F.lit(False)), F.col("n")).otherwise(0)})
         branches = active.groupBy(*node, "branch").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "blocked", "next")])
         parents = branches.groupBy(*node).agg(F.count(F.lit(1)).alias("kids"), *[F.sum(c).alias(f"all_{c}") for c in ("n", "labelled", "blocked", "next")])
         b = branches.join(parents, node)
@@ -108,13 +124,10 @@ def path_templates(urls: DataFrame, depth: int = 8, z_merge: float = 1.96, weigh
         alike = (F.col("kids") >= 3) & same_labels & same_next
         rare = rare & (same_labels | (F.col("labelled") < TELLING)) & (same_next | (F.col("n") < TELLING))
         b = b.select(*node, "branch", F.when(rare | alike, "*").otherwise(F.col("branch")).alias("as"))
-        active = active.join(b, node + ["branch"]).withColumn("template", F.concat("template", F.lit("/"), "as")).drop("branch", "next", "as")
-        state = saved(_purity(active, ["host", "template"], weight), f"level-{d + 1}")
-        if state.isEmpty():
-            break
-    else:
-        deep = F.when(F.size("segments") > depth, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
-        done.append(state.withColumn("template", deep))
+        active = active.join(b, node + ["branch"]).withColumns({"template": F.concat("template", F.lit("/"), "as"), "at": F.col("at") + 1}).drop("branch", "next", "as")
+        active = saved(_purity(active, node, weight), f"level-{level}")
+        done.append(active.filter(ended))
+        active = active.filter(~ended)
     return saved(reduce(DataFrame.unionByName, [x.select("host", "path", "template", "purity") for x in done]), "templates")
 
 
