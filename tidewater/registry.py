@@ -23,7 +23,7 @@ from . import fixtures
 from .config import BRONZE_TABLE, GOLD_TABLES, SILVER_TABLE, LakeConfig
 from .functions.expr import to_ntz
 from .oracle import with_silver, with_wire
-from .operators import bitmaps, enrich, gold, quality, serving, wire
+from .operators import audit, bitmaps, enrich, gold, quality, search_index, serving, wire
 from .plans.incremental import distinct_over_dates, refresh_incremental
 from .plans.jobs import build_gold, build_silver, refresh_batch
 from .plans.layers import silver_from_bronze
@@ -394,6 +394,15 @@ def q_session_audit(spark, d):
     return quality.session_audit(_silver(spark, d).checkpoint())
 
 
+def q_session_audit_merged(spark, d):
+    """V4 from daily summaries, as stored day by day and merged."""
+    silver = _silver(spark, d)
+    paths = {n: scratch_dir(spark, n) for n in ("summaries", "values")}
+    audit.merged(audit.session_summaries(silver)).write.partitionBy("event_date").parquet(paths["summaries"])
+    audit.session_values(silver).write.partitionBy("event_date").parquet(paths["values"])
+    return audit.audit(*[spark.read.parquet(p) for p in paths.values()])
+
+
 def q_ingest_metrics(spark, d):
     return quality.ingest_metrics(_wire(spark, d))
 
@@ -450,6 +459,19 @@ def q_search_sessions(spark, d):
     return _show(serving.session_explorer(_gold(spark, d, "user_session_summary"), SEARCH_TEXT))
 
 
+# Three literal characters in a row: this search goes through the trigram index.
+INDEXED_SEARCH = "S-1.*9[0-9]?6"
+
+
+def q_search_sessions_indexed(spark, d):
+    """F5 through the trigram postings of the session table."""
+    g5 = _gold(spark, d, "user_session_summary").checkpoint()  # read by the index and by the search
+    path = scratch_dir(spark, "postings")
+    search_index.write_postings(g5, path)
+    found = search_index.search_sessions_indexed(g5, spark.read.parquet(path), INDEXED_SEARCH)
+    return _show(serving.session_explorer(found))
+
+
 def q_rename_display(spark, d):
     return serving.device_breakdown(_gold(spark, d, "daily_device_mix"))
 
@@ -513,11 +535,13 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_countries": q_filter_countries,
     "search_sessions": q_search_sessions,
     "session_match_count": q_session_match_count,
+    "search_sessions_indexed": q_search_sessions_indexed,
     "validate_events": q_validate_events,
     "validate_wire": q_validate_wire,
     "quarantine_split": q_quarantine_split,
     "violation_counts": q_violation_counts,
     "session_audit": q_session_audit,
+    "session_audit_merged": q_session_audit_merged,
     "ingest_metrics": q_ingest_metrics,
     "stored_batch_metrics": q_stored_batch_metrics,
     # gold
@@ -762,6 +786,9 @@ ORACLE: Dict[str, str] = {
     "search_sessions": with_silver(
         _EXPLORER + " WHERE coalesce(regexp_matches(user_id, '(?i)" + SEARCH_TEXT + "'), false) "
         "OR coalesce(regexp_matches(session_id, '(?i)" + SEARCH_TEXT + "'), false)"),
+    "search_sessions_indexed": with_silver(
+        _EXPLORER + " WHERE coalesce(regexp_matches(user_id, '(?i)" + INDEXED_SEARCH + "'), false) "
+        "OR coalesce(regexp_matches(session_id, '(?i)" + INDEXED_SEARCH + "'), false)"),
     "session_match_count": with_silver(
         f"WITH g5 AS ({_G5}) SELECT count(*) AS sessions_matched FROM g5 "
         "WHERE coalesce(regexp_matches(user_id, '(?i)" + SEARCH_TEXT + "'), false) "
@@ -775,6 +802,7 @@ ORACLE: Dict[str, str] = {
     "quarantine_split": with_wire(_V2),
     "violation_counts": with_wire(_V3),
     "session_audit": with_silver(_V4),
+    "session_audit_merged": with_silver(_V4),
     "ingest_metrics": with_wire(_V5),
     "daily_watch_time_by_country": with_silver(_G1),
     "top_content_by_watch_time": with_silver(_G2),

@@ -7,8 +7,13 @@ zone is UTC (S4), and shuffle width is a parameter sized for the data.
 
 from __future__ import annotations
 
+import atexit
 import math
+import shutil
+import tempfile
+import zipfile
 from contextlib import contextmanager
+from pathlib import Path
 from typing import Iterator, Mapping, Optional
 
 from pyspark.sql import SparkSession
@@ -93,6 +98,22 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: Optional[str] = None) -
     return sc.getCheckpointDir()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package importable in the Python workers of any cluster, once per context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tidewater_package", False):
+        return
+    root = Path(__file__).resolve().parent
+    folder = Path(tempfile.mkdtemp(prefix="tidewater-package-")).resolve()  # code, on the driver; Spark hands it out
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = folder / "tidewater_package.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._tidewater_package = True
+
+
 # Input bytes per shuffle partition when a job sizes its own shuffle width
 # (AQE coalesces what turns out small).
 BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 ** 2

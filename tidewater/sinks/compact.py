@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import BRONZE_TABLE, LakeConfig
+from ..session import ship_package
 from .storage import latest_path, path_size, read_path, write_table
 from .swap import list_names, recover, swap
 
@@ -177,6 +178,7 @@ def plan_bins(files: DataFrame, capacity: int) -> DataFrame:
         worth = (bins.groupby(bins).transform("size") > 1) & fresh.groupby(bins).transform("any")
         return group.assign(bin=bins)[worth]
 
+    ship_package(files.sparkSession)
     return files.groupBy("folder").applyInPandas(pack, "folder string, file string, size long, bin int")
 
 
