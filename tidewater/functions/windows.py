@@ -4,8 +4,8 @@ A window ``partitionBy(key)`` sends every row of a key to one task. When one
 key (a bot user, a replayed session) holds a third of all rows, that task is
 the job. ``ordered_scan`` therefore cuts *hot* keys into slices, runs the
 window per (key, slice), and carries state across slices through a small
-per-slice table. Ordinary keys keep one slice: for them the plan is a plain
-window, with no carry.
+per-slice table. Ordinary keys have a plain window and no carry; both are united
+at the end.
 
 Hot keys are the heavy hitters: keys with more than
 ``max(hot_rows, total_rows / max_hot_keys)`` rows. Their number is below
@@ -28,10 +28,10 @@ Plan shape:
   hot rows is the only value that reaches the driver;
 - no hot key: a plain window per key, nothing else;
 - hot keys: broadcast join with the hot-key table (narrow), hot rows
-  range-sliced and checkpointed, unioned with the other rows (slice 0);
-  Exchange(key, slice) and one Window operator for all frames; carry from a
-  partial aggregate per (key, slice) of the checkpoint and a window over the
-  slices of each key; left join on (key, slice).
+  range-sliced and checkpointed; Exchange(key, slice) and one Window operator
+  for all frames; carry from a partial aggregate per (key, slice) of the
+  checkpoint and a window over the slices of each key; left join on (key,
+  slice) of the hot rows alone, then the union with the ordinary rows.
 
 Keys are packed into one non-null struct column and NULL timestamps sort
 first, so NULL keys or timestamps are never filtered by the joins.
@@ -119,7 +119,7 @@ def ordered_scan(
         if n_hot == 0:
             return _plain_scan(keyed, keys, ts, tie, lag, running_sum, last_before, prefix)
         tagged = keyed.join(F.broadcast(hot.select(_K, _HOT)), on=_K, how="left")
-        ordinary = tagged.filter(F.col(_HOT).isNull()).withColumn(_B, F.lit(0).cast("long"))
+        ordinary = tagged.filter(F.col(_HOT).isNull()).drop(_HOT)
         hot_part = tagged.filter(F.col(_HOT).isNotNull())
     else:
         ordinary, hot_part = None, keyed.withColumn(_HOT, F.lit(True))
@@ -132,8 +132,6 @@ def ordered_scan(
         .withColumn(_B, F.spark_partition_id().cast("long"))
         .checkpoint(eager=True)
     )
-    keyed = split if ordinary is None else ordinary.unionByName(split)
-
     # In-slice frames.
     w = Window.partitionBy(_K, _B).orderBy(F.col(ts).asc_nulls_first(), F.col(tie).asc_nulls_first())
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -145,7 +143,7 @@ def ordered_scan(
         cols[f"_tw_run_{c}"] = F.sum(c).over(w_run)
     for c in last_before:
         cols[f"_tw_lb_{c}"] = F.last(c, ignorenulls=True).over(w_before)
-    rows = keyed.withColumns(cols)
+    rows = split.withColumns(cols)
 
     # One summary row per (key, slice) of the hot keys: last row, total, last
     # non-NULL value. Struct order is (ts, tie) with NULLs first, as in the
@@ -168,7 +166,6 @@ def ordered_scan(
 
     # The plain window's type: the sum of partial sums would widen a decimal.
     plain = keyed.agg(*[F.sum(c).alias(c) for c in running_sum]).schema if running_sum else None
-    # Rows of ordinary keys find no carry row: nothing comes before their slice.
     j = rows.join(carry, on=[_K, _B], how="left")
     first = F.col("_tw_first")
     out = {f"{prefix}has_prev": ~first | F.coalesce(F.col("_tw_cprev"), F.lit(False))}
@@ -183,7 +180,11 @@ def ordered_scan(
     for c in last_before:
         out[f"{prefix}last_{c}"] = F.coalesce(F.col(f"_tw_lb_{c}"), F.col(f"_tw_clast_{c}"))
     internal = [c for c in j.columns if c.startswith("_tw_")]
-    return j.withColumns(out).drop(*internal)
+    sliced = j.withColumns(out).drop(*internal)
+    if ordinary is None:
+        return sliced
+    # Rows of ordinary keys need no carry: one window for each key, united with the hot ones here.
+    return _plain_scan(ordinary, keys, ts, tie, lag, running_sum, last_before, prefix).unionByName(sliced)
 
 
 def cumulative_sum(
