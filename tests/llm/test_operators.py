@@ -270,6 +270,46 @@ def test_quality_edges(odd, none, labels):
     assert quality_ftrl.quality_scores(none, labels).collect() == []
 
 
+def test_ftrl_equals_a_plain_version(sp, monkeypatch):
+    """The update with dictionaries, and the scores as plain sums over each text's n-grams."""
+    q = quality_ftrl
+    rng = np.random.default_rng(9)
+    z, n = np.zeros(50), np.zeros(50)
+    pz, pn = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        if abs(pz[i]) <= q.L1:
+            return 0.0
+        return (math.copysign(q.L1, pz[i]) - pz[i]) / ((q.BETA + math.sqrt(pn[i])) / q.ALPHA + q.L2)
+
+    for _ in range(200):
+        at = rng.choice(50, rng.integers(1, 9), replace=False)
+        value, label = rng.random(len(at)), int(rng.integers(2))
+        q.ftrl(z, n, at, value, label)
+        w = {i: weight(i) for i in at}
+        p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in zip(at, value))))
+        for i, v in zip(at, value):
+            g = (p - label) * v
+            sigma = (math.sqrt(pn[i] + g * g) - math.sqrt(pn[i])) / q.ALPHA
+            pz[i] += g - sigma * w[i]
+            pn[i] += g * g
+        assert np.allclose([z[i] for i in at], [pz[i] for i in at]) and np.allclose([n[i] for i in at], [pn[i] for i in at])
+    model = rng.standard_normal(q.SIZE + 1)
+    monkeypatch.setattr(q, "train", lambda *a: model)
+    texts = ["", "One two, THREE three three!", " a  b\ta b\n", "x" * 300, *(t for _, t in TEXTS if t)]
+    df = _rows(sp, list(enumerate(texts)))
+    for r in q.quality_scores(df, sp.createDataFrame([(1, 1)], "doc_id long, quality int")).collect():
+        row, index, value = q.features(pa.array([texts[r.doc_id]]))
+        margin = sum(model[i] * v for i, v in zip(index, value))
+        assert math.isclose(r.score, 1 / (1 + math.exp(-max(-30, min(30, margin)))), rel_tol=1e-9) and r.predicted == (r.score >= 0.3)
+    # Of two labels of an id the majority counts, 1 on a tie.
+    from tidewater.llm.labels import learning_rows
+
+    learnt = next(i for i in range(50) if zlib.crc32(str(i).encode()) % 5)
+    known = sp.createDataFrame([(learnt, 1), (learnt, 0)], "doc_id long, quality int")
+    assert [r.label for r in learning_rows(_rows(sp, [(learnt, "t")]).select("doc_id", "text"), known, "quality", 10).collect()] == [1]
+
+
 def test_quality_learns(sp):
     sf = "/root/testdata/sf0.01"
     lab = sp.read.parquet(f"{sf}/labels.parquet")
