@@ -458,7 +458,9 @@ def test_sharded_rounds_equal_rounds_in_one_place(sp, monkeypatch):
     monkeypatch.setattr(lm_hmm, "SHARD_BYTES", 500)
     kept = {}
     real = lm_hmm.trained
-    monkeypatch.setattr(lm_hmm, "trained", lambda table, shards, t, *a: kept.update(shards=shards, first=lm_hmm.first_counts(shards), out=real(table, shards, t, *a)) or kept["out"])
+    monkeypatch.setattr(lm_hmm, "trained", lambda table, shards, t, *a: kept.update(
+        shards=shards.filter("block >= 0").select("shard", "block", "at").collect(), first=lm_hmm.first_counts(shards).collect(), out=(out := real(table, shards, t, *a)), final=out[0].table.collect(),
+    ) or kept["out"])
     df = _rows(sp, rows)
     scores = {r.doc_id: r.score for r in lm_hmm.lm_scores(df, rounds=2, gain=-1).collect()}
     k = lm_hmm.STATES
@@ -468,16 +470,17 @@ def test_sharded_rounds_equal_rounds_in_one_place(sp, monkeypatch):
     first, shards = {}, -(-sum(len(t) for _, t in rows) // 500)
     import xxhash
 
-    state = {r.shard: np.frombuffer(r.counts, np.float32).reshape(-1, k) for r in kept["first"].collect()}
-    vocabulary = {}
-    for row in kept["shards"].filter("block >= 0").collect():
-        vocabulary[row.shard, row.block] = np.frombuffer(row["at"], np.int32)
+    state = {r.shard: np.frombuffer(r.counts, np.float32).reshape(-1, k) for r in kept["first"]}
     own = [w for w in c if c[w] >= lm_hmm.OWN]
     by_shard = defaultdict(list)
     for w in own:
         by_shard[xxhash.xxh64_intdigest(w.encode()) % shards].append(w)
     assert {p: len(x) for p, x in state.items() if len(x)} == {p: len(x) for p, x in by_shard.items()}
-    # Rows of a shard's words by their counts: the first counts are c / STATES times a word's own factors.
+    # Every block's words with three occurrences have a row of their shard.
+    rows_of = defaultdict(set)
+    for row in kept["shards"]:
+        rows_of[row.shard].update(np.frombuffer(row["at"], np.int32).tolist())
+    assert all(rows_of[p] - {-1} == set(range(len(w))) for p, w in by_shard.items())
     rest = lambda w: lm_hmm.class_of([w.encode()])[0]
     others = np.ones(lm_hmm.CLASSES)
     for w in c:
@@ -485,11 +488,11 @@ def test_sharded_rounds_equal_rounds_in_one_place(sp, monkeypatch):
             others[rest(w)] += c[w] + 1
     ends = len(learn)
     mass = sum(c[w] + 1 for w in own) + others.sum() + ends + 1
-    final, t, history = kept["out"]
+    _, t, history = kept["out"]
     assert len(history) == 2 and history[1] > history[0]
     assert math.isclose(t.mass, mass) and (t.others == others).all() and t.tokens == sum(c.values()) + ends
     emit = t.class_emit()
-    total = {p: np.frombuffer(x, np.float32).reshape(-1, k) for p, x in ((r.shard, r.counts) for r in final.collect())}
+    total = {p: np.frombuffer(x, np.float32).reshape(-1, k) for p, x in ((r.shard, r.counts) for r in kept["final"])}
     everything = sum(x.sum(axis=0) for x in total.values()) + t.classes.sum(axis=0)
     assert math.isclose(everything.sum(), t.tokens, rel_tol=1e-5) and np.allclose(everything, t.states, rtol=1e-5)
     # The emissions of each state are a distribution over own words, classes and the end.

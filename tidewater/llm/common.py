@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from ..sinks.storage import filesystem
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -71,6 +72,12 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a table of the shared folder that nothing reads any more."""
+    fs, p = filesystem(spark, path)
+    fs.delete(p, True)
+
+
 def fold_of(id_col: str, mod: int) -> Column:
     """crc32(id as text) mod ``mod``; a null id counts as fold 1 (used for learning, never held out)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % mod, F.lit(1))
@@ -94,6 +101,25 @@ def partition_bases(counts: DataFrame, part: str, n: str) -> DataFrame:
     return counts.sparkSession.createDataFrame(out, f"{part} int, base long")
 
 
+def without(docs: DataFrame, gone: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` without the rows whose (id, text) is in ``gone`` (doc_id, row_hash), and each (id, text) once.
+
+    ``rows`` has the (doc_id, row_hash) of all rows that stay: only where it holds
+    one twice, which ids that name documents never do, are whole rows compared
+    (collapsed in the map tasks first, however often a row is repeated).
+    """
+    own = docs.withColumns({"_row_hash": row_hash(F.coalesce(F.col(text_col), F.lit(""))), "_row_id": F.col(id_col).cast("long")})
+    if not rows.groupBy("doc_id", "row_hash").count().filter("count > 1").isEmpty():
+        own = own.dropDuplicates(["_row_hash", "_row_id"])
+    same = (F.col("own._row_hash") == F.col("gone.row_hash")) & F.col("own._row_id").eqNullSafe(F.col("gone.doc_id"))
+    return own.alias("own").join(gone.alias("gone"), same, "left_anti").select(*docs.columns)
+
+
+def row_hash(text: Column) -> Column:
+    """What tells rows with the same id apart."""
+    return F.xxhash64(text)
+
+
 class WorkerCache(dict):
     """``cache[key]``, filled by ``make``; emptied by ``trim`` beyond ``size`` entries.
 
