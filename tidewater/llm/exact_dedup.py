@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, saved, texts
+from .common import ascii_lower, row_hash, saved, texts, without
 
 
 def misra_gries(counts: Dict, k: int) -> Dict:
@@ -58,16 +58,10 @@ def frequent_candidates(digests: DataFrame, k: int) -> DataFrame:
     return merged.filter((F.col("estimate") >= F.lit(rows / (k + 1))) & (F.col("estimate") > 1)).select("digest")
 
 
-def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 1000) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
-
-    Texts are equal when identical after lower-casing A-Z; the largest id of
-    each group stays.
-    """
-    digests = saved(
-        texts(docs, id_col, text_col).select("doc_id", F.unhex(F.sha2(ascii_lower(F.col("text")), 256)).alias("digest")),
-        "digests",
-    )
+def _judged(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """doc_id, row_hash, digest, keep_id, group_size of every input row."""
+    rows = texts(docs, id_col, text_col)
+    digests = saved(rows.select("doc_id", row_hash(F.col("text")).alias("row_hash"), F.unhex(F.sha2(ascii_lower(F.col("text")), 256)).alias("digest")), "digests")
     candidates = saved(frequent_candidates(digests, k), "frequent")
     winners = saved(
         digests.join(F.broadcast(candidates), "digest")
@@ -76,12 +70,20 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         .withColumn("heavy", F.lit(True)),
         "winners",
     )
-    tagged = digests.join(F.broadcast(winners), "digest", "left")
-    heavy = tagged.filter("heavy").select("doc_id", "digest", "keep_id", "group_size")
+    columns = ["doc_id", "row_hash", "digest", "keep_id", "group_size"]
+    heavy = digests.join(F.broadcast(winners), "digest", "left").filter("heavy").select(*columns)
     rest = digests.join(F.broadcast(candidates), "digest", "left_anti")
     groups = rest.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    light = rest.join(groups, "digest").select("doc_id", "digest", "keep_id", "group_size")
-    return heavy.unionByName(light).select(
+    return heavy.unionByName(rest.join(groups, "digest").select(*columns))
+
+
+def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 1000) -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
+
+    Texts are equal when identical after lower-casing A-Z; the largest id of
+    each group stays.
+    """
+    return _judged(docs, id_col, text_col, k).select(
         "doc_id",
         "keep_id",
         "group_size",
@@ -97,8 +99,10 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     that repeat the id and the text, one stays (which one is open where their
     other columns differ).
     """
-    stay = exact_duplicates(docs, id_col, text_col, k).filter("kept").select(F.col("text_sha256").alias("_digest"), F.col("doc_id").alias("_id")).distinct()
-    own = docs.withColumns({"_digest": F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256), "_id": F.col(id_col).cast("long")})
-    own = own.dropDuplicates(["_digest", "_id"]).alias("own")
-    same = (F.col("own._digest") == F.col("stay._digest")) & F.col("own._id").eqNullSafe(F.col("stay._id"))
-    return own.join(stay.alias("stay"), same, "left_semi").select(*docs.columns)
+    rows = saved(_judged(docs, id_col, text_col, k), "judged")
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    # One id with spellings of the same text that differ in A-Z and a-z: one of them stays.
+    first = rows.filter(kept).groupBy("digest").agg(F.min("row_hash").alias("first"))
+    others = rows.filter(kept).select("digest", "doc_id", "row_hash").distinct().join(first, "digest").filter("row_hash <> first")
+    gone = rows.filter(~kept).select("doc_id", "row_hash").unionByName(others.select("doc_id", "row_hash")).distinct()
+    return without(docs, gone, rows.filter(kept), id_col, text_col)

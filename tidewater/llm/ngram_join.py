@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, saved, slices, split_words, texts
+from .common import ASCII_SPACE, row_hash, saved, slices, split_words, texts, without
 from .graph import components
 
 WORDS, HASHES, ROWS = 5, 128, 4
@@ -246,8 +246,8 @@ def smallest_in_group(node: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndar
 
 
 def signed_texts(rows: DataFrame) -> DataFrame:
-    """Saved (doc_id, text_hash, n, digest, sig) of every text; id and hash tell rows apart."""
-    rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    """Saved (doc_id, row_hash, n, digest, sig) of every text; id and hash tell rows apart."""
+    rows = rows.withColumn("row_hash", row_hash(F.col("text")))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -256,14 +256,14 @@ def signed_texts(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": b.column("doc_id"),
-                    "text_hash": b.column("text_hash"),
+                    "row_hash": b.column("row_hash"),
                     "n": pa.array([len(s) for s in sets], pa.int64()),
                     "digest": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                     "sig": pa.array([s.tobytes() for s in sig], pa.binary()),
                 }
             )
 
-    return saved(rows.mapInArrow(sign, "doc_id long, text_hash long, n long, digest binary, sig binary"), "signatures")
+    return saved(rows.mapInArrow(sign, "doc_id long, row_hash long, n long, digest binary, sig binary"), "signatures")
 
 
 def linked(rows: DataFrame, classes: DataFrame, threshold: float, tolerance: float) -> DataFrame:
@@ -295,7 +295,7 @@ def linked(rows: DataFrame, classes: DataFrame, threshold: float, tolerance: flo
 
     # The class's own text: by id and hash, since an id may occur with other texts too, or be null.
     wanted = kept.select("cid").distinct().join(real, "cid").select("cid", "rep", "rep_hash", "copies", "sig")
-    mine = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.xxhash64("text") == F.col("rep_hash"))
+    mine = F.col("doc_id").eqNullSafe(F.col("rep")) & (row_hash(F.col("text")) == F.col("rep_hash"))
     texts_of = saved(rows.join(wanted, mine).select("cid", "copies", "sig", "text").dropDuplicates(["cid"]), "texts")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,12 +321,12 @@ def linked(rows: DataFrame, classes: DataFrame, threshold: float, tolerance: flo
 
 
 def _grouped(docs: DataFrame, threshold: float, tolerance: float, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text_hash, root (of the group; null: none), class_id, n_links, copies, n_shingles, digest; one row per input row."""
+    """doc_id, row_hash, root (of the group; null: none), class_id, n_links, copies, n_shingles, digest; one row per input row."""
     rows = texts(docs, id_col, text_col)
     signed = signed_texts(rows)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "n", "sig")).alias("first")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_hash", "n", "sig")).alias("first")
     classes = signed.groupBy("digest").agg(first, F.count(F.lit(1)).alias("copies"))
-    classes = saved(classes.select(F.monotonically_increasing_id().alias("cid"), "digest", "copies", F.col("first.doc_id").alias("rep"), F.col("first.text_hash").alias("rep_hash"), "first.n", "first.sig"), "classes")
+    classes = saved(classes.select(F.monotonically_increasing_id().alias("cid"), "digest", "copies", F.col("first.doc_id").alias("rep"), F.col("first.row_hash").alias("rep_hash"), "first.n", "first.sig"), "classes")
     links = linked(rows, classes, threshold, tolerance)
     roots = components(links.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     named = roots.join(classes.select(F.col("cid").alias("node"), "rep"), "node")
@@ -334,11 +334,11 @@ def _grouped(docs: DataFrame, threshold: float, tolerance: float, id_col: str, t
     per_class = roots.join(names, "root").select(F.col("node").alias("cid"), "root", "class_id")
     counts = links.groupBy("cid").agg(F.sum("links").alias("links"))
     known = classes.select("cid", "digest", "copies", "rep").join(per_class, "cid", "left").join(counts, "cid", "left")
-    out = signed.select("doc_id", "text_hash", "n", "digest").join(known, "digest")
+    out = signed.select("doc_id", "row_hash", "n", "digest").join(known, "digest")
     empty = F.col("n") == 0
     return out.select(
         "doc_id",
-        "text_hash",
+        "row_hash",
         F.when(~empty, F.coalesce("root", "cid")).alias("root"),
         F.when(empty, F.col("doc_id")).otherwise(F.coalesce("class_id", "rep")).alias("class_id"),
         F.when(empty, F.lit(0)).otherwise(F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"),
@@ -349,7 +349,7 @@ def _grouped(docs: DataFrame, threshold: float, tolerance: float, id_col: str, t
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, tolerance: float = TOLERANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, class_id, n_links, copies, n_shingles; one row per input row."""
-    return _grouped(docs, threshold, tolerance, id_col, text_col).drop("text_hash", "root")
+    return _grouped(docs, threshold, tolerance, id_col, text_col).drop("row_hash", "root")
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -358,13 +358,12 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str =
     Rows are told apart by id and text, so null and repeated ids are judged like
     others; of rows that repeat both, one stays. Texts without words all stay.
     """
-    rows = _grouped(docs, threshold, TOLERANCE, id_col, text_col).filter("root IS NOT NULL")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
-    stay = rows.groupBy("root").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"), F.lit(True).alias("_stays"))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    own = docs.withColumns({"_hash": F.xxhash64(text), "_id": F.col(id_col).cast("long")})
-    wordless = ~text.rlike(f"[^{ASCII_SPACE[1:-2]}]")
-    full = own.filter(~wordless).dropDuplicates(["_hash", "_id"]).alias("own")
-    same = (F.col("own._hash") == F.col("stay._hash")) & F.col("own._id").eqNullSafe(F.col("stay._id"))
-    full = full.join(stay.alias("stay"), same, "left_semi")
-    return full.select(*docs.columns).unionByName(own.filter(wordless).select(*docs.columns))
+    rows = saved(_grouped(docs, threshold, TOLERANCE, id_col, text_col).filter("root IS NOT NULL").select("root", "doc_id", "row_hash"), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_hash")).alias("first")
+    stay = rows.groupBy("root").agg(first).select("root", F.col("first.doc_id").alias("first_id"), F.col("first.row_hash").alias("first_hash"))
+    judged = rows.join(stay, "root").withColumn("stays", F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("row_hash") == F.col("first_hash")))
+    judged = saved(judged.select("doc_id", "row_hash", "stays"), "judged")
+    gone = judged.filter("NOT stays").select("doc_id", "row_hash").distinct()
+    wordless = ~F.coalesce(F.col(text_col), F.lit("")).rlike(f"[^{ASCII_SPACE[1:-2]}]")
+    full = without(docs.filter(~wordless), gone, judged.filter("stays"), id_col, text_col)
+    return full.unionByName(docs.filter(wordless))
