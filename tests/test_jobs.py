@@ -72,6 +72,24 @@ def test_jdbc_publish_counts_by_query_and_needs_the_connections():
     assert ("options", (), {"url": "jdbc:x"}) in spark.calls
 
 
+@pytest.mark.parametrize("how, order", [
+    ("rename", ["DROP TABLE IF EXISTS T", "ALTER TABLE T__STAGING RENAME TO T"]),
+    ("swap", ["CREATE TABLE IF NOT EXISTS T LIKE T__STAGING", "ALTER TABLE T SWAP WITH T__STAGING", "DROP TABLE T__STAGING"]),
+])
+def test_a_published_table_is_replaced_by_one_transaction(monkeypatch, how, order):
+    """The published table is named in no write, and in no statement before the staged rows were counted."""
+    done, jdbc = [], {"url": "jdbc:x", "numPartitions": "2"}
+    monkeypatch.setattr(tables, "_write_jdbc", lambda df, j, t: done.append(("write", t)))
+    monkeypatch.setattr(tables, "_count_jdbc", lambda sp, j, t: done.append(("count", t)) or 7)
+    monkeypatch.setattr(tables, "_execute_jdbc", lambda sp, j, statements: done.append(("execute", list(statements))))
+    assert tables._load_jdbc(None, None, jdbc, "T", how, lambda: 7) == 7
+    assert done == [("write", "T__STAGING"), ("count", "T__STAGING"), ("execute", order)]
+    done.clear()
+    with pytest.raises(RuntimeError, match="unchanged"):
+        tables._load_jdbc(None, None, jdbc, "T", how, lambda: 8)
+    assert done == [("write", "T__STAGING"), ("count", "T__STAGING")]
+
+
 def test_any_connector_takes_the_table():
     df, spark = _Recorder(), _Recorder()
     assert tables._load_connector(spark, df, "warehouse", {"a": "b"}, "T") == 7

@@ -66,17 +66,68 @@ def write_gold(df: DataFrame, cfg: LakeConfig, name: str) -> int:
 JDBC_BATCH = "10000"
 
 
-def _load_jdbc(spark: SparkSession, df: DataFrame, jdbc: Mapping[str, str], table: str) -> int:
+#: How a loaded staging table takes the place of the published one, by product. The statements run
+#: in one transaction: readers see the old table or the new one.
+SWAP_STATEMENTS = {
+    "rename": ("DROP TABLE IF EXISTS {table}", "ALTER TABLE {staging} RENAME TO {table}"),
+    "swap": ("CREATE TABLE IF NOT EXISTS {table} LIKE {staging}", "ALTER TABLE {table} SWAP WITH {staging}", "DROP TABLE {staging}"),
+}
+
+
+def _write_jdbc(df: DataFrame, jdbc: Mapping[str, str], table: str) -> None:
+    df.write.format("jdbc").options(**{"batchsize": JDBC_BATCH, **jdbc, "dbtable": table}).mode("overwrite").save()
+
+
+def _count_jdbc(spark: SparkSession, jdbc: Mapping[str, str], table: str) -> int:
+    """The warehouse's own row count, sent as a query: one row comes back and not the table."""
+    reads = {k: v for k, v in jdbc.items() if k not in ("numPartitions", "batchsize")}
+    return int(spark.read.format("jdbc").options(**reads).option("query", f"SELECT COUNT(*) AS N FROM {table}").load().first()[0])
+
+
+def _execute_jdbc(spark: SparkSession, jdbc: Mapping[str, str], statements: Iterable[str]) -> None:
+    """Runs the statements on one connection as one transaction; none has effect if one fails."""
+    jvm = spark.sparkContext._jvm
+    given = jvm.java.util.Properties()
+    for k, v in jdbc.items():
+        given.setProperty(k, str(v))
+    if "driver" in jdbc:
+        jvm.java.lang.Thread.currentThread().getContextClassLoader().loadClass(jdbc["driver"])
+    connection = jvm.java.sql.DriverManager.getConnection(jdbc["url"], given)
+    try:
+        connection.setAutoCommit(False)
+        statement = connection.createStatement()
+        try:
+            for text in statements:
+                statement.execute(text)
+            connection.commit()
+        except Exception:
+            connection.rollback()
+            raise
+    finally:
+        connection.close()
+
+
+def _load_jdbc(spark: SparkSession, df: DataFrame, jdbc: Mapping[str, str], table: str, swap: Optional[str] = None, written=None) -> int:
     """Replaces ``table`` over JDBC; returns the warehouse's own row count.
 
     ``numPartitions``, the number of connections, is the caller's to set: what
-    the warehouse bears doesn't follow from the size of the data. The count is
-    sent as a query, so one row comes back and not the table."""
+    the warehouse bears doesn't follow from the size of the data. With ``swap``
+    (a key of SWAP_STATEMENTS) the rows are loaded into a staging table, counted
+    there against ``written()``, and only then put in the table's place by one
+    transaction: a publish that fails leaves the old table as it was. Without,
+    Spark's overwrite drops the old table first."""
     if "numPartitions" not in jdbc:
         raise ValueError("publish over JDBC needs numPartitions, the number of connections to write with")
-    df.write.format("jdbc").options(**{"batchsize": JDBC_BATCH, **jdbc, "dbtable": table}).mode("overwrite").save()
-    reads = {k: v for k, v in jdbc.items() if k not in ("numPartitions", "batchsize")}
-    return int(spark.read.format("jdbc").options(**reads).option("query", f"SELECT COUNT(*) AS N FROM {table}").load().first()[0])
+    if swap is None:
+        _write_jdbc(df, jdbc, table)
+        return _count_jdbc(spark, jdbc, table)
+    staging = f"{table}__STAGING"
+    _write_jdbc(df, jdbc, staging)
+    back = _count_jdbc(spark, jdbc, staging)
+    if written is not None and back != written():
+        raise RuntimeError(f"publish of {table}: wrote {written()} rows, read back {back}; the published table is unchanged")
+    _execute_jdbc(spark, jdbc, [s.format(table=table, staging=staging) for s in SWAP_STATEMENTS[swap]])
+    return back
 
 
 def _load_connector(spark: SparkSession, df: DataFrame, fmt: str, options: Mapping[str, str], table: str) -> int:
@@ -104,11 +155,13 @@ def publish_gold(
     concurrent: bool = True,
     connector: Optional[str] = None,
     connector_options: Optional[Mapping[str, str]] = None,
+    jdbc_swap: Optional[str] = None,
 ) -> DataFrame:
     """SNK5: full replace of the warehouse copies, upper-case names.
 
     ``jdbc`` options (url, driver, user, numPartitions, ...) write through the
-    JDBC source from the executors in parallel; ``connector`` names any other
+    JDBC source from the executors in parallel, with ``jdbc_swap`` through a staging
+    table that takes the old one's place in one transaction; ``connector`` names any other
     Spark connector with its ``connector_options``; otherwise ``target`` (default
     ``<root>/warehouse``) receives one table per Gold table. The count read
     back must equal the count written, else the publish fails. Returns
@@ -123,7 +176,7 @@ def publish_gold(
         wh = wh.observe(obs, F.count(F.lit(1)).alias("rows"))
         table = name.upper()
         if jdbc:
-            back = _load_jdbc(spark, wh, jdbc, table)
+            back = _load_jdbc(spark, wh, jdbc, table, jdbc_swap, lambda: int(obs.get["rows"]))
         elif connector:
             back = _load_connector(spark, wh, connector, connector_options or {}, table)
         else:
