@@ -479,7 +479,7 @@ def test_sharded_rounds_equal_rounds_in_one_place(sp, monkeypatch):
     # Every block's words with three occurrences have a row of their shard.
     rows_of = defaultdict(set)
     for row in kept["shards"]:
-        rows_of[row.shard].update(np.frombuffer(row["at"], np.int32).tolist())
+        rows_of[row.shard].update(lm_hmm.unpacked(pa.scalar(bytes(row["at"])), np.int32).tolist())
     assert all(rows_of[p] - {-1} == set(range(len(w))) for p, w in by_shard.items())
     rest = lambda w: lm_hmm.class_of([w.encode()])[0]
     others = np.ones(lm_hmm.CLASSES)
@@ -504,6 +504,20 @@ def test_sharded_rounds_equal_rounds_in_one_place(sp, monkeypatch):
     assert set(scores) == {i for i, _ in rows} and all(x < 0 for x in scores.values())
 
 
+def test_packed_values_come_back():
+    rng = np.random.default_rng(2)
+    for x in (np.zeros(0, np.int32), rng.integers(-1, 9_000, 1_000).astype(np.int32), np.array([1 << 40], np.int64)):
+        assert (lm_hmm.unpacked(pa.scalar(lm_hmm.packed(x)), x.dtype) == x).all()
+    rows = rng.random((500, lm_hmm.STATES)) ** 9 * 10.0 ** rng.integers(-12, 7, (500, 1))
+    rows[3] = 0
+    back = lm_hmm.unpacked_rows(pa.scalar(lm_hmm.packed_rows(rows)))
+    assert np.allclose(back.sum(axis=1), rows.sum(axis=1), rtol=1e-5)
+    share = rows[rows.sum(axis=1) > 0]
+    share = share / share.sum(axis=1, keepdims=True)
+    got = back[rows.sum(axis=1) > 0]
+    assert abs(got / got.sum(axis=1, keepdims=True) - share).max() < 1e-3
+
+
 def test_rounds_see_all_learning_texts_and_stop_by_gain(sp, monkeypatch):
     docs = sp.createDataFrame([(None, "a b a b")] * 30 + [(None, "c d c d")] * 30, "doc_id long, text string")
     for gain, most in ((-1.0, 4), (10.0, 2)):
