@@ -65,6 +65,19 @@ def test_very_long_texts(table_of):
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows, 50)
 
 
+def test_repeats_inside_the_smallest_document(table_of):
+    """A segment that its smallest document holds many times, and in two rows of that id, loses its windows at every place."""
+    rng = random.Random(5)
+    text = lambda n, k: [f"{k}{rng.randrange(10_000)}" for _ in range(n)]
+    block, filler = text(14, "b"), text(9, "f")
+    cycle = (block + filler) * 8
+    rows = [(7, " ".join(["x", *block, "y"]), "en", "s"), (9, " ".join(cycle), "en", "s"), (9, " ".join(["z"] + cycle[:60]), "en", "s"), (11, " ".join(cycle[5:90]), "en", "s")]
+    rows += [(20, " ".join(text(6, "q") * 7), "en", "s"), (21, " ".join(["a"] + ["a", "b"] * 40), "en", "s"), (15, " ".join(["b", "a"] * 9 + ["c"]), "en", "s")]
+    for kw in ({}, {"shard_words": 100, "limit": 1}):
+        got = substring_fm.repeated_windows_removed(table_of(rows), 10, **kw)
+        assert sorted(map(tuple, got.collect()), key=str) == brute(rows, 10)
+
+
 def test_empty_table(table_of):
     assert substring_fm.repeated_windows_removed(table_of([])).collect() == []
     assert [tuple(r) for r in substring_fm.repeated_windows_removed(table_of([(None, None, None, None)])).collect()] == [(None, 0, 0, "")]

@@ -15,9 +15,10 @@ Plan: one pass over the texts writes narrow rows (id, place, minimiser, digest
 of the segment). Minimisers seen in one document only can't hold a repeat and go
 after one aggregate. Equal segments are one pattern: they stand in the index
 under the smallest document that has them, so all their windows match for every
-other document, and are searched for that smallest one. Only those segments'
-words are fetched, by a join of places and texts. A last join brings the spans
-back to the texts.
+other document, and are searched for that smallest one; what is found holds at every
+place of the segment there, of which a text that repeats itself has several.
+Only those segments' words are fetched, by a join of places and texts. A last
+join brings the spans back to the texts.
 
 Skew: copies collapse in the aggregate (min and max of ids, combined in the map
 tasks). A minimiser with more than ``limit`` different segments, say of a passage
@@ -162,11 +163,11 @@ def _with_spans(docs: DataFrame, places: DataFrame, *columns: str, how: str = "i
 
 
 def _texts_of(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
-    """(doc_id, text_hash, start, key, words): the words of each place, joined by one space."""
+    """(doc_id, key, digest, windows, words): the words of each place, joined by one space."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            ids, hashes, spans = (b.column(c) for c in ("doc_id", "text_hash", "spans"))
+            ids, spans = b.column("doc_id"), b.column("spans")
             ends = spans.offsets.to_numpy()
             inner = spans.flatten()
             starts, counts = inner.field("start").to_pylist(), inner.field("windows").to_pylist()
@@ -175,34 +176,32 @@ def _texts_of(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
                 words = b.column("text")[r].as_buffer().to_pybytes().split()  # at ASCII white space
                 out += [b" ".join(words[starts[j] : starts[j] + counts[j] + length - 1]) for j in range(ends[r] - ends[0], ends[r + 1] - ends[0])]
             at = pa.array(np.repeat(np.arange(b.num_rows), np.diff(ends)))
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(at), hashes.take(at), inner.field("start"), inner.field("key"), pa.array(out, pa.binary())], ["doc_id", "text_hash", "start", "key", "words"]
-            )
+            yield pa.RecordBatch.from_arrays([ids.take(at), *(inner.field(c) for c in SEGMENT), pa.array(out, pa.binary())], ["doc_id", *SEGMENT, "words"])
 
-    return _with_spans(docs, places, "start", "windows", "key").mapInArrow(cut, "doc_id long, text_hash long, start int, key long, words binary")
+    return _with_spans(docs, places, "start", *SEGMENT).mapInArrow(cut, "doc_id long, key long, digest long, windows int, words binary")
 
 
 def shard_spans(patterns: DataFrame, shards: int, length: int, depth: int) -> DataFrame:
-    """(doc_id, text_hash, lo, hi): word spans of windows that a smaller document of the shard has too."""
+    """(key, digest, windows, lo, hi): spans of windows, in words of their pattern, that a smaller document of the shard has too."""
 
     def search(group: pa.Table) -> pa.Table:
-        ids, hashes, starts = (group.column(c).to_numpy() for c in ("doc_id", "text_hash", "start"))
         codes, offsets, _ = split_words(group.column("words").combine_chunks().cast(pa.string()))
         lengths = np.diff(offsets)
-        owners = np.unique(ids, return_inverse=True)[1]
+        owners = np.unique(group.column("doc_id").to_numpy(), return_inverse=True)[1]
         codes = codes.astype(np.int64) + 1
         found = FMIndex(codes, lengths, owners, depth).matching_statistics(codes, lengths, owners)
         segment = np.repeat(np.arange(len(lengths)), lengths)
         a, z = runs(found >= length, segment)
         s = segment[a]
-        base = starts[s] - offsets[s]
-        return pa.table({"doc_id": ids[s], "text_hash": hashes[s], "lo": (a + base).astype(np.int32), "hi": (z + base + length).astype(np.int32)})
+        return pa.table({c: group.column(c).to_numpy()[s] for c in SEGMENT} | {"lo": (a - offsets[s]).astype(np.int32), "hi": (z - offsets[s] + length).astype(np.int32)})
 
     dealt = patterns.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
     return dealt.groupBy("shard").applyInArrow(search, SPANS)
 
 
-SPANS = "doc_id long, text_hash long, lo int, hi int"
+#: What names a segment whatever its place.
+SEGMENT = ("key", "digest", "windows")
+SPANS = "key long, digest long, windows int, lo int, hi int"
 
 
 def repeated_spans(docs: DataFrame, length: int, shard_words: int = SHARD_WORDS, limit: int = LIMIT) -> DataFrame:
@@ -218,9 +217,12 @@ def repeated_spans(docs: DataFrame, length: int, shard_words: int = SHARD_WORDS,
         found = saved(places.join(same, ["key", "digest", "windows"]), "places")
         copies = found.filter(light & (F.col("doc_id") > F.col("least"))).select("doc_id", "text_hash", F.col("start").alias("lo"), (F.col("start") + F.col("windows") + length - 1).alias("hi"))
         out = copies if out is None else out.unionByName(copies)
-        patterns = found.filter(light & (F.col("doc_id") == F.col("least"))).groupBy("key", "digest", "windows").agg(F.min(F.struct("doc_id", "text_hash", "start")).alias("p"))
-        patterns = _texts_of(docs, patterns.select("p.*", "windows", "key"), length)
-        out = out.unionByName(saved(shard_spans(patterns, max(1, -(-(words or 0) // shard_words)), length, depth), "spans"))
+        owned = found.filter(light & (F.col("doc_id") == F.col("least")))
+        patterns = owned.groupBy(*SEGMENT).agg(F.min(F.struct("doc_id", "text_hash", "start")).alias("p"))
+        patterns = _texts_of(docs, patterns.select("p.*", *SEGMENT), length)
+        spans = saved(shard_spans(patterns, max(1, -(-(words or 0) // shard_words)), length, depth), "spans")
+        # A pattern can stand at several places of its smallest document, and in several rows of that id.
+        out = out.unionByName(owned.join(spans, list(SEGMENT)).select("doc_id", "text_hash", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi")))
         if last or not heavy:
             return out
         places, last = saved(single_windows(docs, found.filter(~light), length), "windows"), True
