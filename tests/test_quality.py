@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidewater.operators import quality
+from tidewater.operators.wire import bronze_from_wire
 
 COLS = ("event_id user_id session_id content_id content_type event_type watch_seconds "
         "playback_position_seconds device_type app_version country_code event_timestamp").split()
@@ -71,6 +72,16 @@ def test_violation_counts(spark):
     assert got == {"event_id_length": 2, "device_type_unknown": 1}
 
 
+def test_violation_counts_parses_each_message_once(spark):
+    rows = [('{"event_id": "%s", "device_type": "x"}' % i, 0, i) for i in "abc"] + [("not json", 1, "d")]
+    wire = spark.createDataFrame(rows, "value string, partition int, key string").selectExpr("key", "value", "partition", "1L as offset", "timestamp'2024-01-01' as timestamp")
+    counted = quality.violation_counts(bronze_from_wire(wire))
+    assert counted._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    got = {r["violation"]: r["rows"] for r in counted.collect()}
+    assert got["device_type_unknown"] == 3 and got["event_id_length"] == 3 and got["event_id_missing"] == 1
+    assert got["user_id_missing"] == 4 and min(got.values()) > 0
+
+
 def _session(spark, events, session="s-1"):
     """events: list of (seconds offset, event_type, watch_seconds[, app_version])."""
     rows = []
