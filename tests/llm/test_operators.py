@@ -528,6 +528,16 @@ def test_rounds_see_all_learning_texts_and_stop_by_gain(sp, monkeypatch):
         assert seen == [60] * most
 
 
+def test_lm_hmm_trains_until_it_gains_little_by_default(sp, monkeypatch):
+    rng = np.random.default_rng(8)
+    docs = _rows(sp, [(i, " ".join(f"{'ab'[j // 4 % 2]}{rng.integers(6)}" for j in range(60))) for i in range(40)])
+    seen, real = [], lm_hmm.trained
+    monkeypatch.setattr(lm_hmm, "trained", lambda *a: seen.append(out := real(*a)) or out)
+    lm_hmm.lm_scores(docs).collect()
+    history = seen[0][2]
+    assert len(history) == 8 or (len(history) > 3 and history[-1] - history[-2] < 0.002)
+
+
 def test_nothing_that_grows_with_the_vocabulary_is_broadcast(sp, monkeypatch):
     import pickle
 

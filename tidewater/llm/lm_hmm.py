@@ -537,7 +537,7 @@ def _session(spark: SparkSession) -> SparkSession:
 SCORES = "doc_id long, held_out boolean, n long, known long, base double, score double"
 
 
-def lm_scores(docs: DataFrame, rounds: int = 3, gain: float = 0.1, held_out_fold: int = 2, folds: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def lm_scores(docs: DataFrame, rounds: int = 8, gain: float = 0.002, held_out_fold: int = 2, folds: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     rows = texts(docs, id_col, text_col).withColumn("held_out", fold_of("doc_id", folds) == held_out_fold)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
