@@ -186,3 +186,19 @@ def test_packed_files_are_named(spark, lake):
     merge_small_files(spark, lake, lake.path("silver", "t"))
     (name,) = sizes(spark, latest_path(spark, lake.path("silver", "t")))
     assert name.rsplit("/", 1)[1].startswith(PACKED)
+
+
+def test_no_task_lays_out_more_than_its_bytes(spark, lake, monkeypatch):
+    """A bin or a share above TASK_BYTES is cut along the order; rows stay, and a second run finds nothing to do."""
+    path = lake.path("silver", SILVER_TABLE)
+    write_silver(registry._silver(spark, SF0001).repartition(6, "event_id"), lake, cluster=False)
+    before = rows(read_silver(spark, lake))
+    stored = sum(s for s, _ in sizes(spark, latest_path(spark, path)).values())
+    monkeypatch.setattr(compact, "TASK_BYTES", stored // 40)
+    assert merge_small_files(spark, lake, path, sort_by=("user_id",), partition_by=("event_date",)) > 50
+    packed = sizes(spark, latest_path(spark, path))
+    dates = {f.split("/")[0] for f in packed}
+    assert rows(read_silver(spark, lake)) == before and len(packed) > len(dates)
+    assert merge_small_files(spark, lake, path, sort_by=("user_id",), partition_by=("event_date",)) == 0
+    compact_table(spark, lake, path, ("user_id", "event_date"), target_files=1)
+    assert rows(read_silver(spark, lake)) == before and len(sizes(spark, latest_path(spark, path))) > 5

@@ -9,7 +9,8 @@ place where Delta is present:
   one of the columns leaves few files. Linear order serves filters on the first
   column only.
 - ``merge_small_files`` leaves large files alone and packs the small ones of each
-  folder first-fit-decreasing into files of at most the target size.
+  folder first-fit-decreasing into bins of at most the target size. A bin is one
+  file, or, above TASK_BYTES, one for each task that sorts a range of it.
 - ``compact_bronze`` does the same over the folders of Bronze's micro-batches,
   and merges their metrics.
 
@@ -35,6 +36,8 @@ from .swap import list_names, recover, swap
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 DEFAULT_SPLIT_BY = ("event_timestamp", "event_id")
+#: Stored bytes that one task lays out: rows in memory are about ten times as large. More are cut along the order.
+TASK_BYTES = 64 * 1024 * 1024
 #: Rows whose values set the borders of a column's ranges. They shape the layout only; every row is written.
 BORDER_ROWS = 20_000
 #: Bits of a column's range number at most: 1,024 ranges.
@@ -90,7 +93,10 @@ def compact_table(
     order: str = "linear",
 ) -> str:
     """Rewrite a table as about ``target_files`` files clustered by
-    ``cluster_by`` (``order`` linear or zorder); returns the new version path. Rows are unchanged."""
+    ``cluster_by`` (``order`` linear or zorder); returns the new version path. Rows are unchanged.
+
+    A file is what one task sorts, so there are more files where a share would be above TASK_BYTES.
+    """
     if order not in ("linear", "zorder"):
         raise ValueError(f"order must be linear or zorder, not {order}")
     if cfg.table_format == "delta":
@@ -100,9 +106,8 @@ def compact_table(
         return table_path
     df = read_path(spark, cfg, table_path)
     columns = df.columns
-    if target_files is None:
-        size = path_size(spark, latest_path(spark, table_path))
-        target_files = max(1, math.ceil(size / TARGET_FILE_BYTES))
+    size = path_size(spark, latest_path(spark, table_path))
+    target_files = max(target_files or math.ceil(size / TARGET_FILE_BYTES), math.ceil(size / TASK_BYTES), 1)
     if split_by is None:
         split_by = [c for c in DEFAULT_SPLIT_BY if c in columns]
     inner = [c for c in cluster_by if c not in partition_by]
@@ -197,15 +202,21 @@ def _pack_files(spark: SparkSession, root: str, df: DataFrame, folder: Column, i
     found = rows.select("_file", "_size").distinct().select(folder.alias("folder"), F.col("_file").alias("file"), F.col("_size").alias("size"))
     plan = plan_bins(found, target_bytes).collect()  # one row for each file, as in any listing
     bins: dict = {}
+    filled: dict = {}
     for r in plan:
         bins.setdefault((r["folder"], r["bin"]), []).append(r["file"])
+        filled[r["folder"], r["bin"]] = filled.get((r["folder"], r["bin"]), 0) + r["size"]
     if not bins:
         return [], [], ""
     staging = f"_staging-{uuid.uuid4().hex}"
     number = {f: i for i, files in enumerate(bins.values()) for f in files}
     assigned = spark.createDataFrame(list(number.items()), "_file string, _bin int")
     out = rows.join(assigned, "_file").drop("_file", "_size", *drop)
-    out = out.repartition(len(bins), "_bin").sortWithinPartitions("_bin", *sort_by)
+    if max(filled.values()) <= TASK_BYTES:  # whole bins, of about as many rows in each task
+        out = out.repartitionByRange(len(bins), "_bin").sortWithinPartitions("_bin", *sort_by)
+    else:  # a large bin is written by several tasks, as a file of each
+        keys = list(dict.fromkeys(["_bin", *sort_by, *(c for c in DEFAULT_SPLIT_BY if c in out.columns)]))
+        out = out.repartitionByRange(math.ceil(sum(filled.values()) / TASK_BYTES), *keys).sortWithinPartitions(*keys)
     out.write.mode("errorifexists").partitionBy("_bin").parquet(f"{root}/{staging}")
     delete, add, run = [], [], uuid.uuid4().hex[:8]
     for i, files in enumerate(bins.values()):
