@@ -423,6 +423,35 @@ def test_long_texts_carry_the_forward_variable_over_borders():
     assert all(abs(a - b).max() < 0.05 * b.max() for a, b in zip(*sums))
 
 
+def test_long_texts_go_side_by_side_as_short_ones(monkeypatch):
+    """A step of the recursions costs much the same for a few texts as for a hundred."""
+    monkeypatch.setattr(lm_hmm, "CHUNK", 6_400)
+    monkeypatch.setattr(lm_hmm, "STRETCH", 64)
+    seqs = [np.zeros(n, np.int64) for n in [3] * 50 + [5_000] * 100]
+    groups = list(lm_hmm.grouped(seqs))
+    assert sorted(i for g in groups for i in g) == list(range(150)) and len(groups) == 2
+    assert all(sum(min(len(seqs[i]), 64) for i in g) < 6_400 + 64 for g in groups)
+
+
+def test_scaling_every_few_steps_equals_scaling_every_step(monkeypatch):
+    rng = np.random.default_rng(7)
+    k, s = 5, 11
+    for least, dtype, near in ((1e-3, np.float64, 1e-9), (1e-12, np.float32, 1e-3)):  # steps that take nearly all away need scaling at once
+        emit = (rng.dirichlet(np.ones(s), k).T * np.where(np.arange(s)[:, None] % k == np.arange(k), 1, least)).astype(dtype)
+        move = (np.eye(k) * (1 - 5 * least) + least).astype(dtype)
+        m = lm_hmm.Model(np.full(k, 1 / k, dtype), move, emit)
+        seqs = [rng.integers(0, s, n) for n in (1, 2, 3, 4, 5, 8, 9, 40, 200)]
+        out = []
+        for every in (lm_hmm.RESCALE, 1):
+            real = lm_hmm.Model.forward
+            with monkeypatch.context() as p:
+                p.setattr(lm_hmm.Model, "forward", lambda self, s, first, n=every: real(self, s, first, n))
+                sums = np.zeros((s, k)), np.zeros((k, k)), np.zeros(k)
+                out.append((m.log10(seqs, stretch=16), m.expected(seqs, *sums, stretch=16), *sums))
+        assert all(np.isfinite(x).all() and np.allclose(x, y, rtol=near, atol=near) for x, y in zip(*out))
+        assert np.allclose(out[0][2].sum(axis=1), np.bincount(np.concatenate(seqs), minlength=s), rtol=1e-4)
+
+
 def _held(i):
     return i is not None and zlib.crc32(str(i).encode()) % 7 == 2
 

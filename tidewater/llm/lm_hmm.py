@@ -35,7 +35,7 @@ score is 0, as the base formula gives; other columns are ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Iterator, List, Optional, Tuple
+from typing import Dict, Iterator, List, Optional, Tuple
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +53,8 @@ OWN, CLASSES = 3, 65_792
 BLOCK_TOKENS, SHARD_BYTES = 4_000_000, 24 << 20
 STATES, SMOOTH = 12, 100.0
 STRETCH, CHUNK = 1_024, 150_000
+#: Steps after which the recursions are scaled again.
+RESCALE = 4
 #: Removes a query's shuffle files when it ends; set on a session of this operator's own.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -78,8 +80,6 @@ class Steps:
         self.symbol = np.zeros(len(t), np.int64)
         if len(t):
             self.symbol[place] = np.concatenate([sequences[i] for i in self.order])
-        self.time = np.zeros(len(t), np.int64)
-        self.time[place] = t
         self.last = self.at[np.maximum(length - 1, 0)] + np.arange(len(length))
 
 
@@ -89,18 +89,39 @@ class Model:
     move: np.ndarray  # K x K
     emit: np.ndarray  # symbols x K
 
-    def forward(self, s: Steps, first: np.ndarray) -> Tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Scaled alphas, scales and emissions of every token, by time step; ``first`` has each sequence's states before it."""
+    def __post_init__(self):
+        self.peak = self.emit.max(axis=1)
+        self.height = np.log10(self.peak.astype(np.float64))
+
+    def forward(self, s: Steps, first: np.ndarray, every: int = RESCALE) -> Tuple[np.ndarray, np.ndarray, Dict[int, np.ndarray], np.ndarray, np.ndarray]:
+        """Alphas and emissions of every token by time step, the factors taken out of the steps scaled,
+        and the sums of each sequence's last alphas and its log10 likelihood; ``first`` has its states before it.
+        Emissions are shares of their symbol's largest. Where few steps together get near the
+        smallest numbers, each step is scaled."""
         e = self.emit[s.symbol]
-        alpha, scale = np.empty_like(e), np.empty(len(e))
+        e /= self.peak[s.symbol][:, None]
+        likelihood = np.bincount(s.sequence, self.height[s.symbol], len(s.length))
+        alpha, scales, ones = np.empty_like(e), {}, np.ones(e.shape[1], e.dtype)
         a = None
-        for t, n in enumerate(s.alive):
-            here = slice(s.at[t], s.at[t] + n)
-            a = (first if a is None else a[:n] @ self.move) * e[here]
-            total = a.sum(axis=1)
-            a /= total[:, None]
-            alpha[here], scale[here] = a, total
-        return alpha, scale, e
+        for t, (at, n) in enumerate(zip(s.at.tolist(), s.alive.tolist())):
+            now = alpha[at : at + n]
+            if a is None:
+                now[:] = first
+            else:
+                np.dot(a[:n], self.move, out=now)
+            now *= e[at : at + n]
+            a = now
+            if t % every == every - 1:
+                scales[t] = total = a @ ones
+                if every > 1 and not total.min() > np.finfo(e.dtype).tiny * 1e22:
+                    return self.forward(s, first, 1)
+                a /= total[:, None]
+        ends = alpha[s.last] @ ones
+        if every > 1 and not ends.min() > np.finfo(e.dtype).tiny * 1e22:
+            return self.forward(s, first, 1)
+        for total in [*scales.values(), ends]:
+            likelihood[: len(total)] += np.log10(total)
+        return alpha, e, scales, ends, likelihood
 
     def _waves(self, sequences: List[np.ndarray], stretch: int) -> Iterator[Tuple[np.ndarray, Steps]]:
         """The sequences' first stretches side by side, then the second ones of the longer sequences, and so on."""
@@ -115,50 +136,52 @@ class Model:
         out = np.zeros(len(sequences))
         before = np.tile(self.start, (len(sequences), 1))
         for who, s in self._waves(sequences, stretch or STRETCH):
-            alpha, scale, _ = self.forward(s, before[who])
-            out[who] += np.bincount(s.sequence, np.log10(scale), len(who))
-            before[who] = alpha[s.last] @ self.move
+            alpha, _, _, ends, likelihood = self.forward(s, before[who])
+            out[who] += likelihood
+            before[who] = (alpha[s.last] / ends[:, None]) @ self.move
         return out
 
     def expected(self, sequences: List[np.ndarray], emit: np.ndarray, move: np.ndarray, start: np.ndarray, stretch: Optional[int] = None) -> float:
         """Adds the expected counts of forward-backward; the sequences' log10 likelihood."""
         before, ends, likelihood = np.tile(self.start, (len(sequences), 1)), None, 0.0
         for who, s in self._waves(sequences, stretch or STRETCH):
-            alpha, scale, weighted = self.forward(s, before[who])
-            likelihood += float(np.log10(scale).sum())
-            weighted /= scale[:, None]
-            beta = np.ones_like(alpha)
-            for t in range(len(s.alive) - 2, -1, -1):
-                n = s.alive[t + 1]
-                later = slice(s.at[t + 1], s.at[t + 1] + n)
-                weighted[later] *= beta[later]
-                beta[s.at[t] : s.at[t] + n] = weighted[later] @ self.move.T
-            later = np.flatnonzero(s.time > 0)
-            earlier = s.at[s.time[later] - 1] + s.sequence[later]
-            move += (alpha[earlier].T @ weighted[later]) * self.move
-            n, last = s.alive[0], alpha[s.last].copy()
-            gamma = alpha * beta
+            alpha, weighted, scales, total, found = self.forward(s, before[who])
+            likelihood += float(found.sum())
+            beta, back = np.empty_like(alpha), np.ascontiguousarray(self.move.T)
+            beta[s.last] = 1 / total[:, None]
+            at, alive = s.at.tolist(), s.alive.tolist()
+            for t in range(len(alive) - 1, -1, -1):
+                later = slice(at[t], at[t] + alive[t])
+                w = weighted[later]
+                w *= beta[later]
+                if t in scales:
+                    w /= scales[t][:, None]
+                if t:
+                    np.dot(w, back, out=beta[at[t - 1] : at[t - 1] + alive[t]])
+            n, last = alive[0], alpha[s.last] / total[:, None]
+            goes_on = np.ones(len(alpha), bool)
+            goes_on[s.last] = False
+            move += (alpha[goes_on].T @ weighted[n:]) * self.move
+            gamma = np.multiply(alpha, beta, out=beta)
             if ends is None:
                 start += gamma[:n].sum(axis=0)
                 ends = np.empty((len(sequences), len(self.start)), alpha.dtype)
             else:  # the step over the border
-                move += (ends[who].T @ (weighted[:n] * beta[:n])) * self.move
-            order = np.argsort(s.symbol, kind="stable")
-            used = s.symbol[order]
-            starts = np.flatnonzero(np.append(True, used[1:] != used[:-1]))
-            emit[used[starts]] += np.add.reduceat(gamma[order], starts, axis=0)
+                move += (ends[who].T @ weighted[:n]) * self.move
+            for k in range(gamma.shape[1]):
+                np.add.at(emit[:, k], s.symbol, gamma[:, k].astype(emit.dtype))
             ends[who] = last
             before[who] = last @ self.move
         return likelihood
 
 
 def grouped(sequences: List[np.ndarray]) -> Iterator[List[int]]:
-    """Sequences in groups of about CHUNK tokens, by length."""
+    """Sequences in groups of about CHUNK tokens a stretch, by length: as many long ones go side by side as short ones."""
     held: List[int] = []
     size = 0
     for i in sorted(range(len(sequences)), key=lambda i: len(sequences[i])):
         held.append(i)
-        size += len(sequences[i])
+        size += min(len(sequences[i]), STRETCH)
         if size >= CHUNK:
             yield held
             held, size = [], 0
@@ -415,7 +438,7 @@ def expectations(table: DataFrame, sent: DataFrame, given) -> DataFrame:
         if not (left.num_rows and (left.column("kind").to_numpy() == TEXT).any()):
             return pa.schema([("part", pa.int32()), ("block", pa.int64()), ("at", pa.int32()), ("sums", pa.binary()), *[(c, pa.float64()) for c in NAMES]]).empty_table()
         own = BlockModel(t, left, right, np.float32)
-        emit, move, start, likelihood = np.zeros(own.model.emit.shape), np.zeros((STATES, STATES)), np.zeros(STATES), 0.0
+        emit, move, start, likelihood = np.zeros(own.model.emit.shape, order="F"), np.zeros((STATES, STATES)), np.zeros(STATES), 0.0
         for group in grouped(own.sequences):
             likelihood += own.model.expected([own.sequences[i] for i in group], emit, move, start)
         small = np.zeros((CLASSES + 1, STATES))
